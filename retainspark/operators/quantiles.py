@@ -22,28 +22,30 @@ from .ranking import global_running_sum
 
 
 def exact_quantiles(df: DataFrame, columns, qs) -> DataFrame:
-    """Long result: (column, q, value) for every column × quantile."""
+    """Long result: (column_name, q, value) for every column × quantile."""
     columns, qs = list(columns), [float(q) for q in qs]
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
         for i, c in enumerate(columns)])).alias("s")).select("s.ci", "s.v")
     counts = stacked.where(F.col("v").isNotNull()).groupBy("ci", "v").agg(
         F.count(F.lit(1)).alias("n"))
-    ranked = global_running_sum(counts, [F.asc("v")], {"cum": F.col("n")}, partition_by=["ci"])
+    ranked = global_running_sum(counts, [F.asc("v")], {"cum": F.col("n")}, partition_by=["ci"],
+                                nonnegative=True)
     totals = counts.groupBy("ci").agg(F.sum("n").alias("N"))
     qtab = F.explode(F.array(*[F.lit(q) for q in qs])).alias("q")
     targets = totals.select("ci", "N", qtab).select(
         "ci", "q", ((F.col("N") - 1).cast("double") * F.col("q")).alias("h"))
     targets = targets.select("ci", "q", "h", F.floor("h").alias("lo"), F.ceil("h").alias("hi"))
     # value at 0-based rank k is the one with cum - n <= k < cum
-    hits = ranked.join(targets, "ci").where(
+    # targets has one row per (column, quantile): bounded, so broadcast
+    hits = ranked.join(F.broadcast(targets), "ci").where(
         ((F.col("lo") >= F.col("cum") - F.col("n")) & (F.col("lo") < F.col("cum")))
         | ((F.col("hi") >= F.col("cum") - F.col("n")) & (F.col("hi") < F.col("cum"))))
     lohi = hits.groupBy("ci", "q", "h", "lo").agg(
         F.min_by("v", F.col("cum")).alias("v_lo"), F.max_by("v", F.col("cum")).alias("v_hi"))
     val = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("lo"))
     names = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("ci") + 1)
-    return lohi.select(names.alias("column"), "q", val.alias("value"))
+    return lohi.select(names.alias("column_name"), "q", val.alias("value"))
 
 
 def exact_quantile_scalar(df: DataFrame, column: str, q: float) -> Column:

@@ -35,7 +35,7 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 def global_running_sum(df: DataFrame, order_by: list, values: dict,
                        partition_by: list | None = None, exclusive: bool = False,
-                       partitions: int | None = None) -> DataFrame:
+                       partitions: int | None = None, nonnegative: bool = False) -> DataFrame:
     """Add one running-sum column per entry of ``values`` (name → Column),
     accumulated in ``order_by`` order (a list of Columns, e.g.
     ``[F.desc('roi'), F.asc('user_id')]``; it must identify rows uniquely).
@@ -43,6 +43,8 @@ def global_running_sum(df: DataFrame, order_by: list, values: dict,
     With ``partition_by`` (column names) the sums restart for every group; groups are the
     leading sort key, so a hot group is still spread over many tasks.  Integral
     value columns give exact ``bigint`` sums, others ``double``.
+    ``nonnegative=True`` (counts) reads a group's start as the minimum
+    exclusive sum inside the group instead of a second ordered pass.
     """
     spark = df.sparkSession
     n = _partitions(df, partitions)
@@ -97,12 +99,18 @@ def global_running_sum(df: DataFrame, order_by: list, values: dict,
         # restart per group: subtract what earlier groups contributed, i.e. the
         # exclusive running total over the (smaller) per-group totals table
         gnames = list(partition_by)
-        gtot = work.groupBy(*gnames).agg(*[F.sum(F.col(t)).alias(f"__g{i}")
-                                           for i, t in enumerate(tmp)])
-        starts = global_running_sum(
-            gtot, [F.asc(g) for g in gnames],
-            {f"__s{i}": F.col(f"__g{i}") for i in range(len(tmp))},
-            exclusive=True, partitions=partitions).drop(*[f"__g{i}" for i in range(len(tmp))])
+        if nonnegative:
+            # sums only grow, and a group's rows are contiguous in the order
+            excl = [F.col(nm) if exclusive else F.col(nm) - F.col(t) for t, nm in zip(tmp, names)]
+            starts = out.groupBy(*gnames).agg(*[F.min(e).alias(f"__s{i}")
+                                                for i, e in enumerate(excl)])
+        else:
+            gtot = work.groupBy(*gnames).agg(*[F.sum(F.col(t)).alias(f"__g{i}")
+                                               for i, t in enumerate(tmp)])
+            starts = global_running_sum(
+                gtot, [F.asc(g) for g in gnames],
+                {f"__s{i}": F.col(f"__g{i}") for i in range(len(tmp))},
+                exclusive=True, partitions=partitions).drop(*[f"__g{i}" for i in range(len(tmp))])
         out = out.join(starts, gnames, "left")
         out = out.withColumns({nm: F.col(nm) - F.col(f"__s{i}") for i, nm in enumerate(names)})
         out = out.drop(*[f"__s{i}" for i in range(len(names))])

@@ -178,3 +178,7 @@ def budget_what_if_q(spark, sf_dir):
     """All 39 budgets of the planner grid in one pass."""
     scores = batch_scores(features_table(spark, sf_dir, with_high_value=False))
     return D.budget_what_if(scores)
+
+
+# further registrations live in sibling modules
+from . import queries_analytics  # noqa: E402,F401

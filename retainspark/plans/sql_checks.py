@@ -151,7 +151,9 @@ sc AS (
   FROM feat
 ),
 scu AS (
-  SELECT *, p_control - p_treated AS uplift_score, p_control AS churn_probability FROM sc
+  SELECT *, p_control - p_treated AS uplift_score, p_control AS churn_probability,
+    round_even(p_control * 10000.0e0, 0) / 10000.0e0 AS score4,
+    round_even((p_control - p_treated) * 10000.0e0, 0) / 10000.0e0 AS uplift4 FROM sc
 )"""
 
 SEGMENT_CASE = """CASE WHEN {u} >= 0.25 AND {p} >= 0.5 THEN 'Persuadable'

@@ -23,6 +23,7 @@ def build_session(master: str | None = None, cpus: int | None = None,
     parts = shuffle_partitions or max(8, cpus * 2)
     b = (SparkSession.builder.master(master).appName(app)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.shuffle.partitions", str(parts))
          .config("spark.sql.adaptive.enabled", "true")

@@ -105,7 +105,7 @@ def ab_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores as base/final probabilities, the observed churn label and a
     week number 1-8 for the weekly variant."""
     from ..functions.encode import encode_customers
-    from ..functions.features import derive_features
+    from ..functions.features import derive_features, round_half_even
     from ..functions.rules import segment_absolute
     from ..functions.scoring import retention_scores
 
@@ -130,4 +130,6 @@ def ab_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(treated == 1, F.col("p_treated")).otherwise(F.col("p_control")).alias("final_churn_prob"),
         F.col("Churn_binary").alias("churned"),
         (num % 8 + 1).cast("int").alias("week"),
+        # uplift score of the same scorer, 4 decimals as in the score file
+        round_half_even(F.col("uplift_score"), 4).alias("uplift_score"),
     )
