@@ -183,3 +183,4 @@ def budget_what_if_q(spark, sf_dir):
 # further registrations live in sibling modules
 from . import queries_analytics  # noqa: E402,F401
 from . import queries_survival  # noqa: E402,F401
+from . import queries_drift  # noqa: E402,F401
