@@ -107,40 +107,31 @@ def guarded_ratio(value: Column, cost: Column) -> Column:
     return F.when(cost > 0, value / cost).otherwise(F.lit(0.0))
 
 
-def short_form_features(req: DataFrame) -> DataFrame:
-    """P25: fill the 27-column contract from the short lookup form
-    (tenure, monthly charges, contract, internet, senior, partner,
-    service count, digital engagement) with the fixed defaults of the
-    lookup page."""
+def short_form_features(req: DataFrame, keep=("request_id",)) -> DataFrame:
+    """P25: the 27-column contract from the short lookup form
+    (tenure, monthly_charges, contract_code, internet_code, senior, partner,
+    service_count, digital_engagement) with the lookup page's fixed values:
+    total = monthly·max(tenure, 1), clv = total·(1 − 1/(tenure+1)),
+    high value = clv > 500, paperless and both streaming flags on, phone on."""
     c = F.col
     t = c("tenure").cast("double")
-    total = c("monthly_charges") * F.greatest(t, F.lit(1.0))
+    m = c("monthly_charges").cast("double")
+    total = m * F.greatest(t, F.lit(1.0))
     clv = total * (F.lit(1.0) - F.lit(1.0) / (t + 1))
-    out = req.select(
-        "*",
-        t.alias("_t"), total.alias("_total"), clv.alias("_clv"))
-    return out.select(
-        *[x for x in req.columns],
-        c("_t").alias("f_tenure"),
-        c("senior").cast("double").alias("SeniorCitizen"),
-        c("monthly_charges").cast("double").alias("MonthlyCharges"),
-        c("_total").alias("TotalCharges"),
-        c("partner").cast("double").alias("Partner"),
-        F.lit(0.0).alias("Dependents"), F.lit(1.0).alias("PhoneService"),
-        F.lit(1.0).alias("PaperlessBilling"), F.lit(0.0).alias("MultipleLines"),
-        F.lit(0.0).alias("OnlineSecurity"), F.lit(0.0).alias("OnlineBackup"),
-        F.lit(0.0).alias("DeviceProtection"), F.lit(0.0).alias("TechSupport"),
-        F.lit(1.0).alias("StreamingTV"), F.lit(1.0).alias("StreamingMovies"),
-        c("contract_code").cast("double").alias("Contract_encoded"),
-        c("internet_code").cast("double").alias("InternetService_encoded"),
-        F.lit(0.0).alias("PaymentMethod_encoded"),
-        (F.lit(1.0) / (c("_t") + 1)).alias("recency_risk"),
-        c("service_count").cast("double").alias("service_count_f"),
-        c("_total").alias("monetary_value"),
-        (c("monthly_charges") / (c("_total") + 1)).alias("monthly_to_total_ratio"),
-        (c("monthly_charges") / (c("_t") + 1)).alias("charge_per_month"),
-        c("_clv").alias("clv_proxy"),
-        (c("_clv") > F.lit(SHORT_FORM_HIGH_VALUE_CLV)).cast("double").alias("is_high_value"),
-        (c("contract_code") * c("_t")).cast("double").alias("contract_stability"),
-        c("digital_engagement").cast("double").alias("digital_engagement_f"),
-    )
+    fixed = {"Dependents": 0.0, "PhoneService": 1.0, "PaperlessBilling": 1.0, "MultipleLines": 0.0,
+             "OnlineSecurity": 0.0, "OnlineBackup": 0.0, "DeviceProtection": 0.0, "TechSupport": 0.0,
+             "StreamingTV": 1.0, "StreamingMovies": 1.0, "PaymentMethod_encoded": 0.0}
+    exprs = {
+        "tenure": t, "SeniorCitizen": c("senior").cast("double"), "MonthlyCharges": m,
+        "TotalCharges": total, "Partner": c("partner").cast("double"),
+        "Contract_encoded": c("contract_code").cast("double"),
+        "InternetService_encoded": c("internet_code").cast("double"),
+        "recency_risk": F.lit(1.0) / (t + 1), "service_count": c("service_count").cast("double"),
+        "monetary_value": total, "monthly_to_total_ratio": m / (total + 1),
+        "charge_per_month": m / (t + 1), "clv_proxy": clv,
+        "is_high_value": (clv > F.lit(SHORT_FORM_HIGH_VALUE_CLV)).cast("double"),
+        "contract_stability": c("contract_code").cast("double") * t,
+        "digital_engagement": c("digital_engagement").cast("double"),
+    }
+    exprs.update({k: F.lit(v) for k, v in fixed.items()})
+    return req.select(*keep, *[exprs[f].alias(f) for f in FEATURE_COLS])

@@ -184,3 +184,5 @@ def budget_what_if_q(spark, sf_dir):
 from . import queries_analytics  # noqa: E402,F401
 from . import queries_survival  # noqa: E402,F401
 from . import queries_drift  # noqa: E402,F401
+from . import queries_models  # noqa: E402,F401
+from . import queries_io  # noqa: E402,F401
