@@ -20,6 +20,8 @@ Dataset drift: share of drifted columns ≥ threshold (0.3, inclusive).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,13 +57,19 @@ def _stack(df: DataFrame, cols, side: int, group: str | None):
 
 
 def ks_p_value(d, en):
-    """Asymptotic Kolmogorov distribution tail with Stephens' correction:
-    Q(λ) = 2 Σ_{k≥1} (−1)^{k−1} e^{−2k²λ²}, λ = (√n_e + 0.12 + 0.11/√n_e)·D."""
+    """Asymptotic Kolmogorov tail Q(λ) with Stephens' correction
+    λ = (√n_e + 0.12 + 0.11/√n_e)·D.  Two series, each used where it
+    converges fast: λ < 1.18: Q = 1 − (√(2π)/λ) Σ_{k≥1} e^{−(2k−1)²π²/(8λ²)};
+    otherwise Q = 2 Σ_{k≥1} (−1)^{k−1} e^{−2k²λ²}.  Q(0) = 1."""
     lam = (F.sqrt(en) + 0.12 + 0.11 / F.sqrt(en)) * d
-    series = F.aggregate(F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
-                         lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1)
-                         * F.exp(-2.0 * k * k * lam * lam))
-    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), 2.0 * series))
+    ks = F.sequence(F.lit(1), F.lit(100))
+    small = F.lit(1.0) - F.lit(math.sqrt(2 * math.pi)) / lam * F.aggregate(
+        ks, F.lit(0.0), lambda acc, k: acc + F.exp(-F.pow(2.0 * k - 1, 2) * F.lit(math.pi ** 2)
+                                                   / (8.0 * lam * lam)))
+    large = 2.0 * F.aggregate(ks, F.lit(0.0), lambda acc, k: acc + F.pow(F.lit(-1.0), k - 1)
+                              * F.exp(-2.0 * k * k * lam * lam))
+    q = F.when(lam <= 0, F.lit(1.0)).when(lam < 1.18, small).otherwise(large)
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), q))
 
 
 def column_drift(ref: DataFrame, cur: DataFrame, cols=None, group: str | None = None) -> DataFrame:

@@ -65,8 +65,12 @@ res AS (
          + 0.11e0 / sqrt(a.N_r * a.N_c * 1.0e0 / (a.N_r + a.N_c))) * a.ks_stat AS lam
   FROM agg a JOIN psi p USING (grp, col_name) JOIN mom m USING (col_name)),
 res2 AS (
-  SELECT *, least(1.0e0, greatest(0.0e0, 2.0e0 * (SELECT sum(pow(-1.0e0, k - 1) * exp(-2.0e0 * k * k * lam * lam))
-                                                  FROM range(1, 101) r(k)))) AS ks_p_value,
+  SELECT *, least(1.0e0, greatest(0.0e0, CASE
+      WHEN lam <= 0 THEN 1.0e0
+      WHEN lam < 1.18 THEN 1.0e0 - sqrt(2 * pi()) / lam
+           * (SELECT sum(exp(-pow(2.0e0 * k - 1, 2) * pow(pi(), 2) / (8.0e0 * lam * lam))) FROM range(1, 101) r(k))
+      ELSE 2.0e0 * (SELECT sum(pow(-1.0e0, k - 1) * exp(-2.0e0 * k * k * lam * lam)) FROM range(1, 101) r(k))
+    END)) AS ks_p_value,
     CASE WHEN ref_std > 0 THEN wasserstein / ref_std ELSE wasserstein END AS wasserstein_normed,
     sqrt(greatest(js_divergence, 0.0e0)) AS js_distance,
     CASE WHEN n_unique <= 5 THEN 'jensenshannon' WHEN N_r <= 1000 THEN 'ks' ELSE 'wasserstein' END AS stattest
