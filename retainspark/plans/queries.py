@@ -186,3 +186,4 @@ from . import queries_survival  # noqa: E402,F401
 from . import queries_drift  # noqa: E402,F401
 from . import queries_models  # noqa: E402,F401
 from . import queries_io  # noqa: E402,F401
+from . import queries_extra  # noqa: E402,F401
