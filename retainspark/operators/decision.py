@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import LOST_CAUSE, PERSUADABLE, SLEEPING_DOG, SURE_THING
 from ..functions.features import round_half_even
-from .quantiles import exact_quantile_scalar
+from ..session import stable
+from .quantiles import exact_quantile_scalar, exact_quantile_scalars
 from .ranking import average_percent_rank, global_running_sum
 
 # Segment → action/priority table.
@@ -75,10 +76,12 @@ def segment_by_uplift_percentile(df: DataFrame, uplift: str = "uplift_score",
         F.col("uplift_percentile"), F.col(uplift), F.col(churn), high, low, churn_min))
 
 
-def assign_tiered_actions(scores: DataFrame, vip_quantile: float = VIP_QUANTILE) -> DataFrame:
+def assign_tiered_actions(scores: DataFrame, vip_quantile: float = VIP_QUANTILE,
+                          vip_threshold=None) -> DataFrame:
     """VIP flag against the table-wide clv percentile, then the
     segment × tier action and cost."""
-    thr = exact_quantile_scalar(scores, "clv_proxy", vip_quantile)
+    thr = vip_threshold if vip_threshold is not None else exact_quantile_scalar(
+        scores, "clv_proxy", vip_quantile)
     df = scores.withColumns({"clv_threshold": thr})
     df = df.withColumn("is_vip", (F.col("clv_proxy") > F.col("clv_threshold")).cast("int"))
     tier = F.when(F.col("segment") == PERSUADABLE,
@@ -113,11 +116,17 @@ def budget_plan(scores: DataFrame, budget: float = DEFAULT_BUDGET,
     running cost (actionable rows only) and ``targeted`` flag; and the
     targeted rows in roi order.  Ties in roi are broken by ``id_col``.
     """
-    df = value_and_roi(assign_tiered_actions(scores))
+    # one checkpoint of the score table feeds the quantile search and both
+    # branches of the plan (no recomputation of the upstream pipeline)
+    scores = stable(scores)
+    wanted = {"clv_proxy": VIP_QUANTILE}
+    if risk_quantile is not None:
+        wanted["churn_probability"] = risk_quantile
+    q = exact_quantile_scalars(scores, wanted)
+    df = value_and_roi(assign_tiered_actions(scores, vip_threshold=q["clv_proxy"]))
     cond = F.col("segment") == PERSUADABLE
     if risk_quantile is not None:
-        p = exact_quantile_scalar(scores, "churn_probability", risk_quantile)
-        cond = cond & (F.col("churn_probability") >= p)
+        cond = cond & (F.col("churn_probability") >= q["churn_probability"])
     df = df.withColumn("__act", cond)
     actionable = df.where(F.col("__act"))
     ranked = global_running_sum(actionable, [F.desc("roi"), F.asc(id_col)],
@@ -135,6 +144,7 @@ def budget_what_if(scores: DataFrame, budgets=None, id_col: str = "user_id") ->
     the grid at once, without the risk filter (as the planner page does)."""
     lo, hi, step = budgets or (BUDGET_MIN, BUDGET_MAX, BUDGET_STEP)
     n_levels = (hi - lo) // step + 1
+    scores = stable(scores)
     df = value_and_roi(assign_tiered_actions(scores)).where(F.col("segment") == PERSUADABLE)
     ranked = global_running_sum(df, [F.desc("roi"), F.asc(id_col)],
                                 {"cumulative_cost": F.col("action_cost")})

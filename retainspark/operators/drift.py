@@ -25,6 +25,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stable
 from .ranking import global_running_sum
 
 # Drift thresholds.
@@ -92,9 +93,10 @@ def column_drift(ref: DataFrame, cur: DataFrame, cols=None, group: str | None =
         ref_g = ref_counts.withColumn("grp", F.explode(F.array(*[F.lit(x) for x in labels])))
     else:
         ref_g = ref_counts.withColumn("grp", F.lit("all"))
-    counts = (ref_g.select("grp", "col_name", "v", "nr", F.lit(0).cast("bigint").alias("nc"))
-              .unionByName(cur_counts.select("grp", "col_name", "v", F.lit(0).cast("bigint").alias("nr"), "nc"))
-              .groupBy("grp", "col_name", "v").agg(F.sum("nr").alias("nr"), F.sum("nc").alias("nc")))
+    counts = stable(
+        ref_g.select("grp", "col_name", "v", "nr", F.lit(0).cast("bigint").alias("nc"))
+        .unionByName(cur_counts.select("grp", "col_name", "v", F.lit(0).cast("bigint").alias("nr"), "nc"))
+        .groupBy("grp", "col_name", "v").agg(F.sum("nr").alias("nr"), F.sum("nc").alias("nc")))
     ranked = global_running_sum(counts, [F.asc("v")],
                                 {"cr": F.col("nr"), "cc": F.col("nc"), "pos": F.lit(1)},
                                 partition_by=["grp", "col_name"], nonnegative=True)

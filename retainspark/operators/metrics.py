@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stable
 from .ranking import global_running_sum
 
 F1_EPS = 1e-8
@@ -38,7 +39,7 @@ def roc_auc(df: DataFrame, score: str, label: str) -> DataFrame:
 def curve_points(df: DataFrame, score: str, label: str) -> DataFrame:
     """One point per distinct score s (predict positive iff score ≥ s):
     tp, fp, tpr, fpr, precision, recall, f1 (with the ε of the tuning rule)."""
-    c = score_counts(df, score, label)
+    c = stable(score_counts(df, score, label))  # reduced table, reused for P and N
     r = global_running_sum(c, [F.desc("score")], {"tp": F.col("pos"), "fp": F.col("neg")})
     P = c.select(F.sum("pos")).scalar()
     N = c.select(F.sum("neg")).scalar()

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stable
 from .ranking import global_running_sum
 
 
@@ -27,8 +28,8 @@ def exact_quantiles(df: DataFrame, columns, qs) -> DataFrame:
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
         for i, c in enumerate(columns)])).alias("s")).select("s.ci", "s.v")
-    counts = stacked.where(F.col("v").isNotNull()).groupBy("ci", "v").agg(
-        F.count(F.lit(1)).alias("n"))
+    counts = stable(stacked.where(F.col("v").isNotNull()).groupBy("ci", "v").agg(
+        F.count(F.lit(1)).alias("n")))  # reduced table, reused below
     ranked = global_running_sum(counts, [F.asc("v")], {"cum": F.col("n")}, partition_by=["ci"],
                                 nonnegative=True)
     totals = counts.groupBy("ci").agg(F.sum("n").alias("N"))
@@ -51,3 +52,15 @@ def exact_quantiles(df: DataFrame, columns, qs) -> DataFrame:
 def exact_quantile_scalar(df: DataFrame, column: str, q: float) -> Column:
     """One quantile as a scalar-subquery Column usable in any expression."""
     return exact_quantiles(df.select(column), [column], [q]).select("value").scalar()
+
+
+def exact_quantile_scalars(df: DataFrame, wanted: dict) -> dict:
+    """Several (column → q) quantiles from one distributed pass; the tiny
+    result (one row per column × q) is checkpointed so each returned scalar
+    subquery reads it instead of re-running the search."""
+    from ..session import stable
+    cols = list(wanted)
+    qs = sorted(set(float(q) for q in wanted.values()))
+    tab = stable(exact_quantiles(df.select(*cols), cols, qs))
+    return {c: tab.where((F.col("column_name") == c) & (F.col("q") == float(q))).select("value").scalar()
+            for c, q in wanted.items()}

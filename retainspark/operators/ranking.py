@@ -2,119 +2,184 @@
 
 ``global_running_sum`` is the scalable form of an un-partitioned ordered
 window (``SUM(x) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING)``), which Spark
-would otherwise evaluate in a single task:
-
-1. ``repartitionByRange`` on the full, tie-broken sort key and sort each
-   partition; the sort key must be total so every row has one position.
-2. Reliable checkpoint, so the per-partition totals and the running sums are
-   computed over exactly the same partitions even after executor loss.
-3. One small aggregate gives each partition's total (one row per partition,
-   bounded by the partition count, not by the data); the exclusive prefix of
-   those totals is each partition's starting offset.
-4. ``mapInPandas`` adds the offset to a vectorised cumulative sum inside each
-   partition – no second shuffle, no row-at-a-time Python.
-
-A key holding a third of the rows is split across range partitions because
-the sort key is total (ties broken by an id), so no task owns a hot key.
+would otherwise evaluate in a single task.  It stays inside the JVM:
+
+1. A bounded sample of the (total, tie-broken) sort key – the per-partition
+   top-m of a seeded random order, m = 64 × buckets – fixes bucket
+   boundaries, so each bucket is a contiguous, similarly sized slice of the
+   global order.  Rows get their bucket from a balanced CASE tree over the
+   literal boundaries (log₂ buckets comparisons), a deterministic expression,
+   so recomputation after executor loss assigns the same buckets.
+2. ``repartition(buckets, bucket)`` then a window partitioned by the bucket
+   (and group) gives the running sum inside each bucket; the hash
+   partitioning already satisfies the window, so there is one shuffle.
+3. One aggregate of per-bucket totals (one row per bucket, bounded by the
+   bucket count) gives every bucket's starting offset, added as a literal
+   map lookup.  With groups, only a group that crosses a bucket boundary
+   needs a carry, and there is at most one such group per bucket.
+
+A key holding a third of the rows is split across buckets because the sort
+key is total (ties broken by an id), so no task owns a hot key.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import stable
 
-_PID = "__pid"
+_ORDER = re.compile(r"^Column<'(.+) (ASC|DESC) NULLS (FIRST|LAST)'>$")
+SAMPLE_PER_BUCKET = 64
+SAMPLE_SEED = 17
 
 
 def _partitions(df: DataFrame, n: int | None) -> int:
     return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _spec(c):
+    """(column name, ascending, nulls first) of a column name or sort Column."""
+    if isinstance(c, str):
+        return c, True, True
+    m = _ORDER.match(str(c))
+    if not m:
+        raise ValueError(f"order_by entries must be column names or F.asc/F.desc of a column: {c}")
+    return m.group(1).strip("`"), m.group(2) == "ASC", m.group(3) == "FIRST"
+
+
+def _sort_col(spec) -> Column:
+    name, asc, nf = spec
+    c = F.col(name)
+    if asc:
+        return c.asc_nulls_first() if nf else c.asc_nulls_last()
+    return c.desc_nulls_first() if nf else c.desc_nulls_last()
+
+
+def _before(specs, bound) -> Column:
+    """Row strictly precedes the boundary tuple in the sort order."""
+    expr = None
+    for (name, asc, nf), v in reversed(list(zip(specs, bound))):
+        x = F.col(name)
+        if v is None:
+            lt = F.lit(False) if nf else x.isNotNull()
+            eq = x.isNull()
+        else:
+            cmp = (x < F.lit(v)) if asc else (x > F.lit(v))
+            lt = (x.isNull() | cmp) if nf else (x.isNotNull() & cmp)
+            eq = x.isNotNull() & (x == F.lit(v))
+        expr = lt if expr is None else (lt | (eq & expr))
+    return F.coalesce(expr, F.lit(False))
+
+
+def _bucket_expr(specs, bounds) -> Column:
+    def tree(lo, hi):
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi + 1) // 2
+        return F.when(_before(specs, bounds[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
+    return tree(0, len(bounds))
+
+
+def _boundaries(df: DataFrame, specs, n: int):
+    names = [s[0] for s in specs]
+    m = SAMPLE_PER_BUCKET * n
+    sample = (df.select(*names).orderBy(F.rand(SAMPLE_SEED)).limit(m)  # bounded sample
+              .orderBy(*[_sort_col(s) for s in specs]).collect())
+    if len(sample) <= 1:
+        return []
+    k = min(n, len(sample))
+    bounds = []
+    for j in range(1, k):
+        b = tuple(sample[(j * len(sample)) // k])
+        if not bounds or bounds[-1] != b:
+            bounds.append(b)
+    return bounds
+
+
 def global_running_sum(df: DataFrame, order_by: list, values: dict,
                        partition_by: list | None = None, exclusive: bool = False,
                        partitions: int | None = None, nonnegative: bool = False) -> DataFrame:
     """Add one running-sum column per entry of ``values`` (name → Column),
-    accumulated in ``order_by`` order (a list of Columns, e.g.
-    ``[F.desc('roi'), F.asc('user_id')]``; it must identify rows uniquely).
-
-    With ``partition_by`` (column names) the sums restart for every group; groups are the
-    leading sort key, so a hot group is still spread over many tasks.  Integral
-    value columns give exact ``bigint`` sums, others ``double``.
-    ``nonnegative=True`` (counts) reads a group's start as the minimum
-    exclusive sum inside the group instead of a second ordered pass.
-    """
-    spark = df.sparkSession
+    accumulated in ``order_by`` order (column names or ``F.asc``/``F.desc``
+    of columns, e.g. ``[F.desc('roi'), F.asc('user_id')]``; the order must
+    identify rows uniquely).
+
+    With ``partition_by`` (column names) the sums restart for every group;
+    groups are the leading sort key, so a hot group is still spread over
+    many tasks.  Integral value columns give exact ``bigint`` sums, others
+    ``double``.  (``nonnegative`` is accepted for compatibility; it is no
+    longer needed.)"""
     n = _partitions(df, partitions)
     names = list(values)
     tmp = [f"__v{i}" for i in range(len(names))]
-    group_cols = [F.col(g) for g in (partition_by or [])]
-    keys = [g.asc() for g in group_cols] + list(order_by)
+    groups = list(partition_by or [])
+    specs = [(g, True, True) for g in groups] + [_spec(c) for c in order_by]
     work = df.withColumns({t: values[nm] for t, nm in zip(tmp, names)})
-    ranged = work.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    ranged = stable(ranged.withColumn(_PID, F.spark_partition_id()))
-
     kinds = {}
     for t in tmp:
-        dt = ranged.schema[t].dataType
-        kinds[t] = "long" if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType,
-                                             T.LongType, T.BooleanType)) else "double"
-    totals = (ranged.groupBy(_PID)
-              .agg(*[F.sum(F.col(t).cast(kinds[t])).alias(t) for t in tmp])
-              .collect())  # one row per partition: bounded by the partition count
-    by_pid = {r[_PID]: r for r in totals}
-    offsets, acc = {}, {t: 0 for t in tmp}
-    for pid in range(max(by_pid) + 1 if by_pid else 0):
-        offsets[pid] = dict(acc)
-        if pid in by_pid:
+        dt = work.schema[t].dataType
+        kinds[t] = "bigint" if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
+                                               T.BooleanType)) else "double"
+    work = work.withColumns({t: F.coalesce(F.col(t).cast(kinds[t]), F.lit(0).cast(kinds[t]))
+                             for t in tmp})
+    bounds = _boundaries(work, specs, n)
+    work = work.withColumn("__b", _bucket_expr(specs, bounds))
+    nb = len(bounds) + 1
+
+    # offsets: everything in earlier buckets (no groups), or the carry of the
+    # one group per bucket that started in an earlier bucket
+    offs = {t: F.lit(0).cast(kinds[t]) for t in tmp}
+    if not groups:
+        tot = sorted(work.groupBy("__b").agg(*[F.sum(t).alias(t) for t in tmp]).collect(),
+                     key=lambda r: r["__b"])  # ≤ buckets rows
+        acc = {t: 0 for t in tmp}
+        start = {t: {} for t in tmp}
+        for r in tot:
             for t in tmp:
-                acc[t] = acc[t] + (by_pid[pid][t] or 0)
-
-    out_fields = list(ranged.schema.fields) + [
-        T.StructField(nm, T.LongType() if kinds[t] == "long" else T.DoubleType(), True)
-        for t, nm in zip(tmp, names)]
-    schema = T.StructType(out_fields)
-
-    def running(batches):
-        import numpy as np
-        carry = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            pid = int(pdf[_PID].iloc[0])
-            if carry is None:
-                carry = {t: offsets.get(pid, {}).get(t, 0) for t in tmp}
-            for t, nm in zip(tmp, names):
-                v = pdf[t].fillna(0).to_numpy(
-                    dtype=np.int64 if kinds[t] == "long" else np.float64)
-                cs = np.cumsum(v) + carry[t]
-                carry[t] = cs[-1]
-                pdf[nm] = (cs - v) if exclusive else cs
-            yield pdf
-
-    out = ranged.mapInPandas(running, schema)
-    if group_cols:
-        # restart per group: subtract what earlier groups contributed, i.e. the
-        # exclusive running total over the (smaller) per-group totals table
-        gnames = list(partition_by)
-        if nonnegative:
-            # sums only grow, and a group's rows are contiguous in the order
-            excl = [F.col(nm) if exclusive else F.col(nm) - F.col(t) for t, nm in zip(tmp, names)]
-            starts = out.groupBy(*gnames).agg(*[F.min(e).alias(f"__s{i}")
-                                                for i, e in enumerate(excl)])
-        else:
-            gtot = work.groupBy(*gnames).agg(*[F.sum(F.col(t)).alias(f"__g{i}")
-                                               for i, t in enumerate(tmp)])
-            starts = global_running_sum(
-                gtot, [F.asc(g) for g in gnames],
-                {f"__s{i}": F.col(f"__g{i}") for i in range(len(tmp))},
-                exclusive=True, partitions=partitions).drop(*[f"__g{i}" for i in range(len(tmp))])
-        out = out.join(starts, gnames, "left")
-        out = out.withColumns({nm: F.col(nm) - F.col(f"__s{i}") for i, nm in enumerate(names)})
-        out = out.drop(*[f"__s{i}" for i in range(len(names))])
-    return out.drop(_PID, *tmp)
+                start[t][r["__b"]] = acc[t]
+                acc[t] += r[t] or 0
+        for t in tmp:
+            pairs = [x for b, v in start[t].items() if v for x in (F.lit(b), F.lit(v).cast(kinds[t]))]
+            if pairs:
+                offs[t] = F.coalesce(F.element_at(F.create_map(*pairs), F.col("__b")),
+                                     F.lit(0).cast(kinds[t]))
+    elif nb > 1:
+        per = work.groupBy("__b", *groups).agg(*[F.sum(t).alias(t) for t in tmp])
+        spanning = per.groupBy(*groups).agg(F.count(F.lit(1)).alias("__nb")).where(F.col("__nb") > 1)
+        rows = per.join(spanning, groups).collect()  # ≤ 2 × buckets rows
+        by_group = {}
+        for r in rows:
+            by_group.setdefault(tuple(r[g] for g in groups), []).append(r)
+        cases = {t: [] for t in tmp}
+        for gkey, rs in by_group.items():
+            rs.sort(key=lambda r: r["__b"])
+            acc = {t: 0 for t in tmp}
+            for r in rs:
+                cond = (F.col("__b") == r["__b"])
+                for g, v in zip(groups, gkey):
+                    cond = cond & (F.col(g).isNull() if v is None else (F.col(g) == F.lit(v)))
+                for t in tmp:
+                    if acc[t]:
+                        cases[t].append((cond, acc[t]))
+                    acc[t] += r[t] or 0
+        for t in tmp:
+            if cases[t]:
+                e = None
+                for cond, v in cases[t]:
+                    e = F.when(cond, F.lit(v).cast(kinds[t])) if e is None else e.when(
+                        cond, F.lit(v).cast(kinds[t]))
+                offs[t] = e.otherwise(F.lit(0).cast(kinds[t]))
+
+    w = (Window.partitionBy("__b", *groups).orderBy(*[_sort_col(s) for s in specs[len(groups):]])
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    out = work.repartition(nb, "__b")
+    out = out.withColumns({nm: F.sum(t).over(w) + offs[t] - (F.col(t) if exclusive else F.lit(0))
+                           for t, nm in zip(tmp, names)})
+    return out.drop("__b", *tmp)
 
 
 def average_percent_rank(df: DataFrame, value: str, out: str = "percentile",
@@ -125,7 +190,8 @@ def average_percent_rank(df: DataFrame, value: str, out: str = "percentile",
     over distinct values gives each value's rank span, and the span table is
     joined back on the value.  NULL values get a NULL rank and are not counted.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
+    counts = stable(df.where(F.col(value).isNotNull()).groupBy(value).agg(
+        F.count(F.lit(1)).alias("__n")))  # reduced table, reused for the total
     spans = global_running_sum(counts, [F.asc(value)], {"__cum": F.col("__n")}, partitions=partitions)
     total = counts.agg(F.sum("__n")).scalar()
     spans = spans.select(value, ((F.col("__cum") - F.col("__n") + 1 + F.col("__cum")) / F.lit(2.0)

@@ -50,8 +50,8 @@ def kaplan_meier(df: DataFrame, duration: str, event: str, group: str | None = N
     keys = [group] if group else []
     t = F.col(duration).cast("double")
     e = F.col(event).cast("int")
-    counts = df.groupBy(*[F.col(k) for k in keys], t.alias("t")).agg(
-        F.count(F.lit(1)).alias("removed"), F.sum(e).cast("bigint").alias("events"))
+    counts = stable(df.groupBy(*[F.col(k) for k in keys], t.alias("t")).agg(
+        F.count(F.lit(1)).alias("removed"), F.sum(e).cast("bigint").alias("events")))
     safe = F.col("events") < F.col("at_risk")
     # at risk at t = group size − removed strictly before t
     r = global_running_sum(counts, [F.asc("t")], {"removed_before": F.col("removed")},
@@ -88,13 +88,13 @@ def logrank(df: DataFrame, duration: str, event: str, group: str, a, b) -> DataF
     e = F.col(event).cast("int")
     sub = df.where(F.col(group).isin(a, b)).select(
         t.alias("t"), e.alias("e"), (F.col(group) == F.lit(a)).cast("int").alias("in_a"))
-    per = sub.groupBy("t").agg(
+    per = stable(sub.groupBy("t").agg(
         F.count(F.lit(1)).alias("rem"), F.sum("in_a").alias("rem_a"),
-        F.sum("e").alias("d"), F.sum(F.col("e") * F.col("in_a")).alias("d_a"))
+        F.sum("e").alias("d"), F.sum(F.col("e") * F.col("in_a")).alias("d_a")))
     per = global_running_sum(per, [F.asc("t")], {"before": F.col("rem"), "before_a": F.col("rem_a")},
                              exclusive=True)
-    n_tot = sub.select(F.count(F.lit(1))).scalar()
-    na_tot = sub.select(F.sum("in_a")).scalar()
+    n_tot = per.select(F.sum("rem")).scalar()
+    na_tot = per.select(F.sum("rem_a")).scalar()
     n = n_tot - F.col("before")
     na = na_tot - F.col("before_a")
     per = per.withColumns({"__n": n, "__na": na})

@@ -84,6 +84,19 @@ def train_churn_gbt(spark, sf_dir):
                       at.select("recall").scalar().alias("recall"), F.lit(n_trees).alias("n_trees"))
 
 
+@query("champion_evaluation")
+def champion_evaluation(spark, sf_dir):
+    """The trained model on its hold-out – AUC, metrics at the tuned
+    threshold with ``>`` (the evaluation script's comparison, SURVEY D8) and
+    the classification report."""
+    from ..operators.registry import evaluate_champion
+    _, test = _train_eval(spark, sf_dir)
+    t = M.best_f1_threshold(test, "churn_probability", "Churn_binary").first()["threshold"]
+    auc, m, rep = evaluate_champion(test, "Churn_binary", t)
+    return rep.withColumns({"auc": auc.select("auc").scalar(), "threshold": F.lit(float(t)),
+                            "f1_at_threshold": m.select("f1").scalar()})
+
+
 @query("feature_importance")
 def feature_importance(spark, sf_dir):
     """M7: gain and split importance of the churn model."""

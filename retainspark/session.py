@@ -30,6 +30,7 @@ def build_session(master: str | None = None, cpus: int | None = None,
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.driver.memory", "16g"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
