@@ -76,6 +76,29 @@ def describe_lineitem(spark, sf_dir):
     return P.describe(read_table(spark, sf_dir, "lineitem"), LINEITEM_NUM)
 
 
+# numeric feature columns (P21: selected by type from the feature table's schema)
+_NUMERIC_FEATURES = ("gender", "SeniorCitizen", "Partner", "Dependents", "tenure", "PhoneService",
+                     "MultipleLines", "OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport",
+                     "StreamingTV", "StreamingMovies", "PaperlessBilling", "MonthlyCharges", "TotalCharges",
+                     "Churn_binary", "InternetService_encoded", "Contract_encoded", "PaymentMethod_encoded",
+                     "recency_risk", "service_count", "monetary_value", "monthly_to_total_ratio",
+                     "charge_per_month", "clv_proxy", "contract_stability", "digital_engagement",
+                     "is_high_value")
+
+
+@query("describe_features", S.with_(*S.FEATURE_CHAIN, S.HIGH_VALUE) + _union_sql([
+    f"SELECT '{c}' AS column_name, count({c}) AS count, avg({c}) AS mean, stddev_samp({c}) AS std, "
+    f"CAST(min({c}) AS DOUBLE) AS min, quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25, "
+    f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75, "
+    f"CAST(max({c}) AS DOUBLE) AS max FROM featv" for c in _NUMERIC_FEATURES]),
+    doubles=("mean", "std", "min", "q25", "q50", "q75", "max"))
+def describe_features(spark, sf_dir):
+    """A1 over every numeric column of the feature table (P21 type selection)."""
+    from ..functions.features import numeric_columns
+    f = features_table(spark, sf_dir)
+    return P.describe(f, numeric_columns(f))
+
+
 # ----------------------------------------------------------- A2 missing
 _TRAIN_ENC_COLS = ("gender", "Partner", "Dependents", "PhoneService", "PaperlessBilling",
                    "MultipleLines", "OnlineSecurity", "OnlineBackup", "DeviceProtection",
