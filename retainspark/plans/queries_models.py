@@ -104,6 +104,25 @@ def feature_importance(spark, sf_dir):
     return ML.feature_importance(model, FEATURE_COLS)
 
 
+def _tree_attr(spark, sf_dir):
+    model, _ = _train_eval(spark, sf_dir)
+    return AT.tree_attributions(_features(spark, sf_dir), model, FEATURE_COLS, "customerID")
+
+
+@query("tree_attribution_importance")
+def tree_attribution_importance(spark, sf_dir):
+    """E13 (tree form) + E14: mean |attribution| per feature of the boosted
+    churn model over every customer."""
+    return AT.global_importance(_tree_attr(spark, sf_dir), "customerID")
+
+
+@query("tree_top_drivers")
+def tree_top_drivers(spark, sf_dir):
+    """E15 over tree attributions: five drivers and protectors per customer
+    (the explain payload for every row)."""
+    return AT.top_drivers(_tree_attr(spark, sf_dir), "customerID", 5)
+
+
 @query("cross_validated_auc")
 def cross_validated_auc(spark, sf_dir):
     """M6: 5-fold stratified CV of the linear churn model's AUC."""

@@ -257,3 +257,23 @@ def test_fingerprint_detects_change(spark, tmp_path):
     assert IO.validate_fingerprint(df.orderBy(F.desc("id")), p)  # order-insensitive
     with pytest.raises(ValueError):
         IO.validate_fingerprint(df.withColumn("x", F.col("x") + 1), p)
+
+
+# --------------------------------------------------------------- tree attributions
+
+
+def test_tree_shap_efficiency(spark):
+    from retainspark.operators.attribution import tree_attributions
+    from retainspark.operators.models import train_gbt
+    rnd = np.random.default_rng(8)
+    a, b, c = rnd.random(600), rnd.random(600), rnd.random(600)
+    y = ((a + 0.5 * b + 0.2 * rnd.random(600)) > 0.9).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"id": np.arange(600), "a": a, "b": b, "c": c, "y": y}))
+    model = train_gbt(df, ["a", "b", "c"], "y", {"maxIter": 8, "maxDepth": 3, "featureSubsetStrategy": "all",
+                                                 "subsamplingRate": 1.0, "minInstancesPerNode": 1},
+                      weight=None)
+    attr = tree_attributions(df, model, ["a", "b", "c"], "id").toPandas().set_index("id")
+    raw = model.transform(df).select("id", "rawPrediction").toPandas().set_index("id")
+    logodds = raw["rawPrediction"].map(lambda v: 2 * float(v[1]))
+    total = attr[["shap_a", "shap_b", "shap_c"]].sum(axis=1) + attr["base_value"]
+    assert np.allclose(total.loc[logodds.index].to_numpy(), logodds.to_numpy(), atol=1e-9)
