@@ -177,7 +177,7 @@ def table_audit(tables: dict) -> DataFrame:
     """Per table its row count and latest timestamp, unioned.
     ``tables`` maps a name to (DataFrame, timestamp column)."""
     parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"),
-                    F.max(F.col(ts).cast("timestamp")).alias("latest"))
+                    F.max(F.col(ts)).alias("latest"))
              for name, (df, ts) in tables.items()]
     out = parts[0]
     for p in parts[1:]:

@@ -44,8 +44,13 @@ def csv_roundtrip_customers(spark, sf_dir):
 
 
 def _batch_times(spark, sf_dir):
-    t1 = read_table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).first()[0]
-    return t1, t1 + timedelta(days=1)
+    """Latest order time and one day later, as timezone-free scalar columns."""
+    t1 = read_table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).scalar()
+    return t1, t1 + F.expr("INTERVAL 1 DAY")
+
+
+def _batch_start(spark, sf_dir):
+    return read_table(spark, sf_dir, "orders").agg(F.max("o_orderdate")).first()[0]
 
 
 @query("upsert_scores", S.with_(*S.SCORE_CHAIN, """
@@ -66,12 +71,12 @@ def upsert_scores(spark, sf_dir):
     feats = features_table(spark, sf_dir, with_high_value=False)
     bs = batch_scores(feats)
     b1 = bs.where(_week() <= 6).select("user_id", "churn_probability", "segment",
-                                     F.lit(t1).cast("timestamp").alias("scored_at"))
+                                     t1.alias("scored_at"))
     from ..functions.scoring import retention_scores
     s2 = retention_scores(feats).select(F.col("customerID").alias("user_id"), "p_treated")
     b2 = s2.where(_week() >= 5).select("user_id", round_half_even("p_treated", 4).alias("churn_probability"),
                                      F.lit("rescored").alias("segment"),
-                                     F.lit(t2).cast("timestamp").alias("scored_at"))
+                                     t2.alias("scored_at"))
     path = IO.work_dir(spark, "scores")
     IO.upsert(b1, path, "user_id", "scored_at", now=F.col("scored_at"))
     return IO.upsert(b2, path, "user_id", "scored_at", now=F.col("scored_at"))
@@ -88,8 +93,8 @@ def insert_ignore_customers(spark, sf_dir):
     t1, t2 = _batch_times(spark, sf_dir)
     raw = customers_raw(spark, sf_dir).select("customer_id", "contract", "tenure")
     wk = F.expr("CAST(substring(customer_id, 2) AS BIGINT)") % 8 + 1
-    e = raw.where(wk <= 6).withColumn("loaded_at", F.lit(t1).cast("timestamp"))
-    i = raw.withColumn("tenure", F.col("tenure") + 1).withColumn("loaded_at", F.lit(t2).cast("timestamp"))
+    e = raw.where(wk <= 6).withColumn("loaded_at", t1)
+    i = raw.withColumn("tenure", F.col("tenure") + 1).withColumn("loaded_at", t2)
     path = IO.work_dir(spark, "customers")
     IO.insert_ignore(e, path, "customer_id", "loaded_at")
     return IO.insert_ignore(i, path, "customer_id", "loaded_at")
@@ -145,7 +150,7 @@ def _registry(spark, sf_dir):
     f1 = M.best_f1_threshold(ev, "score4", "Churn_binary").first()["f1"]
     cidx = SV.concordance_index(ev.withColumn("neg_risk", -F.col("score4")), "tenure", "Churn_binary",
                                 "neg_risk").first()["c_index"]
-    t1, _ = _batch_times(spark, sf_dir)
+    t1 = _batch_start(spark, sf_dir)
     r1 = reg.log_run("lightgbm_baseline", {"model": "fixed_logistic"}, {"auc_roc": auc, "f1": f1},
                      {"promoted": "true", "data_commit": "0123456789abcdef"}, start_time=t1)
     v1 = reg.register_model(r1)

@@ -94,8 +94,12 @@ def read_current(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def _next_version_path(path: str) -> str:
-    v = _versions(path)
-    return os.path.join(path, f"{VERSION_PREFIX}{(v[-1] + 1) if v else 0}")
+    """One past every version folder, committed or not, so a retried write
+    never lands in a half-written folder left by a failed attempt."""
+    p = path.replace("file:", "")
+    seen = [int(d[len(VERSION_PREFIX):]) for d in (os.listdir(p) if os.path.isdir(p) else [])
+            if d.startswith(VERSION_PREFIX) and d[len(VERSION_PREFIX):].isdigit()]
+    return os.path.join(path, f"{VERSION_PREFIX}{(max(seen) + 1) if seen else 0}")
 
 
 # ------------------------------------------------------------------ S6 / S7
@@ -108,7 +112,7 @@ def upsert(incoming: DataFrame, path: str, key: str, order_col: str,
     with the greatest ``order_col`` wins.  Writes a new version and returns it."""
     spark = incoming.sparkSession
     now = now if now is not None else F.current_timestamp()
-    inc = incoming.withColumn(created_col, now.cast("timestamp"))
+    inc = incoming.withColumn(created_col, now)
     cols = [c for c in inc.columns if c != key]
     cur = read_current(spark, path)
     parts = [inc.select(key, *cols, F.lit(1).alias("__side"), F.col(order_col).alias("__ord"))]
