@@ -34,6 +34,7 @@ from ..session import stable
 
 _ORDER = re.compile(r"^Column<'(.+) (ASC|DESC) NULLS (FIRST|LAST)'>$")
 SAMPLE_PER_BUCKET = 64
+SMALL_BUCKET_ROWS = 4096
 SAMPLE_SEED = 17
 
 
@@ -91,7 +92,8 @@ def _boundaries(df: DataFrame, specs, n: int):
               .orderBy(*[_sort_col(s) for s in specs]).collect())
     if len(sample) <= 1:
         return []
-    k = min(n, len(sample))
+    # a sample smaller than m is the whole input: size buckets from it
+    k = n if len(sample) >= m else max(1, min(n, -(-len(sample) // SMALL_BUCKET_ROWS)))
     bounds = []
     for j in range(1, k):
         b = tuple(sample[(j * len(sample)) // k])
