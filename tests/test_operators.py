@@ -277,3 +277,27 @@ def test_tree_shap_efficiency(spark):
     logodds = raw["rawPrediction"].map(lambda v: 2 * float(v[1]))
     total = attr[["shap_a", "shap_b", "shap_c"]].sum(axis=1) + attr["base_value"]
     assert np.allclose(total.loc[logodds.index].to_numpy(), logodds.to_numpy(), atol=1e-9)
+
+
+# --------------------------------------------------------------- registry
+
+
+def test_champion_challenger_rules(spark, tmp_path):
+    from retainspark.operators.registry import Registry, champions
+    reg = Registry(spark, str(tmp_path / "reg"))
+    r1 = reg.log_run("lgbm_a", {}, {"auc_roc": 0.80}, {"promoted": "true"})
+    v1 = reg.register_model(r1)
+    assert reg.champion_challenger(v1, 0.80) is True          # no champion yet
+    r2 = reg.log_run("lgbm_b", {}, {"auc_roc": 0.79})
+    v2 = reg.register_model(r2)
+    assert reg.champion_challenger(v2, 0.79) is False         # not strictly better
+    r3 = reg.log_run("lgbm_c", {}, {"auc_roc": 0.85})
+    v3 = reg.register_model(r3)
+    assert reg.champion_challenger(v3, 0.85) is True
+    reg.set_tag(r3, "promoted", "true")
+    aliases = {r.alias: r.version for r in reg.current_aliases().collect()}
+    assert aliases["champion"] == v3 and aliases["archived"] == v1
+    summ = {r.version: r.aliases for r in reg.summary().collect()}
+    assert summ[v3] == ["champion", "staging"] and summ[v1] == ["archived"] and summ[v2] == []
+    ch = {r.metric: r.score for r in champions(reg.current_runs()).collect()}
+    assert ch["auc_roc"] == pytest.approx(0.85)
