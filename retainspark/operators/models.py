@@ -20,7 +20,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import global_running_sum
@@ -90,22 +90,6 @@ def assembler(features) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
 
-def _truncate(gbt_model, k: int):
-    """The first k trees of a fitted boosted ensemble (same trees and weights)."""
-    from pyspark.ml.classification import GBTClassificationModel
-    spark = SparkSession.getActiveSession()
-    gw, jvm = spark.sparkContext._gateway, spark._jvm
-    jm = gbt_model._java_obj
-    trees, weights = jm.trees(), jm.treeWeights()
-    arr = gw.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, k)
-    warr = gw.new_array(jvm.double, k)
-    for i in range(k):
-        arr[i], warr[i] = trees[i], weights[i]
-    jnew = jvm.org.apache.spark.ml.classification.GBTClassificationModel(jm.uid(), arr, warr,
-                                                                          jm.numFeatures())
-    return GBTClassificationModel(jnew)
-
-
 def best_prefix(losses, patience: int) -> int:
     """Number of rounds a patience-based early stop keeps: boosting stops
     once ``patience`` rounds bring no new minimum of the hold-out loss."""
@@ -122,9 +106,11 @@ def train_gbt(train: DataFrame, features, label: str, params: dict | None = None
               weight: str | None = "weight", validation: str | None = None,
               patience: int = EARLY_STOPPING_ROUNDS):
     """M3: boosted-tree pipeline (assembler + GBT).  With ``validation`` (a
-    boolean column) those rows are held out of training and the ensemble is
-    cut to the rounds a ``patience``-round early stop on their log-loss
-    would keep (Spark's own early stop has no patience window)."""
+    boolean column) those rows are held out of training, the per-round
+    hold-out log-loss of the fitted ensemble picks the number of rounds a
+    ``patience``-round early stop would keep (Spark's own early stop has no
+    patience window), and the model is refitted with that many rounds (same
+    seed and input, so the same leading trees)."""
     p = dict(GBT_PARAMS, **(params or {}))
     kw = dict(labelCol=label, featuresCol="features", **p)
     if weight:
@@ -136,7 +122,8 @@ def train_gbt(train: DataFrame, features, label: str, params: dict | None = None
         losses = model.stages[-1].evaluateEachIteration(val)
         k = best_prefix(losses, patience)
         if k < len(losses):
-            model.stages[-1] = _truncate(model.stages[-1], k)
+            kw["maxIter"] = k
+            model = Pipeline(stages=[assembler(features), GBTClassifier(**kw)]).fit(fit_rows)
     return model
 
 
