@@ -109,9 +109,14 @@ def column_drift(ref: DataFrame, cur: DataFrame, cols=None, group: str | None =
     nxt = r.select("grp", "col_name", (F.col("pos") - 1).alias("pos"), F.col("v").alias("v_next"))
     r = r.join(nxt, ["grp", "col_name", "pos"], "left")
     # reference moments for the Wasserstein norm (population std) and PSI bins
-    mom = (_stack(ref, cols, 0, None).groupBy("col_name")
-           .agg(F.stddev_pop("v").alias("ref_std")))
-    r = r.join(F.broadcast(mom), "col_name")  # one row per column
+    # from the reduced counts, two passes (mean, then Σ n·(v − mean)²)
+    ref_vals = counts.where(F.col("nr") > 0)
+    mean = ref_vals.groupBy("grp", "col_name").agg(
+        (F.sum(F.col("nr") * F.col("v")) / F.sum("nr")).alias("__mean"))
+    mom = (ref_vals.join(mean, ["grp", "col_name"]).groupBy("grp", "col_name")
+           .agg(F.sqrt(F.sum(F.col("nr") * F.pow(F.col("v") - F.col("__mean"), 2)) / F.sum("nr"))
+                .alias("ref_std")))
+    r = r.join(F.broadcast(mom), ["grp", "col_name"])  # one row per (group, column)
     width = (F.col("ref_max") - F.col("ref_min")) / PSI_BINS
     b = F.when(width > 0, F.least(F.lit(PSI_BINS - 1), F.greatest(F.lit(0), F.floor(
         (F.col("v") - F.col("ref_min")) / width)))).otherwise(F.lit(0)).cast("int")
