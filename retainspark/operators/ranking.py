@@ -135,7 +135,7 @@ def global_running_sum(df: DataFrame, order_by: list, values: dict,
     # offsets: everything in earlier buckets (no groups), or the carry of the
     # one group per bucket that started in an earlier bucket
     offs = {t: F.lit(0).cast(kinds[t]) for t in tmp}
-    if not groups:
+    if not groups and nb > 1:
         tot = sorted(work.groupBy("__b").agg(*[F.sum(t).alias(t) for t in tmp]).collect(),
                      key=lambda r: r["__b"])  # ≤ buckets rows
         acc = {t: 0 for t in tmp}
