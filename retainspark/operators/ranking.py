@@ -225,7 +225,7 @@ def arg_extremes(df: DataFrame, id_col: str, score: str, mid: float = 0.5) -> Da
     (one global aggregate; ties resolved by the smallest id)."""
     s, i = F.col(score), F.col(id_col)
     return df.agg(
-        F.max_by(i, F.struct(s, -i if _numeric(df, id_col) else F.lit(0))).alias("highest_id"),
+        F.min_by(i, F.struct(-s, i)).alias("highest_id"),
         F.min_by(i, F.struct(s, i)).alias("lowest_id"),
         F.min_by(i, F.struct(F.abs(s - F.lit(mid)), i)).alias("nearest_mid_id"),
     )

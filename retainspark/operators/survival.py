@@ -251,21 +251,36 @@ def survival_at(df: DataFrame, fit: dict, horizons=(7, 30, 90)) -> DataFrame:
 def expected_remaining(df: DataFrame, fit: dict, tenure: str = "tenure") -> DataFrame:
     """Expected lifetime = trapezoid ∫S(t|x)dt over the baseline
     timeline, minus current tenure, floored at 0, 1 decimal (numpy rounding).
-    Also ``expected_residual`` – the conditional version ∫_{tenure}^∞ S / S(tenure)."""
+    Also ``expected_residual`` – the conditional version ∫_{tenure}^∞ S dt / S(tenure)
+    (SURVEY D12 keeps the unconditional form as the reproduced one)."""
     bh = baseline_hazard(fit).orderBy("t").collect()
     ts = F.array(*[F.lit(float(r["t"])) for r in bh])
     hs = F.array(*[F.lit(float(r["H0"])) for r in bh])
     k = len(bh)
     ph = partial_hazard(fit)
-    s_at = lambda i: F.exp(-F.element_at(hs, i + 1) * ph)
     trap = F.aggregate(
         F.sequence(F.lit(0), F.lit(max(k - 2, 0))), F.lit(0.0),
         lambda acc, i: acc + (F.element_at(ts, i + 2) - F.element_at(ts, i + 1))
         * (F.exp(-F.element_at(hs, i + 1) * ph) + F.exp(-F.element_at(hs, i + 2) * ph)) / 2.0)
     expect = trap if k > 1 else F.lit(0.0)
     rem = F.greatest(F.lit(0.0), F.rint((expect - F.col(tenure)) * 10.0) / 10.0)
-    del s_at
-    return df.withColumns({"expected_lifetime": expect, "expected_tenure_remaining": rem})
+    # conditional residual life E[T − t0 | T > t0] = ∫_{t0} S dt / S(t0), S a
+    # right-continuous step on the timeline (S(t0) = S at the last point ≤ t0)
+    t0 = F.col(tenure).cast("double")
+    s_k = lambda i: F.exp(-F.element_at(hs, i + 1) * ph)
+    tail = F.aggregate(
+        F.sequence(F.lit(0), F.lit(max(k - 2, 0))), F.lit(0.0),
+        lambda acc, i: acc + F.when(
+            F.element_at(ts, i + 2) > t0,
+            (F.element_at(ts, i + 2) - F.greatest(F.element_at(ts, i + 1), t0))
+            * (s_k(i) + s_k(i + 1)) / 2.0).otherwise(F.lit(0.0)))
+    last_le = F.aggregate(F.sequence(F.lit(0), F.lit(max(k - 1, 0))), F.lit(0.0),
+                          lambda acc, i: F.when(F.element_at(ts, i + 1) <= t0,
+                                                F.element_at(hs, i + 1)).otherwise(acc))
+    s_t0 = F.exp(-last_le * ph)
+    resid = F.when((F.lit(k) > 1) & (s_t0 > 0), tail / s_t0).otherwise(F.lit(0.0))
+    return df.withColumns({"expected_lifetime": expect, "expected_tenure_remaining": rem,
+                           "expected_residual": resid})
 
 
 # ------------------------------------------------------------------ E8

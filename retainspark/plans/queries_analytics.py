@@ -520,11 +520,7 @@ SELECT (SELECT customerID FROM scu ORDER BY score4 DESC, customerID LIMIT 1) AS
        (SELECT customerID FROM scu ORDER BY abs(score4 - 0.5), customerID LIMIT 1) AS nearest_mid_id""")
 def arg_extremes(spark, sf_dir):
     """Highest, lowest and most borderline customers."""
-    ev = _eval_frame(spark, sf_dir)
-    s, i = F.col("score4"), F.col("customerID")
-    return ev.agg(F.min_by(i, F.struct(-s, i)).alias("highest_id"),
-                  F.min_by(i, F.struct(s, i)).alias("lowest_id"),
-                  F.min_by(i, F.struct(F.abs(s - 0.5), i)).alias("nearest_mid_id"))
+    return R.arg_extremes(_eval_frame(spark, sf_dir), "customerID", "score4")
 
 
 @query("latest_event_per_user", """

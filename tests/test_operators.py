@@ -301,3 +301,28 @@ def test_champion_challenger_rules(spark, tmp_path):
     assert summ[v3] == ["champion", "staging"] and summ[v1] == ["archived"] and summ[v2] == []
     ch = {r.metric: r.score for r in champions(reg.current_runs()).collect()}
     assert ch["auc_roc"] == pytest.approx(0.85)
+
+
+def test_expected_residual_matches_numpy(spark):
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=400)
+    t = np.floor(rnd.exponential(scale=np.exp(-0.5 * x)) * 10) + 1
+    df = spark.createDataFrame([(float(a), float(b), 1) for a, b in zip(x, t)], "x double, tenure double, e int")
+    fit = SV.cox_fit(df, "tenure", "e", ["x"], penalizer=0.0)
+    bh = SV.baseline_hazard(fit).orderBy("t").toPandas()
+    out = SV.expected_remaining(df, fit).select("x", "tenure", "expected_lifetime", "expected_residual").toPandas()
+    ts, hs = bh["t"].to_numpy(), bh["H0"].to_numpy()
+    coef, mean = fit["coef"][0], fit["mean"][0]
+    for _, r in out.head(25).iterrows():
+        ph = math.exp(coef * (r.x - mean))
+        s = np.exp(-hs * ph)
+        assert r.expected_lifetime == pytest.approx(float(np.trapezoid(s, ts)), rel=1e-9)
+        t0 = r.tenure
+        k = np.searchsorted(ts, t0, side="right") - 1
+        s0 = s[k] if k >= 0 else 1.0
+        grid = np.concatenate([[t0], ts[ts > t0]])
+        vals = np.concatenate([[s[k] if k >= 0 else 1.0], s[ts > t0]])
+        # trapezoid with the step value at t0 for the first segment
+        tail = sum((grid[j + 1] - grid[j]) * ((s[k] if (j == 0 and k >= 0) else vals[j]) + vals[j + 1]) / 2
+                   for j in range(len(grid) - 1))
+        assert r.expected_residual == pytest.approx(tail / s0, rel=1e-9)
