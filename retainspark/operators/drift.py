@@ -89,7 +89,7 @@ def column_drift(ref: DataFrame, cur: DataFrame, cols=None, group: str | None =
     if group:
         # the group labels (e.g. 8 weeks) are few; each reference value row is
         # repeated once per group so every group is compared with the whole reference
-        labels = [r["grp"] for r in cur_counts.select("grp").distinct().collect()]
+        labels = [r["grp"] for r in cur_counts.select("grp").distinct().collect()]  # group labels
         ref_g = ref_counts.withColumn("grp", F.explode(F.array(*[F.lit(x) for x in labels])))
     else:
         ref_g = ref_counts.withColumn("grp", F.lit("all"))

@@ -237,7 +237,7 @@ def survival_at(df: DataFrame, fit: dict, horizons=(7, 30, 90)) -> DataFrame:
     """S(h | x) = exp(−H0(h)·partial hazard), H0 a right-continuous step
     function of the baseline timeline (bounded: one value per distinct
     duration, inlined as literal arrays)."""
-    bh = baseline_hazard(fit).orderBy("t").collect()
+    bh = baseline_hazard(fit).orderBy("t").collect()  # ≤ distinct durations
     ts = [r["t"] for r in bh]
     hs = [r["H0"] for r in bh]
     cols = {}
@@ -253,7 +253,7 @@ def expected_remaining(df: DataFrame, fit: dict, tenure: str = "tenure") -> Data
     timeline, minus current tenure, floored at 0, 1 decimal (numpy rounding).
     Also ``expected_residual`` – the conditional version ∫_{tenure}^∞ S dt / S(tenure)
     (SURVEY D12 keeps the unconditional form as the reproduced one)."""
-    bh = baseline_hazard(fit).orderBy("t").collect()
+    bh = baseline_hazard(fit).orderBy("t").collect()  # ≤ distinct durations
     ts = F.array(*[F.lit(float(r["t"])) for r in bh])
     hs = F.array(*[F.lit(float(r["H0"])) for r in bh])
     k = len(bh)
