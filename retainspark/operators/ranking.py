@@ -4,8 +4,8 @@
 window (``SUM(x) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING)``), which Spark
 would otherwise evaluate in a single task.  It stays inside the JVM:
 
-1. A bounded sample of the (total, tie-broken) sort key – the per-partition
-   top-m of a seeded random order, m = 64 × buckets – fixes bucket
+1. A bounded sample of the (total, tie-broken) sort key – a Bernoulli
+   sample at rate m/N after a row count, m = 64 × buckets – fixes bucket
    boundaries, so each bucket is a contiguous, similarly sized slice of the
    global order.  Rows get their bucket from a balanced CASE tree over the
    literal boundaries (log₂ buckets comparisons), a deterministic expression,
@@ -86,14 +86,22 @@ def _bucket_expr(specs, bounds) -> Column:
 
 
 def _boundaries(df: DataFrame, specs, n: int):
+    """Bucket boundaries from a sample of about m = 64·n sort keys.  The
+    input is counted first; a Bernoulli sample at rate ≈ m/N keeps the rows
+    brought to the driver near m whatever the input size (inputs of at most
+    m rows are small and read whole)."""
     names = [s[0] for s in specs]
     m = SAMPLE_PER_BUCKET * n
-    sample = (df.select(*names).orderBy(F.rand(SAMPLE_SEED)).limit(m)  # bounded sample
-              .orderBy(*[_sort_col(s) for s in specs]).collect())
+    total = df.count()
+    if total <= 1:
+        return []
+    keys = df.select(*names)
+    if total > m:
+        keys = keys.sample(withReplacement=False, fraction=min(1.0, 1.2 * m / total), seed=SAMPLE_SEED)
+    sample = keys.orderBy(*[_sort_col(s) for s in specs]).collect()  # ≈ m rows
     if len(sample) <= 1:
         return []
-    # a sample smaller than m is the whole input: size buckets from it
-    k = n if len(sample) >= m else max(1, min(n, -(-len(sample) // SMALL_BUCKET_ROWS)))
+    k = n if total > m else max(1, min(n, -(-total // SMALL_BUCKET_ROWS)))
     bounds = []
     for j in range(1, k):
         b = tuple(sample[(j * len(sample)) // k])
