@@ -102,17 +102,49 @@ def group_means(df: DataFrame, by: str, cols) -> DataFrame:
     return df.groupBy(by).agg(*[F.avg(c).alias(f"avg_{c}") for c in cols])
 
 
+CODEGEN_MAX_FIELDS = 100  # Spark's default spark.sql.codegen.maxFields
+
+
 def correlation_matrix(df: DataFrame, cols) -> DataFrame:
-    """Pearson correlation for every column pair in one aggregate;
-    long form (col_a, col_b, corr) with col_a before col_b in ``cols``."""
+    """Pearson correlation for every column pair, long form
+    (col_a, col_b, corr) with col_a before col_b in ``cols``.
+
+    Spark's ``corr`` keeps 6 buffer values per pair; 66 pairs exceed the
+    whole-stage-codegen field limit and would run interpreted.  Instead:
+    pass 1 (one row) gives counts and means; when no column has NULLs,
+    pass 2 accumulates centred sums Σ(x−x̄)(y−ȳ) and Σ(x−x̄)² – one
+    numerically stable, codegen'd aggregate of p(p+1)/2 + 1 sums.  With NULLs
+    the pairwise-complete ``corr`` runs in chunks that fit the codegen limit."""
     cols = list(cols)
+    x = {c: F.col(c).cast("double") for c in cols}
     pairs = list(combinations(range(len(cols)), 2))
-    one = df.agg(*[F.corr(F.col(cols[a]).cast("double"), F.col(cols[b]).cast("double")).alias(f"c{k}")
-                   for k, (a, b) in enumerate(pairs)])
-    return one.select(F.explode(F.array(*[
-        F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"),
-                 F.col(f"c{k}").alias("corr")) for k, (a, b) in enumerate(pairs)])).alias("s")
-    ).select("s.*")
+    first = df.agg(F.count(F.lit(1)).alias("__n"),
+                   *[F.count(x[c]).alias(f"__c{i}") for i, c in enumerate(cols)],
+                   *[F.avg(x[c]).alias(f"__m{i}") for i, c in enumerate(cols)]).first()  # one row
+    n = first["__n"]
+    if all(first[f"__c{i}"] == n for i in range(len(cols))):
+        mean = {c: F.lit(float(first[f"__m{i}"] or 0.0)) for i, c in enumerate(cols)}
+        d = {c: x[c] - mean[c] for c in cols}
+        sums = df.agg(*[F.sum(d[c] * d[c]).alias(f"s{i}") for i, c in enumerate(cols)],
+                      *[F.sum(d[cols[a]] * d[cols[b]]).alias(f"p{k}") for k, (a, b) in enumerate(pairs)])
+        corr = lambda k, a, b: F.col(f"p{k}") / F.sqrt(F.col(f"s{a}") * F.col(f"s{b}"))
+        long = sums.select(F.explode(F.array(*[
+            F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"),
+                     F.when((F.col(f"s{a}") > 0) & (F.col(f"s{b}") > 0), corr(k, a, b)).alias("corr"))
+            for k, (a, b) in enumerate(pairs)])).alias("t"))
+        return long.select("t.*")
+    per_chunk = max(1, CODEGEN_MAX_FIELDS // 6 - 1)
+    parts = []
+    for lo in range(0, len(pairs), per_chunk):
+        chunk = list(enumerate(pairs))[lo:lo + per_chunk]
+        one = df.agg(*[F.corr(x[cols[a]], x[cols[b]]).alias(f"c{k}") for k, (a, b) in chunk])
+        parts.append(one.select(F.explode(F.array(*[
+            F.struct(F.lit(cols[a]).alias("col_a"), F.lit(cols[b]).alias("col_b"),
+                     F.col(f"c{k}").alias("corr")) for k, (a, b) in chunk])).alias("t")).select("t.*"))
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
 
 
 def target_correlation(df: DataFrame, target: str, cols) -> DataFrame:

@@ -326,3 +326,20 @@ def test_expected_residual_matches_numpy(spark):
         tail = sum((grid[j + 1] - grid[j]) * ((s[k] if (j == 0 and k >= 0) else vals[j]) + vals[j + 1]) / 2
                    for j in range(len(grid) - 1))
         assert r.expected_residual == pytest.approx(tail / s0, rel=1e-9)
+
+
+def test_correlation_matrix_both_paths(spark):
+    from retainspark.operators.profile import correlation_matrix
+    rnd = np.random.default_rng(12)
+    pdf = pd.DataFrame(rnd.normal(size=(500, 14)) * rnd.uniform(1, 1e5, 14), columns=[f"c{i}" for i in range(14)])
+    pdf["c1"] = pdf["c0"] * 0.5 + pdf["c1"] * 1e-3
+    for with_nulls in (False, True):
+        frame = pdf.copy()
+        if with_nulls:
+            frame.loc[::7, "c3"] = None
+        got = {(r.col_a, r.col_b): r.corr for r in correlation_matrix(spark.createDataFrame(frame),
+                                                                      list(frame.columns)).collect()}
+        want = frame.corr()
+        assert len(got) == 14 * 13 // 2
+        for (a, b), v in got.items():
+            assert v == pytest.approx(want.loc[a, b], abs=1e-9)
