@@ -12,7 +12,10 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles
+from .quantiles import exact_quantiles, quantiles_from_counts, value_counts_long
+
+# aggregates wider than this many buffer fields leave whole-stage codegen
+CODEGEN_MAX_FIELDS = 100  # Spark's default spark.sql.codegen.maxFields
 
 
 def _cols(df: DataFrame, cols):
@@ -21,24 +24,42 @@ def _cols(df: DataFrame, cols):
 
 def describe(df: DataFrame, cols) -> DataFrame:
     """A1: count, mean, sample std, min, exact quartiles (linear
-    interpolation), max per column – long form (one row per column)."""
+    interpolation), max per column – long form (one row per column).
+
+    Every column is reduced to (value, count) pairs in one pass
+    (``value_counts_long``); extremes, quartiles and the spread
+    Σ n·(v − mean)² come from that reduced table.  Means are ordinary
+    row-wise averages (one codegen-sized aggregate per 32 columns)."""
     cols = list(cols)
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    one = df.agg(*aggs)
-    stats = one.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"), F.col(f"m{i}").alias("mean"),
-                 F.col(f"s{i}").alias("std"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
-        for i, c in enumerate(cols)])).alias("s")).select("s.*")
-    q = (exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+    counts = value_counts_long(df, cols)
+    # row-wise means (the usual floating-point average), in codegen-sized chunks
+    per = max(1, CODEGEN_MAX_FIELDS // 3 - 1)
+    mean_parts = []
+    for lo in range(0, len(cols), per):
+        chunk = list(enumerate(cols))[lo:lo + per]
+        one = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in chunk])
+        mean_parts.append(one.select(F.explode(F.array(*[
+            F.struct(F.lit(i).alias("ci"), F.col(f"m{i}").alias("mean")) for i, c in chunk])).alias("t"))
+            .select("t.*"))
+    means = mean_parts[0]
+    for p_ in mean_parts[1:]:
+        means = means.unionByName(p_)
+    first = counts.groupBy("ci").agg(F.sum("n").alias("count"), F.min("v").alias("min"),
+                                     F.max("v").alias("max")).join(means, "ci", "left")
+    spread = (counts.join(first.select("ci", "mean", "count"), "ci").groupBy("ci", "count")
+              .agg(F.sum(F.col("n") * F.pow(F.col("v") - F.col("mean"), 2)).alias("__ss")))
+    std = spread.select("ci", F.when(F.col("count") > 1, F.sqrt(F.col("__ss") / (F.col("count") - 1)))
+                        .alias("std"))
+    q = (quantiles_from_counts(counts, cols, [0.25, 0.5, 0.75])
          .groupBy("column_name").pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value")))
     q = q.select("column_name", F.col("`0.25`").alias("q25"), F.col("`0.5`").alias("q50"),
                  F.col("`0.75`").alias("q75"))
-    return stats.join(q, "column_name", "left").select(
-        "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("ci"), F.lit(c).alias("column_name")) for i, c in enumerate(cols)
+    ])).alias("s")).select("s.*")  # one row per described column
+    out = (names.join(first, "ci", "left").join(std, "ci", "left").join(q, "column_name", "left"))
+    return out.select("column_name", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
+                      "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def missing_profile(df: DataFrame, cols=None) -> DataFrame:
@@ -102,9 +123,6 @@ def group_means(df: DataFrame, by: str, cols) -> DataFrame:
     return df.groupBy(by).agg(*[F.avg(c).alias(f"avg_{c}") for c in cols])
 
 
-CODEGEN_MAX_FIELDS = 100  # Spark's default spark.sql.codegen.maxFields
-
-
 def correlation_matrix(df: DataFrame, cols) -> DataFrame:
     """Pearson correlation for every column pair, long form
     (col_a, col_b, corr) with col_a before col_b in ``cols``.

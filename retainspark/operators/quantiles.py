@@ -22,14 +22,25 @@ from ..session import stable
 from .ranking import global_running_sum
 
 
-def exact_quantiles(df: DataFrame, columns, qs) -> DataFrame:
-    """Long result: (column_name, q, value) for every column × quantile."""
-    columns, qs = list(columns), [float(q) for q in qs]
+def value_counts_long(df: DataFrame, columns) -> DataFrame:
+    """(ci, v, n): non-NULL values of every column (ci = position in
+    ``columns``) reduced to counts per distinct value in one pass – partial
+    aggregation before the shuffle.  Checkpointed: several steps reuse it."""
     stacked = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
         for i, c in enumerate(columns)])).alias("s")).select("s.ci", "s.v")
-    counts = stable(stacked.where(F.col("v").isNotNull()).groupBy("ci", "v").agg(
-        F.count(F.lit(1)).alias("n")))  # reduced table, reused below
+    return stable(stacked.where(F.col("v").isNotNull()).groupBy("ci", "v").agg(
+        F.count(F.lit(1)).alias("n")))
+
+
+def column_names(columns):
+    """Column name for a ``ci`` position."""
+    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("ci") + 1)
+
+
+def quantiles_from_counts(counts: DataFrame, columns, qs) -> DataFrame:
+    """Exact linear-interpolated quantiles from a ``value_counts_long`` table."""
+    qs = [float(q) for q in qs]
     ranked = global_running_sum(counts, [F.asc("v")], {"cum": F.col("n")}, partition_by=["ci"],
                                 nonnegative=True)
     totals = counts.groupBy("ci").agg(F.sum("n").alias("N"))
@@ -45,8 +56,13 @@ def exact_quantiles(df: DataFrame, columns, qs) -> DataFrame:
     lohi = hits.groupBy("ci", "q", "h", "lo").agg(
         F.min_by("v", F.col("cum")).alias("v_lo"), F.max_by("v", F.col("cum")).alias("v_hi"))
     val = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("lo"))
-    names = F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("ci") + 1)
-    return lohi.select(names.alias("column_name"), "q", val.alias("value"))
+    return lohi.select(column_names(list(columns)).alias("column_name"), "q", val.alias("value"))
+
+
+def exact_quantiles(df: DataFrame, columns, qs) -> DataFrame:
+    """Long result: (column_name, q, value) for every column × quantile."""
+    columns = list(columns)
+    return quantiles_from_counts(value_counts_long(df, columns), columns, qs)
 
 
 def exact_quantile_scalar(df: DataFrame, column: str, q: float) -> Column:
