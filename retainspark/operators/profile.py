@@ -63,13 +63,21 @@ def describe(df: DataFrame, cols) -> DataFrame:
 
 
 def missing_profile(df: DataFrame, cols=None) -> DataFrame:
-    """A2: NULL count and percentage per column, only columns with NULLs."""
+    """A2: NULL count and percentage per column, only columns with NULLs
+    (one codegen-sized aggregate per chunk of columns)."""
     cols = _cols(df, cols)
-    one = df.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.count_if(F.col(c).isNull()).alias(f"__m{i}") for i, c in enumerate(cols)])
-    long = one.select("__n", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"__m{i}").alias("missing"))
-        for i, c in enumerate(cols)])).alias("s"))
+    per = CODEGEN_MAX_FIELDS - 2
+    parts = []
+    for lo in range(0, len(cols), per):
+        chunk = list(enumerate(cols))[lo:lo + per]
+        one = df.agg(F.count(F.lit(1)).alias("__n"),
+                     *[F.count_if(F.col(c).isNull()).alias(f"__m{i}") for i, c in chunk])
+        parts.append(one.select("__n", F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(f"__m{i}").alias("missing"))
+            for i, c in chunk])).alias("s")))
+    long = parts[0]
+    for p_ in parts[1:]:
+        long = long.unionByName(p_)
     return long.select("s.column_name", "s.missing",
                        (F.col("s.missing") * 100.0 / F.col("__n")).alias("missing_pct")
                        ).where(F.col("missing") > 0)
@@ -203,8 +211,8 @@ def histogram(df: DataFrame, col: str, bins: int = 50, by: str | None = None,
     bin is closed on the right.  With ``by`` the bins are shared and counted
     per group; ``density`` divides by (group count × bin width)."""
     x = F.col(col).cast("double")
-    bounds = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"))
-    lo, hi = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    b = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()  # one row, one pass
+    lo, hi = F.lit(b["lo"]).cast("double"), F.lit(b["hi"]).cast("double")
     width = (hi - lo) / F.lit(float(bins))
     idx = F.least(F.lit(bins - 1), F.floor((x - lo) * (F.lit(float(bins)) / (hi - lo)))).cast("int")
     idx = F.when(hi == lo, F.lit(0)).otherwise(idx)
@@ -260,7 +268,8 @@ def kde(df: DataFrame, col: str, by: str, grid_points: int = 200) -> DataFrame:
     distinct value contributes to every grid point of its group."""
     x = F.col(col).cast("double")
     stats = df.groupBy(by).agg(F.count(x).alias("n"), F.stddev_samp(x).alias("sd"))
-    lo, hi = df.agg(F.min(x)).scalar(), df.agg(F.max(x)).scalar()
+    b = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()  # one row, one pass
+    lo, hi = F.lit(b["lo"]).cast("double"), F.lit(b["hi"]).cast("double")
     start = lo - (hi - lo) / 2
     step = (hi - lo) * 2 / F.lit(float(grid_points - 1))
     distinct = df.where(x.isNotNull()).groupBy(by, x.alias("v")).agg(F.count(F.lit(1)).alias("k"))
