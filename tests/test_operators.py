@@ -343,3 +343,38 @@ def test_correlation_matrix_both_paths(spark):
         assert len(got) == 14 * 13 // 2
         for (a, b), v in got.items():
             assert v == pytest.approx(want.loc[a, b], abs=1e-9)
+
+
+def _efron_ll(beta, X, t, e):
+    eta = X @ beta
+    w = np.exp(eta)
+    ll = 0.0
+    for tt in np.unique(t[e == 1]):
+        dm = (t == tt) & (e == 1)
+        d = int(dm.sum())
+        risk = w[t >= tt].sum()
+        tie = w[dm].sum()
+        ll += eta[dm].sum() - sum(math.log(risk - (l / d) * tie) for l in range(d))
+    return ll
+
+
+def test_cox_efron_is_stationary_point(spark):
+    rnd = np.random.default_rng(9)
+    n = 300
+    X = np.column_stack([rnd.normal(size=n), rnd.integers(0, 3, n).astype(float)])
+    t = np.floor(rnd.exponential(scale=np.exp(-(0.7 * X[:, 0] - 0.3 * X[:, 1]))) * 6) + 1  # many ties
+    e = (rnd.random(n) < 0.8).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"a": X[:, 0], "b": X[:, 1], "t": t, "e": e}))
+    efron = SV.cox_fit(df, "t", "e", ["a", "b"], penalizer=0.0, ties="efron")
+    coef = np.array(efron["coef"])
+    eps = 1e-5
+    for j in range(2):
+        up, dn = coef.copy(), coef.copy()
+        up[j] += eps
+        dn[j] -= eps
+        grad = (_efron_ll(up, X, t, e) - _efron_ll(dn, X, t, e)) / (2 * eps)
+        assert abs(grad) < 1e-3
+        assert _efron_ll(coef, X, t, e) >= max(_efron_ll(up, X, t, e), _efron_ll(dn, X, t, e))
+    assert efron["log_likelihood"] == pytest.approx(_efron_ll(coef, X, t, e), rel=1e-9)
+    breslow = SV.cox_fit(df, "t", "e", ["a", "b"], penalizer=0.0, ties="breslow")
+    assert abs(breslow["coef"][0] - coef[0]) > 1e-4
