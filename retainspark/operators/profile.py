@@ -183,7 +183,7 @@ def target_correlation(df: DataFrame, target: str, cols) -> DataFrame:
         F.struct(F.lit(c).alias("feature"), F.col(f"c{i}").alias("corr"))
         for i, c in enumerate(cols)])).alias("s")).select("s.*")
     w = Window.orderBy(F.desc_nulls_last("corr"), "feature")  # one row per column: bounded
-    return long.withColumn("rank", F.row_number().over(w))
+    return long.withColumn("rank", F.row_number().over(w).cast("bigint"))
 
 
 def pivot_effect(df: DataFrame, group: str, arm: str, outcome: str) -> DataFrame:

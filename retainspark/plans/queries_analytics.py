@@ -215,9 +215,9 @@ def treatment_effect(spark, sf_dir):
 
 
 @query("portfolio_kpis", BS_SQL + """
-SELECT count(*) AS total, count_if(churn_probability > 0.7) AS high_risk,
+SELECT count(*) AS total, CAST(count_if(churn_probability > 0.7) AS BIGINT) AS high_risk,
        count_if(churn_probability > 0.7) * 100.0e0 / count(*) AS high_risk_pct,
-       count_if(segment = 'Persuadable') AS persuadable,
+       CAST(count_if(segment = 'Persuadable') AS BIGINT) AS persuadable,
        count_if(segment = 'Persuadable') * 100.0e0 / count(*) AS persuadable_pct,
        avg(churn_probability) AS avg_churn_probability FROM bs""",
        doubles=("high_risk_pct", "persuadable_pct", "avg_churn_probability"))
@@ -241,9 +241,10 @@ def score_histogram(spark, sf_dir):
 
 
 @query("score_audit", BS_SQL + """
-SELECT count(*) AS rows, count_if(segment = 'Persuadable') AS n_persuadable,
-       count_if(segment = 'Sleeping_Dog') AS n_sleeping_dog, count_if(segment = 'Lost_Cause') AS n_lost_cause,
-       count_if(segment = 'Sure_Thing') AS n_sure_thing, avg(churn_probability) AS avg_churn_probability,
+SELECT count(*) AS rows, CAST(count_if(segment = 'Persuadable') AS BIGINT) AS n_persuadable,
+       CAST(count_if(segment = 'Sleeping_Dog') AS BIGINT) AS n_sleeping_dog,
+       CAST(count_if(segment = 'Lost_Cause') AS BIGINT) AS n_lost_cause,
+       CAST(count_if(segment = 'Sure_Thing') AS BIGINT) AS n_sure_thing, avg(churn_probability) AS avg_churn_probability,
        sum(clv_proxy) AS total_clv FROM bs""", doubles=("avg_churn_probability", "total_clv"))
 def score_audit(spark, sf_dir):
     """A18."""
@@ -280,7 +281,8 @@ def table_audit(spark, sf_dir):
 
 
 @query("class_ratio", S.with_(*S.FEATURE_CHAIN) + """
-SELECT count_if(Churn_binary = 0) AS negatives, count_if(Churn_binary = 1) AS positives,
+SELECT CAST(count_if(Churn_binary = 0) AS BIGINT) AS negatives,
+       CAST(count_if(Churn_binary = 1) AS BIGINT) AS positives,
        count_if(Churn_binary = 0) * 1.0e0 / count_if(Churn_binary = 1) AS ratio FROM feat""",
        doubles=("ratio",))
 def class_ratio(spark, sf_dir):
@@ -439,7 +441,8 @@ k AS (SELECT count_if(score4 >= t.threshold AND Churn_binary = 1) AS tp,
              count_if(score4 < t.threshold AND Churn_binary <> 1) AS tn FROM scu, t),
 k2 AS (SELECT *, CASE WHEN tp + fp > 0 THEN tp * 1.0e0 / (tp + fp) ELSE 0.0e0 END AS precision,
               CASE WHEN tp + fn > 0 THEN tp * 1.0e0 / (tp + fn) ELSE 0.0e0 END AS recall FROM k)
-SELECT tp, fp, fn, tn, precision, recall,
+SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(fn AS BIGINT) AS fn,
+       CAST(tn AS BIGINT) AS tn, precision, recall,
        CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0e0 END AS f1,
        (tp + tn) * 1.0e0 / (tp + fp + fn + tn) AS accuracy FROM k2""",
        doubles=("precision", "recall", "f1", "accuracy"))

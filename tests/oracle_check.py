@@ -39,6 +39,22 @@ def _key(row):
     return tuple((0, "") if v is None else (1, str(v)) for v in row)
 
 
+_SPARK_TO_ARROW = {"IntegerType": "int32", "LongType": "int64", "DoubleType": "double",
+                   "StringType": "string", "BooleanType": "bool", "DateType": "date32",
+                   "TimestampNTZType": "timestamp", "TimestampType": "timestamp", "FloatType": "float",
+                   "ShortType": "int16", "ByteType": "int8"}
+
+
+def type_mismatches(spark_schema, arrow_schema) -> dict:
+    """Column → (spark type, duckdb type) where the result types differ."""
+    def arrow_name(t):
+        s = str(t)
+        return "timestamp" if s.startswith("timestamp") else ("string" if s == "large_string" else s)
+    sp = {f.name: _SPARK_TO_ARROW.get(type(f.dataType).__name__, str(f.dataType)) for f in spark_schema.fields}
+    dk = {f.name: arrow_name(f.type) for f in arrow_schema}
+    return {k: (sp.get(k), dk.get(k)) for k in set(sp) | set(dk) if sp.get(k) != dk.get(k)}
+
+
 def compare(spark_rows, spark_cols, duck_rows, duck_cols):
     if sorted(spark_cols) != sorted(duck_cols):
         return f"columns differ: spark={spark_cols} duck={duck_cols}"
@@ -83,11 +99,12 @@ def main(argv):
             res = con.execute(orc[name])
             dcols = [d[0] for d in res.description]
             drows = res.fetchall()
+            types = type_mismatches(df.schema, con.execute(orc[name]).to_arrow_table().schema)
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {name}: duckdb error {str(e)[:400]}")
             bad += 1
             continue
-        msg = compare(rows, cols, drows, dcols)
+        msg = compare(rows, cols, drows, dcols) or (f"types differ: {types}" if types else None)
         if msg:
             bad += 1
             print(f"FAIL {name}: {msg}")

@@ -5,7 +5,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 import pytest
 
 import __spark_entry__ as E
-from oracle_check import compare, duck
+from oracle_check import compare, duck, type_mismatches
 
 ORACLES = E.oracle_sql()
 
@@ -22,6 +22,8 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
     res = con.execute(ORACLES[name])
     msg = compare(rows, df.columns, res.fetchall(), [d[0] for d in res.description])
     assert msg is None, msg
+    types = type_mismatches(df.schema, con.execute(ORACLES[name]).to_arrow_table().schema)
+    assert not types, types
 
 
 def test_entry_runs(spark):
