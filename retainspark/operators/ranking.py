@@ -239,10 +239,6 @@ def arg_extremes(df: DataFrame, id_col: str, score: str, mid: float = 0.5) -> Da
     )
 
 
-def _numeric(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, T.NumericType)
-
-
 def latest_per_key(df: DataFrame, keys, order_col: str, tie: str | None = None) -> DataFrame:
     """Most recent row per key (``max_by`` over a struct keeps it a
     partial aggregate, so a hot key is combined map-side)."""
@@ -260,7 +256,3 @@ def nearest_lookup(grid: DataFrame, keys, t_col: str, value_col: str, horizons)
         out.append(F.min_by(F.col(value_col), F.struct(F.abs(F.col(t_col) - F.lit(h)), F.col(t_col)))
                    .alias(f"{value_col}_at_{h}"))
     return grid.groupBy(*keys).agg(*out)
-
-
-def row_number_window(df: DataFrame, keys, order_by) -> Column:
-    return F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
