@@ -147,12 +147,14 @@ def cross_validate(df: DataFrame, features, label: str, estimator=None, k: int =
     the sample std and the per-fold values."""
     est = estimator or LogisticRegression(labelCol=label, featuresCol="features", maxIter=100)
     folded = fold_column(df, id_col, label, k)
-    data = assembler(features).transform(folded)
+    # every fold re-reads this: keep it for the duration of the search
+    data = assembler(features).transform(folded).select("features", label, "fold").persist()
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
                                        metricName="areaUnderROC", numBins=0)
     cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
                         foldCol="fold", numFolds=k, parallelism=parallelism, collectSubModels=False)
     model = cv.fit(data)
+    data.unpersist()
     spark = df.sparkSession
     vals = [float(v) for v in (model.avgMetrics or [])]
     std = [float(v) for v in (getattr(model, "stdMetrics", None) or [])]
