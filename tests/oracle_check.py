@@ -99,7 +99,7 @@ def main(argv):
             res = con.execute(orc[name])
             dcols = [d[0] for d in res.description]
             drows = res.fetchall()
-            types = type_mismatches(df.schema, con.execute(orc[name]).to_arrow_table().schema)
+            types = type_mismatches(df.schema, con.sql(orc[name]).to_arrow_table().schema)
         except Exception as e:  # noqa: BLE001
             print(f"FAIL {name}: duckdb error {str(e)[:400]}")
             bad += 1

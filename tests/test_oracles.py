@@ -22,7 +22,7 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
     res = con.execute(ORACLES[name])
     msg = compare(rows, df.columns, res.fetchall(), [d[0] for d in res.description])
     assert msg is None, msg
-    types = type_mismatches(df.schema, con.execute(ORACLES[name]).to_arrow_table().schema)
+    types = type_mismatches(df.schema, con.sql(ORACLES[name]).to_arrow_table().schema)
     assert not types, types
 
 
