@@ -404,3 +404,20 @@ def test_streaming_upsert_is_idempotent(spark, tmp_path, sf_dir):
     out = IO.read_current(spark, tgt)
     n = raw.count()
     assert out.count() == n and out.select("user_id").distinct().count() == n
+
+
+def test_describe_matches_pandas(spark):
+    from retainspark.operators.profile import describe
+    rnd = np.random.default_rng(31)
+    pdf = pd.DataFrame({"a": rnd.normal(size=4000), "b": rnd.integers(0, 50, 4000).astype(float),
+                        "c": np.where(rnd.random(4000) < 0.3, 7.0, rnd.exponential(size=4000))})
+    pdf.loc[::11, "a"] = None
+    got = {r.column_name: r for r in describe(spark.createDataFrame(pdf), ["a", "b", "c"]).collect()}
+    want = pdf.describe()
+    for c in "abc":
+        r = got[c]
+        assert r["count"] == int(want.loc["count", c])
+        assert r.mean == pytest.approx(want.loc["mean", c], rel=1e-12)
+        assert r.std == pytest.approx(want.loc["std", c], rel=1e-9)
+        for col, q in (("q25", "25%"), ("q50", "50%"), ("q75", "75%"), ("min", "min"), ("max", "max")):
+            assert getattr(r, col) == pytest.approx(want.loc[q, c], rel=1e-12)
