@@ -12,16 +12,15 @@ driver only reads the one-row answers it needs to branch on.
 
 from __future__ import annotations
 
-import json
-import os
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import run_kind
-from ..sources.io import read_summary, validate_fingerprint, write_summary
+from ..sources.io import join_path, read_summary, validate_fingerprint, write_summary
 
 # AUC assumed for a champion without a logged AUC, the env
 # default promotion floor, and the dashboard baselines per model family.
@@ -38,16 +37,16 @@ ALIASES_SCHEMA = "alias string, version int, seq long"
 
 class Registry:
     def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.replace("file:", "")
+        self.spark, self.path = spark, path
 
     def _t(self, name):
-        return os.path.join(self.path, name)
+        return join_path(self.path, name)
 
     def table(self, name: str, schema: str) -> DataFrame:
-        p = self._t(name)
-        if os.path.isdir(p) and any(f.endswith(".parquet") for f in os.listdir(p)):
-            return self.spark.read.schema(schema).parquet(p)
-        return self.spark.createDataFrame([], schema)
+        try:
+            return self.spark.read.schema(schema).parquet(self._t(name))
+        except AnalysisException:  # nothing appended yet
+            return self.spark.createDataFrame([], schema)
 
     def runs(self):
         return self.table("runs", RUNS_SCHEMA)
@@ -221,11 +220,10 @@ def gated_retrain(features: DataFrame, registry: Registry, flag_path: str, finge
     promoted = registry.champion_challenger(version, auc)
     registry.set_tag(run_id, "promoted", str(promoted).lower())
     if promoted:
-        model.write().overwrite().save(os.path.join(model_dir, f"churn_v{version}"))
-        cfg = {"churn_threshold": best["threshold"], "auc_roc": round(auc, 6),
-               "trained_at": datetime.now(timezone.utc).isoformat(), "run_id": run_id}
-        os.makedirs(model_dir.replace("file:", ""), exist_ok=True)
-        with open(os.path.join(model_dir.replace("file:", ""), "model_config.json"), "w") as fh:
-            json.dump(cfg, fh)
+        model.write().overwrite().save(join_path(model_dir, f"churn_v{version}"))
+        cfg = spark.createDataFrame(
+            [(float(best["threshold"]), round(float(auc), 6), datetime.now(timezone.utc).isoformat(), run_id)],
+            "churn_threshold double, auc_roc double, trained_at string, run_id string")
+        write_summary(cfg, join_path(model_dir, "model_config"))
     write_summary(spark.createDataFrame([(0,)], "drift_detected int"), flag_path)  # clear
     return auc

@@ -6,7 +6,6 @@ and returns what it reads back, so the check covers the write path too.
 
 from __future__ import annotations
 
-import os
 from datetime import timedelta
 
 from pyspark.sql import functions as F
@@ -107,7 +106,7 @@ def action_log_append(spark, sf_dir):
     rows = within.select("user_id", "segment", "recommended_action", "action_cost", "expected_clv_saved",
                          "roi", "churn_probability")
     path = IO.work_dir(spark, "action_logs")
-    name = f"action_logs_{os.path.basename(path)}"
+    name = f"action_logs_{path.rstrip('/').rsplit('/', 1)[-1]}"
     IO.create_if_absent(spark, name, "user_id string, segment string, recommended_action string, "
                         "action_cost int, expected_clv_saved double, roi double, churn_probability double, "
                         "executed_at timestamp, log_date date", path)
@@ -132,7 +131,7 @@ def drift_summary_json(spark, sf_dir):
 def table_fingerprint(spark, sf_dir):
     """Order-insensitive fingerprint of lineitem, recorded then validated."""
     li = read_table(spark, sf_dir, "lineitem")
-    path = os.path.join(IO.work_dir(spark, "fingerprints"), "lineitem.json")
+    path = IO.join_path(IO.work_dir(spark, "fingerprints"), "lineitem")
     IO.record_fingerprint(li, path)
     ok = IO.validate_fingerprint(li, path)
     return IO.fingerprint(li).withColumn("validated", F.lit(ok))
@@ -192,16 +191,16 @@ def gated_retrain(spark, sf_dir):
     from .queries_drift import _halves
     from ..functions.features import FEATURE_COLS
     base = IO.work_dir(spark, "retrain")
-    flag = os.path.join(base, "drift_flag")
+    flag = IO.join_path(base, "drift_flag")
     IO.write_summary(DR.dataset_drift(_halves(spark, sf_dir)).select(F.lit(1).alias("drift_detected")), flag)
     feats = features_table(spark, sf_dir)
-    fp = os.path.join(base, "features.fingerprint.json")
+    fp = IO.join_path(base, "features_fingerprint")
     IO.record_fingerprint(feats, fp)
-    reg = RG.Registry(spark, os.path.join(base, "registry"))
+    reg = RG.Registry(spark, IO.join_path(base, "registry"))
     from .queries_models import CHECK_PARAMS
-    auc = RG.gated_retrain(feats, reg, flag, fp, os.path.join(base, "models"), FEATURE_COLS,
+    auc = RG.gated_retrain(feats, reg, flag, fp, IO.join_path(base, "models"), FEATURE_COLS,
                            params=CHECK_PARAMS)
-    again = RG.gated_retrain(feats, reg, flag, fp, os.path.join(base, "models"), FEATURE_COLS,
+    again = RG.gated_retrain(feats, reg, flag, fp, IO.join_path(base, "models"), FEATURE_COLS,
                              params=CHECK_PARAMS)
     return reg.summary().withColumns({"holdout_auc": F.lit(auc), "second_run_skipped": F.lit(again is None)})
 
@@ -216,7 +215,7 @@ def streaming_scores(spark, sf_dir):
     """§2.9: raw customers arrive as two file drops; a Structured Streaming
     query scores them and upserts each micro-batch into the score table."""
     base = IO.work_dir(spark, "stream")
-    src, tgt, ck = (os.path.join(base, x) for x in ("incoming", "scores", "checkpoint"))
+    src, tgt, ck = (IO.join_path(base, x) for x in ("incoming", "scores", "checkpoint"))
     raw = customers_raw(spark, sf_dir)
     wk = F.expr("CAST(substring(customer_id, 2) AS BIGINT)") % 8 + 1
     raw.where(wk <= 4).write.mode("append").parquet(src)

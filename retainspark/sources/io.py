@@ -11,8 +11,6 @@ shared checkpoint directory.
 
 from __future__ import annotations
 
-import json
-import os
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -25,10 +23,14 @@ from ..session import checkpoint_dir
 VERSION_PREFIX = "_v"
 
 
+def join_path(*parts: str) -> str:
+    """Join path segments of any filesystem URI (hdfs://, s3a://, file:)."""
+    return "/".join([parts[0].rstrip("/")] + [p.strip("/") for p in parts[1:]])
+
+
 def work_dir(spark: SparkSession, name: str = "tables") -> str:
     """A fresh folder under the shared checkpoint directory."""
-    base = checkpoint_dir(spark).replace("file:", "")
-    return os.path.join(base, name, uuid.uuid4().hex)
+    return join_path(checkpoint_dir(spark), name, uuid.uuid4().hex)
 
 
 # ------------------------------------------------------------------ S1 / S5
@@ -74,32 +76,40 @@ def coalesce_source(primary, fallback):
 
 
 # ------------------------------------------------------------------ versions
+# A keyed table is a folder of version folders plus a small ``_manifest``
+# parquet table with one row per committed version.  Readers only see
+# committed versions, so a folder left by a failed write is invisible and a
+# retry may overwrite it.  Everything goes through Spark's readers and
+# writers, so it works on any filesystem the cluster uses.
+
+MANIFEST = "_manifest"
 
 
-def _versions(path: str) -> list:
-    p = path.replace("file:", "")
-    if not os.path.isdir(p):
+def _versions(spark: SparkSession, path: str) -> list:
+    try:
+        rows = spark.read.parquet(join_path(path, MANIFEST)).select("version").collect()  # one per version
+    except AnalysisException:
         return []
-    return sorted(int(d[len(VERSION_PREFIX):]) for d in os.listdir(p)
-                  if d.startswith(VERSION_PREFIX) and d[len(VERSION_PREFIX):].isdigit()
-                  and os.path.exists(os.path.join(p, d, "_SUCCESS")))
+    return sorted(r["version"] for r in rows)
 
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType | None = None):
     """Latest committed version of a keyed table (``None`` when absent)."""
-    v = _versions(path)
+    v = _versions(spark, path)
     if not v:
         return None if schema is None else spark.createDataFrame([], schema)
-    return spark.read.parquet(os.path.join(path, f"{VERSION_PREFIX}{v[-1]}"))
+    return spark.read.parquet(join_path(path, f"{VERSION_PREFIX}{v[-1]}"))
 
 
-def _next_version_path(path: str) -> str:
-    """One past every version folder, committed or not, so a retried write
-    never lands in a half-written folder left by a failed attempt."""
-    p = path.replace("file:", "")
-    seen = [int(d[len(VERSION_PREFIX):]) for d in (os.listdir(p) if os.path.isdir(p) else [])
-            if d.startswith(VERSION_PREFIX) and d[len(VERSION_PREFIX):].isdigit()]
-    return os.path.join(path, f"{VERSION_PREFIX}{(max(seen) + 1) if seen else 0}")
+def _write_version(df: DataFrame, path: str) -> DataFrame:
+    """Write the next version (never the one being read) and commit it."""
+    spark = df.sparkSession
+    v = _versions(spark, path)
+    nxt = (v[-1] + 1) if v else 0
+    target = join_path(path, f"{VERSION_PREFIX}{nxt}")
+    df.write.mode("overwrite").parquet(target)  # an uncommitted leftover may be replaced
+    spark.createDataFrame([(nxt,)], "version int").write.mode("append").parquet(join_path(path, MANIFEST))
+    return spark.read.parquet(target)
 
 
 # ------------------------------------------------------------------ S6 / S7
@@ -127,9 +137,7 @@ def upsert(incoming: DataFrame, path: str, key: str, order_col: str,
         F.max_by(F.struct(*payload), F.struct("__side", "__ord")).alias("__row"),
         F.min_by(F.col(created_col), F.struct("__side", "__ord")).alias(created_col))
     out = merged.select(key, *[F.col("__row")[c].alias(c) for c in payload], created_col)
-    target = _next_version_path(path)
-    out.write.mode("errorifexists").parquet(target)
-    return spark.read.parquet(target)
+    return _write_version(out, path)
 
 
 def insert_ignore(incoming: DataFrame, path: str, key: str, order_col: str,
@@ -154,9 +162,7 @@ def insert_ignore(incoming: DataFrame, path: str, key: str, order_col: str,
         u = u.unionByName(p)
     merged = u.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct("__side", "__ord")).alias("__row"))
     out = merged.select(key, *[F.col("__row")[c].alias(c) for c in cols])
-    target = _next_version_path(path)
-    out.write.mode("errorifexists").parquet(target)
-    return spark.read.parquet(target)
+    return _write_version(out, path)
 
 
 # ------------------------------------------------------------------ S8 / S9 / S10
@@ -199,26 +205,26 @@ def fingerprint(df: DataFrame) -> DataFrame:
                   F.bit_xor(h).alias("hash_xor"))
 
 
+FINGERPRINT_SCHEMA = "rows long, hash_sum string, hash_xor long"
+
+
 def record_fingerprint(df: DataFrame, path: str) -> dict:
-    rec = fingerprint(df).first().asDict()
-    p = path.replace("file:", "")
-    os.makedirs(os.path.dirname(p), exist_ok=True)
-    with open(p, "w") as f:
-        json.dump(rec, f)
-    return rec
+    """Store the fingerprint as a one-record JSON table at ``path``."""
+    fp = fingerprint(df)
+    write_summary(fp, path)
+    return read_summary(df.sparkSession, path, FINGERPRINT_SCHEMA).first().asDict()
 
 
 def validate_fingerprint(df: DataFrame, path: str) -> bool:
     """No record → pass; a record without a hash → error; a different
     fingerprint → error (the data changed since it was recorded)."""
-    p = path.replace("file:", "")
-    if not os.path.exists(p):
+    rec = read_summary(df.sparkSession, path, FINGERPRINT_SCHEMA)
+    rec = rec.first() if rec is not None else None
+    if rec is None:
         return True
-    with open(p) as f:
-        rec = json.load(f)
-    if not rec.get("hash_sum"):
+    if not rec["hash_sum"]:
         raise ValueError("fingerprint record has no hash")
-    cur = fingerprint(df).first().asDict()
+    cur = fingerprint(df).first()
     if (cur["rows"], cur["hash_sum"], cur["hash_xor"]) != (rec["rows"], rec["hash_sum"], rec["hash_xor"]):
-        raise ValueError(f"data fingerprint mismatch: expected {rec}, found {cur}")
+        raise ValueError(f"data fingerprint mismatch: expected {rec.asDict()}, found {cur.asDict()}")
     return True
