@@ -8,9 +8,11 @@ that run Python read texts as binary and never decode them for splitting.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from retainspark.session import checkpoint_dir
@@ -47,6 +49,18 @@ def binary_values(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.to_pylist()]
 
 
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices whose binary ``column`` holds about
+    ``most`` bytes (one row at least), so memory doesn't follow the batch size."""
+    for b in batches:
+        ends = np.asarray(pc.fill_null(pc.binary_length(b.column(column)), 0)).astype(np.int64).cumsum()
+        lo = 0
+        while lo < b.num_rows:
+            hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "right")))
+            yield b.slice(lo, hi - lo)
+            lo = hi
+
+
 def id_key(column: str) -> Column:
     """``column`` as a join key that is never null; a null id counts as the
     smallest one."""

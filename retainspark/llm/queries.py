@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retainspark.llm import simhash
+from retainspark.llm import decontaminate, simhash, substring
 from retainspark.llm.common import hex16, table
 
 QUERIES = {}
@@ -22,3 +22,35 @@ def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document: 3-word shingles, 2 bits."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return found.select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_rabin_karp_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left of every document after repeated 20-word windows are removed."""
+    out = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=20)
+    return out.select("doc_id", "n_words", "n_removed",
+                      F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op8_broadcast_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside 10-word windows of the benchmark."""
+    out = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                           table(spark, sf_dir, "benchmark"), n=10)
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+ORACLES["op8_broadcast_ngrams"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) < 10 THEN [w] ELSE list_transform(range(1, len(w) - 8), i -> w[i:i+9]) END) AS g FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT len(g) AS n FROM bw),
+dw AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS s, w FROM d, sizes),
+hit AS (SELECT doc_id, s, n, g, item_id FROM (SELECT doc_id, s, n, w[s:s+n-1] AS g FROM dw) JOIN bw USING (g)),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS i FROM hit GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(i), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(i, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
