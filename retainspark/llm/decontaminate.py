@@ -36,9 +36,11 @@ def normal_words(text: Column) -> Column:
 
 
 def _windows(words: Column, size: int) -> Column:
-    """Hashes of all windows of ``size`` words, in order."""
-    starts = F.when(F.size(words) >= size, F.sequence(F.lit(1), F.size(words) - (size - 1)))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, size)))
+    """All windows of ``size`` words in order, as (start, words).  Single cells
+    are read, as ``slice`` copies the whole array each time."""
+    starts = F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size))
+    return F.coalesce(F.transform(starts, lambda i: F.struct(
+        i.alias("start"), F.array(*[words[i + k] for k in range(size)]).alias("words"))), F.array())
 
 
 def benchmark_windows(benchmark: DataFrame, n: int = 10, id_col: str = "item_id",
@@ -46,8 +48,7 @@ def benchmark_windows(benchmark: DataFrame, n: int = 10, id_col: str = "item_id"
     """``(item, hash, words)``: the distinct windows of every item."""
     items = require(benchmark, [id_col, text_col]).select(
         F.col(f"`{id_col}`").alias("item"), normal_words(F.col(f"`{text_col}`")).alias("w")).filter("size(w) > 0")
-    grams = F.when(F.size("w") < n, F.array("w")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.slice("w", i, n)))
+    grams = F.when(F.size("w") < n, F.array("w")).otherwise(F.transform(_windows(F.col("w"), n), lambda x: x["words"]))
     return (items.select("item", F.explode(grams).alias("words")).distinct()
             .select("item", F.xxhash64("words").alias("hash"), "words"))
 
@@ -55,17 +56,17 @@ def benchmark_windows(benchmark: DataFrame, n: int = 10, id_col: str = "item_id"
 def hits(docs: DataFrame, windows: DataFrame, sizes: list[int], fits: bool) -> DataFrame:
     """``(__id, __tie, start, words)`` of every verified occurrence; ``docs`` has
     ``__id``, ``__tie`` and ``__text``."""
-    # the words are bound once per row, so that no expression splits a text twice
-    bound = lambda f: F.flatten(F.transform(F.array(normal_words(F.col("__text"))), f))
-    probes = bound(lambda w: F.concat(*[
-        F.coalesce(F.transform(_windows(w, s), lambda h, i, s=s: F.struct(
-            h.alias("hash"), i.alias("start"), F.lit(s).alias("size"))), F.array()) for s in sizes]))
-    keys = windows.select("hash", "words").distinct()
-    scanned = docs.select("__id", "__tie", "__text", F.explode(probes).alias("p")).select(
-        "__id", "__tie", "__text", "p.*")
-    found = scanned.join(F.broadcast(keys) if fits else keys, "hash")
-    same = F.slice(normal_words(F.col("__text")), F.col("start") + 1, F.col("size")) == F.col("words")
-    return found.filter(same).select("__id", "__tie", "start", "words")
+    # the words are a bound variable, so that no window splits the text again;
+    # an outer explode, as a plain one also computes the windows to filter on their number
+    words = F.array(normal_words(F.col("__text")))
+    probes = F.flatten(F.transform(words, lambda w: F.concat(*[_windows(w, s) for s in sizes])))
+    scanned = (docs.select("__id", "__tie", F.explode_outer(probes).alias("p"))
+               .select("__id", "__tie", "p.start", "p.words", F.xxhash64("p.words").alias("hash")))
+    keys = windows.select("hash", F.col("words").alias("test")).distinct()
+    # the join's key is the hash alone; the words verify what it finds
+    verified = (F.col("words") <= F.col("test")) & (F.col("words") >= F.col("test"))
+    return (scanned.join(F.broadcast(keys) if fits else keys, "hash").filter(verified)
+            .select("__id", "__tie", "start", "words"))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id",

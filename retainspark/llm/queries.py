@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retainspark.llm import decontaminate, simhash, substring
+from retainspark.llm import decontaminate, sharding, simhash, substring
 from retainspark.llm.common import hex16, table
 
 QUERIES = {}
@@ -44,7 +44,7 @@ def op8_broadcast_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op8_broadcast_ngrams"] = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-bw AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) < 10 THEN [w] ELSE list_transform(range(1, len(w) - 8), i -> w[i:i+9]) END) AS g FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) < 10 THEN [w] ELSE list_transform(range(1, len(w) - 8), lambda i: w[i:i+9]) END) AS g FROM b WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT len(g) AS n FROM bw),
 dw AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS s, w FROM d, sizes),
 hit AS (SELECT doc_id, s, n, g, item_id FROM (SELECT doc_id, s, n, w[s:s+n-1] AS g FROM dw) JOIN bw USING (g)),
@@ -54,3 +54,29 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(array_to_string(i, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@query
+def op7_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document: 16 shards of equal bytes in id order."""
+    out = sharding.shard_by_bytes(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=16)
+    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return out.select("doc_id", "size", F.crc32(text).alias("text_crc32"), F.lit("bytes").alias("law"),
+                      "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+# crc32 by its bit rule: a table of 256 steps, then one table look-up per byte
+ORACLES["op7_histogram_sort"] = """
+WITH RECURSIVE bits AS (SELECT i, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+steps AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8),
+d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) + 1 AS size FROM documents),
+s AS (SELECT *, coalesce(sum(size) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before,
+             sum(size) OVER () AS total FROM d),
+p AS (SELECT *, (before * 16 // total)::INT AS shard FROM s)
+SELECT doc_id, size::BIGINT AS size,
+       xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, size - 1), lambda i: ('0x' || h[2 * i + 1:2 * i + 2])::BIGINT)),
+           lambda c, b: xor(t[xor(c & 255, b) + 1], c >> 8)))::BIGINT AS text_crc32,
+       'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, NULL::INT AS grown_shard
+FROM p, steps
+"""
