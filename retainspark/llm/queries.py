@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retainspark.llm import decontaminate, sharding, simhash, substring
+from retainspark.llm import decontaminate, langid, quality, sharding, simhash, substring
 from retainspark.llm.common import hex16, table
 
 QUERIES = {}
@@ -80,3 +80,23 @@ SELECT doc_id, size::BIGINT AS size,
        'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, NULL::INT AS grown_shard
 FROM p, steps
 """
+
+
+@query
+def op1_crf_line_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts and the content verdict of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.label_lines(docs, model, keep=["doc_id"]).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "content_share")
+
+
+@query
+def op9_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; the model has seen four folds of five."""
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    model = langid.fit(docs.filter(fold != 0))
+    rows = docs.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "text")
+    return langid.identify(rows, model, keep=["doc_id", "held_out"]).drop("segments")
