@@ -3,9 +3,10 @@ DataFrame over the whole table, and DuckDB SQL where SQL can express one."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retainspark.llm import decontaminate, langid, quality, sharding, simhash, substring
+from retainspark.llm import decontaminate, langid, pieces, quality, sharding, simhash, substring
 from retainspark.llm.common import hex16, table
 
 QUERIES = {}
@@ -100,3 +101,16 @@ def op9_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.filter(fold != 0))
     rows = docs.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "text")
     return langid.identify(rows, model, keep=["doc_id", "held_out"]).drop("segments")
+
+
+@query
+def op6_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two distinct sampled segmentations of every document, decoded again."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    rows = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"))
+    out = pieces.sample_segmentations(rows, model, k=2, keep=["doc_id", "text_crc32"])
+    out = out.withColumn("ids_crc32", F.crc32("ids"))
+    out = pieces.decode_ids(out, model).withColumn("decoded_crc32", F.crc32(F.col("decoded").cast("binary")))
+    return out.select("doc_id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids_crc32",
+                      (F.col("decoded_crc32") == F.col("text_crc32")).alias("round_trip"))
