@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retainspark.llm import decontaminate, langid, pieces, quality, sharding, simhash, substring
+from retainspark.llm import arrow_tokens, decontaminate, langid, pieces, quality, sharding, simhash, substring
 from retainspark.llm.common import hex16, table
 
 QUERIES = {}
@@ -114,3 +114,12 @@ def op6_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pieces.decode_ids(out, model).withColumn("decoded_crc32", F.crc32(F.col("decoded").cast("binary")))
     return out.select("doc_id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids_crc32",
                       (F.col("decoded_crc32") == F.col("text_crc32")).alias("round_trip"))
+
+
+@query
+def op3_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, size and checksum of every document's ids, read from the files."""
+    folder = arrow_tokens.token_folder(spark)
+    files = arrow_tokens.write_sequences(table(spark, sf_dir, "documents"), folder,
+                                         public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return arrow_tokens.read_documents(spark, folder, files)
