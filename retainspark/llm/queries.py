@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retainspark.llm import arrow_tokens, decontaminate, langid, pieces, quality, sharding, simhash, substring
+from retainspark.llm import arrow_tokens, decontaminate, langid, pieces, preference, quality, sharding, simhash, substring, warc
 from retainspark.llm.common import hex16, table
 
 QUERIES = {}
@@ -123,3 +123,48 @@ def op3_arrow_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = arrow_tokens.write_sequences(table(spark, sf_dir, "documents"), folder,
                                          public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
     return arrow_tokens.read_documents(spark, folder, files)
+
+
+@query
+def op4_preference_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against the same one with another's last answer: the
+    conversation whose number differs in the lowest bit gives the rejected
+    answer.  Conversations without a partner's answer have the chosen side only."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    last = (turns.filter("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("l"))
+            .select("conv_id", F.col("l.turn").alias("at"), F.col("l.text").alias("reply")))
+    other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("reply").alias("other"))
+    cut = last.join(other, "conv_id")
+    rejected = (turns.join(cut, "conv_id").filter("turn < at").select(turns.columns)
+                .union(cut.select("conv_id", "at", F.lit("assistant"), "other")))
+    return preference.format_preferences(turns, rejected, pair="conv_id")
+
+
+ORACLES["op4_preference_prefix"] = """
+WITH l AS (SELECT conv_id, max(turn) AS last_turn, max_by(text, turn) AS reply FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+cut AS (SELECT l.conv_id, l.last_turn, p.reply AS other FROM l JOIN l p ON p.conv_id = xor(l.conv_id, 1)),
+t AS (SELECT conv_id, 'c' AS side, turn, role, text FROM conversations
+  UNION ALL SELECT conv_id, 'r', turn, role, text FROM conversations JOIN cut USING (conv_id) WHERE turn < last_turn
+  UNION ALL SELECT conv_id, 'r', last_turn, 'assistant', other FROM cut),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn) - 1 AS i FROM t),
+n AS (SELECT coalesce(a.conv_id, b.conv_id) AS conv_id,
+    coalesce(min(CASE WHEN a.i IS NULL OR b.i IS NULL OR a.role <> b.role OR a.text <> b.text THEN coalesce(a.i, b.i) END), count(*)) AS n
+  FROM (SELECT * FROM o WHERE side = 'c') a FULL JOIN (SELECT * FROM o WHERE side = 'r') b ON a.conv_id = b.conv_id AND a.i = b.i GROUP BY 1),
+s AS (SELECT o.*, n, '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS x FROM o JOIN n USING (conv_id)),
+e AS (SELECT *, sum(CASE WHEN i >= n THEN length(x) ELSE 0 END) OVER (PARTITION BY conv_id, side ORDER BY i)::BIGINT AS e FROM s),
+m AS (SELECT *, (e - length(text) - 11)::VARCHAR || '-' || e::VARCHAR AS span FROM e)
+SELECT conv_id, any_value(n)::BIGINT AS n_prompt,
+  coalesce(string_agg(x, '' ORDER BY i) FILTER (side = 'c' AND i < n), '') AS prompt,
+  coalesce(string_agg(x, '' ORDER BY i) FILTER (side = 'c' AND i >= n), '') AS chosen,
+  coalesce(string_agg(x, '' ORDER BY i) FILTER (side = 'r' AND i >= n), '') AS rejected,
+  (count(*) FILTER (side = 'c' AND i >= n))::BIGINT AS n_chosen, (count(*) FILTER (side = 'r' AND i >= n))::BIGINT AS n_rejected,
+  coalesce(string_agg(span, ',' ORDER BY i) FILTER (side = 'c' AND i >= n AND role = 'assistant'), '') AS chosen_mask,
+  coalesce(string_agg(span, ',' ORDER BY i) FILTER (side = 'r' AND i >= n AND role = 'assistant'), '') AS rejected_mask
+FROM m GROUP BY conv_id
+"""
+
+
+@query
+def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page, whole."""
+    return warc.derivatives(table(spark, sf_dir, "pages"), keep=["page_id"])
