@@ -69,6 +69,23 @@ def hits(docs: DataFrame, windows: DataFrame, sizes: list[int], fits: bool) -> D
             .select("__id", "__tie", "start", "words"))
 
 
+def _keys(id_col: str, text_col: str) -> list[Column]:
+    """A row's key: its id and a hash of its text."""
+    return [id_key(f"`{id_col}`").alias("__id"),
+            F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("__tie")]
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col: str, item_col: str,
+           item_text_col: str) -> tuple[DataFrame, DataFrame]:
+    """The benchmark's windows and where they occur."""
+    windows = stable(benchmark_windows(benchmark, n, item_col, item_text_col))
+    size = windows.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set(F.size("words"))).alias("sizes")).first()
+    slim = docs.select(*_keys(id_col, text_col), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text"))
+    if size["n"]:
+        return windows, stable(hits(slim, windows, size["sizes"], size["n"] <= BROADCAST_WINDOWS))
+    return windows, slim.limit(0).select("__id", "__tie", F.lit(0).alias("start"), F.array(F.lit("")).alias("words"))
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id",
                        text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                        ) -> DataFrame:
@@ -82,19 +99,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_co
     found separately and get the same result; rows of one id and different texts
     do not mix.  Empty tables give no hit or no row."""
     require(docs, [id_col, text_col])
-    windows = stable(benchmark_windows(benchmark, n, item_col, item_text_col))
-    size = windows.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set(F.size("words"))).alias("sizes")).first()
     added = ["n_words", "n_hit", "spans", "items", "contaminated"]
     rest = [c for c in docs.columns if c not in added]
-    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    full = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)],
-                       id_key(f"`{id_col}`").alias("__id"), F.xxhash64(text).alias("__tie"),
+    full = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], *_keys(id_col, text_col),
                        F.size(normal_words(F.col(f"`{text_col}`"))).cast("long").alias("n_words"))
-    slim = docs.select(id_key(f"`{id_col}`").alias("__id"), F.xxhash64(text).alias("__tie"), text.alias("__text"))
-    if size["n"]:
-        found = stable(hits(slim, windows, size["sizes"], size["n"] <= BROADCAST_WINDOWS))
-    else:
-        found = slim.limit(0).select("__id", "__tie", F.lit(0).alias("start"), F.array(F.lit("")).alias("words"))
+    windows, found = _found(docs, benchmark, n, id_col, text_col, item_col, item_text_col)
     keys = ["__id", "__tie"]
     spans = (found.select(*keys, "start", (F.col("start") + F.size("words")).alias("end")).distinct()
              .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("s"))
@@ -127,9 +136,11 @@ def _merged(spans: Column) -> Column:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id",
-                    text_col: str = "text", **columns: str) -> DataFrame:
-    """``docs`` without the documents that hold a window, columns unchanged."""
-    marked = find_contamination(docs.withColumns({f"__{i}": F.col(f"`{c}`") for i, c in enumerate(docs.columns)}),
-                                benchmark, n, id_col, text_col, **columns)
-    return marked.filter(~F.col("contaminated")).select(
-        *[F.col(f"__{i}").alias(c) for i, c in enumerate(docs.columns)])
+                    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``docs`` without the documents that hold a window, columns unchanged.
+    Special cases as in ``find_contamination``."""
+    require(docs, [id_col, text_col])
+    _, found = _found(docs, benchmark, n, id_col, text_col, item_col, item_text_col)
+    keys = ["__id", "__tie"]
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *_keys(id_col, text_col))
+    return rows.join(found.select(*keys).distinct(), keys, "left_anti").select("row.*")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from retainspark.llm import arrow_tokens, decontaminate, langid, pieces, preference, quality, sharding, simhash, substring, warc
 from retainspark.llm.common import hex16, table
 
+import corpus_pipeline
 QUERIES = {}
 ORACLES = {}
 
@@ -28,7 +29,7 @@ def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_rabin_karp_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words left of every document after repeated 20-word windows are removed."""
-    out = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), window=20)
+    out = substring.remove_repeats(table(spark, sf_dir, "documents"), window=20, keep=["doc_id"])
     return out.select("doc_id", "n_words", "n_removed",
                       F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
@@ -168,3 +169,8 @@ FROM m GROUP BY conv_id
 def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata and conversion records of every page, whole."""
     return warc.derivatives(table(spark, sf_dir, "pages"), keep=["page_id"])
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -210,8 +210,8 @@ def _kept(texts: list[bytes], ties: list[int], removed: list, window: int) -> It
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   window: int = 20) -> DataFrame:
-    """``docs`` with the added columns ``n_words``, ``n_removed``, ``spans``
+                   window: int = 20, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``keep``) with the added columns ``n_words``, ``n_removed``, ``spans``
     (maximal removed intervals, word positions [start, end)) and ``kept_text``
     (kept words joined by one space).  An input column of one of these names is
     replaced.
@@ -225,11 +225,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("a window needs a word")
     require(docs, [id_col, text_col])
     added = ["n_words", "n_removed", "spans", "kept_text"]
-    rest = [c for c in docs.columns if c not in added]
-    full = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)],
-                       id_key(f"`{id_col}`").alias("__id"), text_bytes(f"`{text_col}`").alias("__t"))
-    full = full.withColumn("__tie", F.xxhash64(F.coalesce("__t", F.lit(b""))))
-    removed = materialise(_removed(full.select("__id", "__tie", "__t"), window), "removed")
+    rest = [c for c in (docs.columns if keep is None else keep) if c not in added]
+    # a text moves once, under its own name if it is asked for
+    moved = list(dict.fromkeys([*rest, text_col]))
+    full = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(moved)], id_key(f"`{id_col}`").alias("__id"))
+    text = F.col(f"c{moved.index(text_col)}").cast("binary")
+    tie = F.xxhash64(F.coalesce(text, F.lit(b"")))
+    slim = full.select("__id", tie.alias("__tie"), text.alias("__t"))
+    removed = materialise(_removed(slim, window), "removed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_bytes(batches, len(rest)):
@@ -245,5 +248,5 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = ", ".join([*[f"c{i} {kinds[c]}" for i, c in enumerate(rest)],
                         "n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept_text string"])
     out = (full.join(removed, "__id", "left")
-           .select(*[f"c{i}" for i in range(len(rest))], "__t", "__tie", "runs").mapInArrow(run, schema))
+           .select(*[f"c{i}" for i in range(len(rest))], text.alias("__t"), tie.alias("__tie"), "runs").mapInArrow(run, schema))
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)], *added)
