@@ -30,7 +30,7 @@ def marginals(scores: np.ndarray, lengths: np.ndarray, start: np.ndarray,
     """Label probabilities of every item (forward-backward), the expected number
     of each transition, and the batch's log partition."""
     b = Batch(lengths)
-    peak = scores.max(axis=1, keepdims=True) if len(scores) else scores[:, :0]
+    peak = scores.max(axis=1, keepdims=True)
     e = np.exp(scores - peak)
     t = np.exp(transition)
     alpha, scale = np.empty_like(e), np.ones(len(e))
