@@ -17,7 +17,7 @@ import dataclasses
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from retainspark.llm.common import id_key, materialise, require
+from retainspark.llm.common import MIN_LONG, id_key, materialise, require
 
 #: Probes of a splitter in one round.
 PROBES = 64
@@ -60,7 +60,8 @@ def _probe(slim: DataFrame, open_: list[Splitter]) -> dict:
         inside = (column >= low) & (column <= high - 1)
         for c, v in zip(ORDER, prefix, strict=False):
             inside &= F.col(c) == v
-        at = F.floor((wide(column) - wide(F.lit(low))) / wide(F.lit(-(-(high - low) // PROBES)))).cast("int")
+        # whole division: a quotient with decimals is rounded, and may come out a bin too high
+        at = F.call_function("div", wide(column) - wide(F.lit(low)), wide(F.lit(-(-(high - low) // PROBES)))).cast("int")
         bins.append(F.when(inside, F.struct(F.lit(n).alias("place"), at.alias("bin"), column.alias("at"))))
     rows = (slim.select(F.explode(F.array_compact(F.array(*bins))).alias("b"), "size")
             .groupBy("b.place", "b.bin")
@@ -107,7 +108,7 @@ def _range_of(splitters: list[Splitter], base: int = 0) -> Column:
         return F.lit(base)
     half = len(splitters) // 2
     *equal, last = (*splitters[half].prefix, splitters[half].low)
-    beyond = F.col(ORDER[len(equal)]) > last - 1
+    beyond = F.col(ORDER[len(equal)]) > last - 1 if last > MIN_LONG else F.lit(True)
     for c, v in reversed(list(zip(ORDER, equal, strict=False))):
         beyond = (F.col(c) > v) | ((F.col(c) == v) & beyond)
     return F.when(beyond, _range_of(splitters[half + 1:], base + half + 1)).otherwise(
