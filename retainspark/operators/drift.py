@@ -6,14 +6,15 @@ All columns are tested in one pass: both tables are stacked into
 value order (``global_running_sum`` with the column as the restart key, so
 a column or value holding a third of all rows is still split over tasks).
 
-Tests (per-column default policy, thresholds as published for the usual
-drift presets; the exact library selection is not in the reference):
-* numeric, more than 5 distinct values: two-sample Kolmogorov–Smirnov with
-  the asymptotic p-value (drift if p < 0.05) when the reference has at most
-  1000 rows, otherwise the Wasserstein-1 distance normed by the reference
+The test of a column is a parameter, never a consequence of the row count:
+``stattest`` for all columns but those named ``categorical``.  All statistics
+are reported whatever the test.
+* ``ks``: two-sample Kolmogorov–Smirnov with the asymptotic p-value (drift if
+  p < 0.05);
+* ``wasserstein`` (default): Wasserstein-1 distance normed by the reference
   standard deviation (drift if ≥ 0.1);
-* at most 5 distinct values: Jensen–Shannon distance (natural log) of the
-  value shares (drift if ≥ 0.1).
+* ``jensenshannon`` (categorical columns): Jensen–Shannon distance (natural log)
+  of the value shares (drift if ≥ 0.1).
 PSI over 10 equal-width reference bins is reported as well.
 Dataset drift: share of drifted columns ≥ threshold (0.3, inclusive).
 """
@@ -34,8 +35,6 @@ KS_ALPHA = 0.05
 WASSERSTEIN_THRESHOLD = 0.1
 JS_THRESHOLD = 0.1
 PSI_THRESHOLD = 0.1
-SMALL_REFERENCE = 1000
-MAX_CATEGORICAL_UNIQUE = 5
 PSI_BINS = 10
 PSI_EPS = 0.0001
 
@@ -43,6 +42,7 @@ PSI_EPS = 0.0001
 DRIFT_COLUMNS = ("tenure", "MonthlyCharges", "TotalCharges", "recency_risk", "service_count",
                  "charge_per_month", "clv_proxy", "contract_stability", "digital_engagement",
                  "SeniorCitizen", "Contract_encoded", "InternetService_encoded")
+CATEGORICAL_COLUMNS = ("SeniorCitizen", "Contract_encoded", "InternetService_encoded")
 
 
 def common_columns(ref: DataFrame, cur: DataFrame, wanted=DRIFT_COLUMNS) -> list:
@@ -73,13 +73,16 @@ def ks_p_value(d, en):
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), q))
 
 
-def column_drift(ref: DataFrame, cur: DataFrame, cols=None, group: str | None = None) -> DataFrame:
+def column_drift(ref: DataFrame, cur: DataFrame, cols=None, group: str | None = None,
+                 stattest: str = "wasserstein", categorical=CATEGORICAL_COLUMNS) -> DataFrame:
     """D1o: one row per (group, column) with n_ref, n_cur, distinct values,
     KS statistic and p-value, normed Wasserstein, JS distance, PSI, the test
-    chosen by the default policy and the drift flag.
+    that decides and the drift flag.
 
     With ``group`` the current table is split by that column (D4o weekly
     tracking) and every group is compared with the whole reference."""
+    if stattest not in ("ks", "wasserstein", "jensenshannon"):
+        raise ValueError(f"unknown test: {stattest}")
     cols = list(cols or common_columns(ref, cur))
     # reduce both sides to counts per distinct value before anything else
     ref_counts = (_stack(ref, cols, 0, None).where(F.col("v").isNotNull())
@@ -99,7 +102,7 @@ def column_drift(ref: DataFrame, cur: DataFrame, cols=None, group: str | None =
         .groupBy("grp", "col_name", "v").agg(F.sum("nr").alias("nr"), F.sum("nc").alias("nc")))
     ranked = global_running_sum(counts, [F.asc("v")],
                                 {"cr": F.col("nr"), "cc": F.col("nc"), "pos": F.lit(1)},
-                                partition_by=["grp", "col_name"], nonnegative=True)
+                                partition_by=["grp", "col_name"])
     tot = counts.groupBy("grp", "col_name").agg(
         F.sum("nr").alias("N_r"), F.sum("nc").alias("N_c"), F.count(F.lit(1)).alias("n_unique"),
         F.min(F.when(F.col("nr") > 0, F.col("v"))).alias("ref_min"),
@@ -143,10 +146,8 @@ def column_drift(ref: DataFrame, cur: DataFrame, cols=None, group: str | None =
                                .otherwise(F.col("wasserstein")),
         "js_distance": F.sqrt(F.greatest(F.col("js_divergence"), F.lit(0.0))),
     })
-    test = (F.when(F.col("n_unique") <= MAX_CATEGORICAL_UNIQUE, F.lit("jensenshannon"))
-            .when(F.col("N_r") <= SMALL_REFERENCE, F.lit("ks"))
-            .otherwise(F.lit("wasserstein")))
-    out = out.withColumn("stattest", test)
+    out = out.withColumn("stattest", F.when(F.col("col_name").isin(*categorical), F.lit("jensenshannon"))
+                         .otherwise(F.lit(stattest)))
     drifted = (F.when(F.col("stattest") == "ks", F.col("ks_p_value") < KS_ALPHA)
                .when(F.col("stattest") == "wasserstein", F.col("wasserstein_normed") >= WASSERSTEIN_THRESHOLD)
                .otherwise(F.col("js_distance") >= JS_THRESHOLD))

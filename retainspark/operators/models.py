@@ -51,8 +51,7 @@ def stratified_split(df: DataFrame, id_col: str, label: str, test_size: float =
     """M1: adds ``is_test`` (1 for the held-out rows), exactly ⌈test_size·n⌉
     per label value."""
     keyed = df.withColumn("__h", hash_order(numeric_id(id_col), seed))
-    ranked = global_running_sum(keyed, [F.asc("__h")], {"__pos": F.lit(1)}, partition_by=[label],
-                                nonnegative=True)
+    ranked = global_running_sum(keyed, [F.asc("__h")], {"__pos": F.lit(1)}, partition_by=[label])
     sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
     out = ranked.join(F.broadcast(sizes), label)  # one row per label value
     return out.withColumn("is_test", (F.col("__pos") <= F.ceil(F.col("__n") * test_size)).cast("int")
@@ -69,8 +68,7 @@ def fold_column(df: DataFrame, id_col: str, label: str, k: int = 5, seed: int =
     """M6 folds: within each label, rows in hash order are dealt round-robin
     into k folds (stratified)."""
     keyed = df.withColumn("__h", hash_order(numeric_id(id_col), seed))
-    ranked = global_running_sum(keyed, [F.asc("__h")], {"__pos": F.lit(1)}, partition_by=[label],
-                                nonnegative=True)
+    ranked = global_running_sum(keyed, [F.asc("__h")], {"__pos": F.lit(1)}, partition_by=[label])
     return ranked.withColumn("fold", ((F.col("__pos") - 1) % k).cast("int")).drop("__h", "__pos")
 
 

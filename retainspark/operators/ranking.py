@@ -2,29 +2,25 @@
 
 ``global_running_sum`` is the scalable form of an un-partitioned ordered
 window (``SUM(x) OVER (ORDER BY k ROWS UNBOUNDED PRECEDING)``), which Spark
-would otherwise evaluate in a single task.  It stays inside the JVM:
-
-1. A bounded sample of the (total, tie-broken) sort key – a Bernoulli
-   sample at rate m/N after a row count, m = 64 × buckets – fixes bucket
-   boundaries, so each bucket is a contiguous, similarly sized slice of the
-   global order.  Rows get their bucket from a balanced CASE tree over the
-   literal boundaries (log₂ buckets comparisons), a deterministic expression,
-   so recomputation after executor loss assigns the same buckets.
-2. ``repartition(buckets, bucket)`` then a window partitioned by the bucket
-   (and group) gives the running sum inside each bucket; the hash
-   partitioning already satisfies the window, so there is one shuffle.
-3. One aggregate of per-bucket totals (one row per bucket, bounded by the
-   bucket count) gives every bucket's starting offset, added as a literal
-   map lookup.  With groups, only a group that crosses a bucket boundary
-   needs a carry, and there is at most one such group per bucket.
-
-A key holding a third of the rows is split across buckets because the sort
-key is total (ties broken by an id), so no task owns a hot key.
+would otherwise evaluate in a single task:
+
+1. ``repartitionByRange`` over the whole sort key, ties broken by a row number,
+   puts contiguous slices of the order into partitions, and one reliable
+   checkpoint fixes which row lies where.  The row number splits a hot key, or a
+   constant one, over partitions like any other rows.
+2. Rows go to their slice's own task (``repartitionById``) and a window per slice
+   (and group) sums inside it.
+3. One row of totals per slice gives each slice its starting offset, joined by
+   broadcast: as many rows as partitions.  With groups only a group that lies
+   in several slices needs a carry; groups are the leading key, so there are
+   fewer of them than slices.
+
+The plan has the same size for any number of rows, partitions or groups.
 """
 
 from __future__ import annotations
 
-import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,164 +28,55 @@ from pyspark.sql import types as T
 
 from ..session import stable
 
-_ORDER = re.compile(r"^Column<'(.+) (ASC|DESC) NULLS (FIRST|LAST)'>$")
-SAMPLE_PER_BUCKET = 64
-SMALL_BUCKET_ROWS = 4096
-SAMPLE_SEED = 17
-
-
-def _partitions(df: DataFrame, n: int | None) -> int:
-    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _spec(c):
-    """(column name, ascending, nulls first) of a column name or sort Column."""
-    if isinstance(c, str):
-        return c, True, True
-    m = _ORDER.match(str(c))
-    if not m:
-        raise ValueError(f"order_by entries must be column names or F.asc/F.desc of a column: {c}")
-    return m.group(1).strip("`"), m.group(2) == "ASC", m.group(3) == "FIRST"
-
-
-def _sort_col(spec) -> Column:
-    name, asc, nf = spec
-    c = F.col(name)
-    if asc:
-        return c.asc_nulls_first() if nf else c.asc_nulls_last()
-    return c.desc_nulls_first() if nf else c.desc_nulls_last()
 
-
-def _before(specs, bound) -> Column:
-    """Row strictly precedes the boundary tuple in the sort order."""
-    expr = None
-    for (name, asc, nf), v in reversed(list(zip(specs, bound))):
-        x = F.col(name)
-        if v is None:
-            lt = F.lit(False) if nf else x.isNotNull()
-            eq = x.isNull()
-        else:
-            cmp = (x < F.lit(v)) if asc else (x > F.lit(v))
-            lt = (x.isNull() | cmp) if nf else (x.isNotNull() & cmp)
-            eq = x.isNotNull() & (x == F.lit(v))
-        expr = lt if expr is None else (lt | (eq & expr))
-    return F.coalesce(expr, F.lit(False))
-
-
-def _bucket_expr(specs, bounds) -> Column:
-    def tree(lo, hi):
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(_before(specs, bounds[mid - 1]), tree(lo, mid - 1)).otherwise(tree(mid, hi))
-    return tree(0, len(bounds))
-
-
-def _boundaries(df: DataFrame, specs, n: int):
-    """Bucket boundaries from a sample of about m = 64·n sort keys.  The
-    input is counted first; a Bernoulli sample at rate ≈ m/N keeps the rows
-    brought to the driver near m whatever the input size (inputs of at most
-    m rows are small and read whole)."""
-    names = [s[0] for s in specs]
-    m = SAMPLE_PER_BUCKET * n
-    total = df.count()
-    if total <= 1:
-        return []
-    keys = df.select(*names)
-    if total > m:
-        keys = keys.sample(withReplacement=False, fraction=min(1.0, 1.2 * m / total), seed=SAMPLE_SEED)
-    sample = keys.orderBy(*[_sort_col(s) for s in specs]).collect()  # ≈ m rows
-    if len(sample) <= 1:
-        return []
-    k = n if total > m else max(1, min(n, -(-total // SMALL_BUCKET_ROWS)))
-    bounds = []
-    for j in range(1, k):
-        b = tuple(sample[(j * len(sample)) // k])
-        if not bounds or bounds[-1] != b:
-            bounds.append(b)
-    return bounds
+def _sort_col(c) -> Column:
+    return F.col(c).asc_nulls_first() if isinstance(c, str) else c
 
 
 def global_running_sum(df: DataFrame, order_by: list, values: dict,
                        partition_by: list | None = None, exclusive: bool = False,
-                       partitions: int | None = None, nonnegative: bool = False) -> DataFrame:
+                       partitions: int | None = None) -> DataFrame:
     """Add one running-sum column per entry of ``values`` (name → Column),
-    accumulated in ``order_by`` order (column names or ``F.asc``/``F.desc``
-    of columns, e.g. ``[F.desc('roi'), F.asc('user_id')]``; the order must
-    identify rows uniquely).
+    accumulated in ``order_by`` order (column names or sort Columns, e.g.
+    ``[F.desc('roi'), F.asc('user_id')]``).  Rows equal in all of them follow
+    each other in an order that is fixed within the result.
 
     With ``partition_by`` (column names) the sums restart for every group;
     groups are the leading sort key, so a hot group is still spread over
     many tasks.  Integral value columns give exact ``bigint`` sums, others
-    ``double``.  (``nonnegative`` is accepted for compatibility; it is no
-    longer needed.)"""
-    n = _partitions(df, partitions)
-    names = list(values)
+    ``double``.  ``partitions`` sets the number of slices (default: the session's
+    shuffle partitions, fewer for small inputs)."""
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups, names = list(partition_by or []), list(values)
     tmp = [f"__v{i}" for i in range(len(names))]
-    groups = list(partition_by or [])
-    specs = [(g, True, True) for g in groups] + [_spec(c) for c in order_by]
-    work = df.withColumns({t: values[nm] for t, nm in zip(tmp, names)})
-    kinds = {}
-    for t in tmp:
-        dt = work.schema[t].dataType
-        kinds[t] = "bigint" if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
-                                               T.BooleanType)) else "double"
-    work = work.withColumns({t: F.coalesce(F.col(t).cast(kinds[t]), F.lit(0).cast(kinds[t]))
-                             for t in tmp})
-    bounds = _boundaries(work, specs, n)
-    work = work.withColumn("__b", _bucket_expr(specs, bounds))
-    nb = len(bounds) + 1
-
-    # offsets: everything in earlier buckets (no groups), or the carry of the
-    # one group per bucket that started in an earlier bucket
-    offs = {t: F.lit(0).cast(kinds[t]) for t in tmp}
-    if not groups and nb > 1:
-        tot = sorted(work.groupBy("__b").agg(*[F.sum(t).alias(t) for t in tmp]).collect(),
-                     key=lambda r: r["__b"])  # ≤ buckets rows
-        acc = {t: 0 for t in tmp}
-        start = {t: {} for t in tmp}
-        for r in tot:
-            for t in tmp:
-                start[t][r["__b"]] = acc[t]
-                acc[t] += r[t] or 0
-        for t in tmp:
-            pairs = [x for b, v in start[t].items() if v for x in (F.lit(b), F.lit(v).cast(kinds[t]))]
-            if pairs:
-                offs[t] = F.coalesce(F.element_at(F.create_map(*pairs), F.col("__b")),
-                                     F.lit(0).cast(kinds[t]))
-    elif nb > 1:
-        per = work.groupBy("__b", *groups).agg(*[F.sum(t).alias(t) for t in tmp])
-        spanning = per.groupBy(*groups).agg(F.count(F.lit(1)).alias("__nb")).where(F.col("__nb") > 1)
-        rows = per.join(spanning, groups).collect()  # ≤ 2 × buckets rows
-        by_group = {}
-        for r in rows:
-            by_group.setdefault(tuple(r[g] for g in groups), []).append(r)
-        cases = {t: [] for t in tmp}
-        for gkey, rs in by_group.items():
-            rs.sort(key=lambda r: r["__b"])
-            acc = {t: 0 for t in tmp}
-            for r in rs:
-                cond = (F.col("__b") == r["__b"])
-                for g, v in zip(groups, gkey):
-                    cond = cond & (F.col(g).isNull() if v is None else (F.col(g) == F.lit(v)))
-                for t in tmp:
-                    if acc[t]:
-                        cases[t].append((cond, acc[t]))
-                    acc[t] += r[t] or 0
-        for t in tmp:
-            if cases[t]:
-                e = None
-                for cond, v in cases[t]:
-                    e = F.when(cond, F.lit(v).cast(kinds[t])) if e is None else e.when(
-                        cond, F.lit(v).cast(kinds[t]))
-                offs[t] = e.otherwise(F.lit(0).cast(kinds[t]))
-
-    w = (Window.partitionBy("__b", *groups).orderBy(*[_sort_col(s) for s in specs[len(groups):]])
+    work = df.withColumns({t: values[nm] for t, nm in zip(tmp, names)} | {"__tie": F.monotonically_increasing_id()})
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
+    kinds = {t: "bigint" if isinstance(work.schema[t].dataType, whole) else "double" for t in tmp}
+    work = work.withColumns({t: F.coalesce(F.col(t).cast(k), F.lit(0).cast(k)) for t, k in kinds.items()})
+    order = [*[_sort_col(c) for c in order_by], F.col("__tie").asc()]
+    key = [*[_sort_col(g) for g in groups], *order]
+    ranged = work.repartitionByRange(partitions, *key) if partitions else work.repartitionByRange(*key)
+    ranged = stable(ranged.withColumn("__p", F.spark_partition_id()))
+
+    totals = ranged.groupBy("__p", *groups).agg(*[F.sum(t).alias(t) for t in tmp])
+    if groups:
+        several = (totals.groupBy(*groups).agg(F.count(F.lit(1)).alias("__n"))
+                   .where("__n > 1").select(*[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)]))
+        same = reduce(Column.__and__, [F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(groups)])
+        totals = totals.join(F.broadcast(several), same).select("__p", *groups, *tmp)
+    before = Window.partitionBy(*groups).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(F.col("__p").alias("__q"), *[F.col(g).alias(f"__g{i}") for i, g in enumerate(groups)],
+                            *[F.sum(t).over(before).alias(f"__o{t}") for t in tmp])
+    here = reduce(Column.__and__, [F.col("__p") == F.col("__q"),
+                                   *[F.col(g).eqNullSafe(F.col(f"__g{i}")) for i, g in enumerate(groups)]])
+    w = (Window.partitionBy("__p", *groups).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = work.repartition(nb, "__b")
-    out = out.withColumns({nm: F.sum(t).over(w) + offs[t] - (F.col(t) if exclusive else F.lit(0))
-                           for t, nm in zip(tmp, names)})
-    return out.drop("__b", *tmp)
+    local = ranged.repartitionById(n, "__p").withColumns({f"__s{t}": F.sum(t).over(w) for t in tmp})
+    out = local.join(F.broadcast(offsets), here, "left")  # at most 2 rows per slice
+    zero = {t: F.lit(0).cast(k) for t, k in kinds.items()}
+    return out.select(*[c for c in df.columns if c not in names], *[
+        (F.col(f"__s{t}") + F.coalesce(F.col(f"__o{t}"), zero[t]) - (F.col(t) if exclusive else zero[t])).alias(nm)
+        for t, nm in zip(tmp, names)])
 
 
 def average_percent_rank(df: DataFrame, value: str, out: str = "percentile",
@@ -198,7 +85,8 @@ def average_percent_rank(df: DataFrame, value: str, out: str = "percentile",
 
     Distinct values are counted first (partial aggregate), the running count
     over distinct values gives each value's rank span, and the span table is
-    joined back on the value.  NULL values get a NULL rank and are not counted.
+    joined back on the value.  NULL values get a NULL rank, are not counted and
+    stay out of the join, where they would all meet on one key.
     """
     counts = stable(df.where(F.col(value).isNotNull()).groupBy(value).agg(
         F.count(F.lit(1)).alias("__n")))  # reduced table, reused for the total
@@ -206,7 +94,8 @@ def average_percent_rank(df: DataFrame, value: str, out: str = "percentile",
     total = counts.agg(F.sum("__n")).scalar()
     spans = spans.select(value, ((F.col("__cum") - F.col("__n") + 1 + F.col("__cum")) / F.lit(2.0)
                                  / total).alias(out))
-    return df.join(spans, value, "left")
+    ranked = df.join(spans, value).select(*df.columns, out)
+    return ranked.unionByName(df.where(F.col(value).isNull()).withColumn(out, F.lit(None).cast("double")))
 
 
 def top_k(df: DataFrame, k: int, order_by: list) -> DataFrame:
@@ -239,11 +128,11 @@ def arg_extremes(df: DataFrame, id_col: str, score: str, mid: float = 0.5) -> Da
     )
 
 
-def latest_per_key(df: DataFrame, keys, order_col: str, tie: str | None = None) -> DataFrame:
-    """Most recent row per key (``max_by`` over a struct keeps it a
+def latest_per_key(df: DataFrame, keys, order_col: str, tie: str) -> DataFrame:
+    """Most recent row per key, of equal times the one with the largest ``tie`` (``max_by`` over a struct keeps it a
     partial aggregate, so a hot key is combined map-side)."""
     cols = [c for c in df.columns if c not in keys]
-    order = F.struct(F.col(order_col), *( [F.col(tie)] if tie else []))
+    order = F.struct(F.col(order_col), F.col(tie))
     agg = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), order).alias("__r"))
     return agg.select(*keys, *[F.col("__r")[c].alias(c) for c in cols])
 

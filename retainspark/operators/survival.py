@@ -55,7 +55,7 @@ def kaplan_meier(df: DataFrame, duration: str, event: str, group: str | None = N
     safe = F.col("events") < F.col("at_risk")
     # at risk at t = group size − removed strictly before t
     r = global_running_sum(counts, [F.asc("t")], {"removed_before": F.col("removed")},
-                           partition_by=keys or None, exclusive=True, nonnegative=True)
+                           partition_by=keys or None, exclusive=True)
     sizes = counts.groupBy(*keys).agg(F.sum("removed").alias("__size"))
     r = (r.join(sizes, keys) if keys else r.withColumn("__size", counts.select(F.sum("removed")).scalar()))
     r = r.withColumn("at_risk", F.col("__size") - F.col("removed_before"))
@@ -67,7 +67,7 @@ def kaplan_meier(df: DataFrame, duration: str, event: str, group: str | None = N
     })
     r = global_running_sum(r, [F.asc("t")],
                            {"__cl": F.col("__nlog"), "__cz": F.col("__zero"), "greenwood": F.col("__gw")},
-                           partition_by=keys or None, nonnegative=True)
+                           partition_by=keys or None)
     s = F.when(F.col("__cz") > 0, F.lit(0.0)).otherwise(F.exp(-F.col("__cl")))
     r = r.withColumn("survival", s)
     lv = F.log(F.col("survival"))
@@ -369,8 +369,7 @@ def concordance_index(df: DataFrame, duration: str, event: str, score: str) -> D
                     .withColumn("__pid", F.spark_partition_id()))
     per_part = (ranged.where(F.col("e") == 1).groupBy("__pid", "lvl").agg(F.sum("k").alias("k"))
                 .collect())  # ≤ partitions × levels
-    npart = max([r["__pid"] for r in per_part] + [0]) + 1
-    died_by_part = np.zeros((npart + 1, L), dtype=np.int64)
+    died_by_part = np.zeros((n, L), dtype=np.int64)  # range partitions without a death are swept too
     for r in per_part:
         died_by_part[r["__pid"], r["lvl"]] += r["k"]
     before = np.vstack([np.zeros(L, dtype=np.int64), np.cumsum(died_by_part, axis=0)[:-1]])

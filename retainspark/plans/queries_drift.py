@@ -73,7 +73,8 @@ res2 AS (
     END)) AS ks_p_value,
     CASE WHEN ref_std > 0 THEN wasserstein / ref_std ELSE wasserstein END AS wasserstein_normed,
     sqrt(greatest(js_divergence, 0.0e0)) AS js_distance,
-    CASE WHEN n_unique <= 5 THEN 'jensenshannon' WHEN N_r <= 1000 THEN 'ks' ELSE 'wasserstein' END AS stattest
+    CASE WHEN col_name IN ('SeniorCitizen', 'Contract_encoded', 'InternetService_encoded')
+         THEN 'jensenshannon' ELSE 'wasserstein' END AS stattest
   FROM res),
 col_drift AS (
   SELECT grp AS "group", col_name, CAST(N_r AS BIGINT) AS n_ref, CAST(N_c AS BIGINT) AS n_cur,

@@ -147,8 +147,7 @@ def insert_ignore(incoming: DataFrame, path: str, key: str, order_col: str,
     position in ``order_col`` order.  Writes a new version and returns it."""
     from ..operators.ranking import global_running_sum
     spark = incoming.sparkSession
-    pos = global_running_sum(incoming, [F.asc(order_col)], {"__pos": F.lit(1)}, exclusive=True,
-                             nonnegative=True)
+    pos = global_running_sum(incoming, [F.asc(order_col)], {"__pos": F.lit(1)}, exclusive=True)
     inc = pos.withColumn(key, F.coalesce(F.col(key), F.format_string(id_format, F.col("__pos")))
                          ).drop("__pos")
     cols = [c for c in inc.columns if c != key]

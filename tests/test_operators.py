@@ -46,7 +46,7 @@ def test_global_running_sum_matches_window_with_hot_key(spark):
     bad = got.join(want, "id").where(F.col("cum") != F.col("want")).count()
     assert bad == 0
     grouped = global_running_sum(df, [F.asc("k"), F.asc("id")], {"cum": F.col("v")},
-                                 partition_by=["g"], partitions=5, nonnegative=True)
+                                 partition_by=["g"], partitions=5)
     want_g = df.withColumn("want", F.sum("v").over(
         Window.partitionBy("g").orderBy("k", "id").rowsBetween(Window.unboundedPreceding, 0)))
     assert grouped.join(want_g, "id").where(F.col("cum") != F.col("want")).count() == 0
@@ -421,3 +421,45 @@ def test_describe_matches_pandas(spark):
         assert r.std == pytest.approx(want.loc["std", c], rel=1e-9)
         for col, q in (("q25", "25%"), ("q50", "50%"), ("q75", "75%"), ("min", "min"), ("max", "max")):
             assert getattr(r, col) == pytest.approx(want.loc[q, c], rel=1e-12)
+
+
+def _plain_concordance(rows):
+    correct = tied = pairs = 0
+    for t, e, s in rows:
+        for u, f, r in rows:
+            if e and (u > t or (u == t and not f)):
+                pairs += 1
+                correct += r > s
+                tied += r == s
+    return correct, tied, pairs
+
+
+def test_concordance_with_censored_top_scores(spark):
+    from retainspark.operators.survival import concordance_index
+    rows = [(float(i % 17), int(i < 60 and i % 3 == 0), float(i)) for i in range(400)]
+    rows += [(i * 0.37, i % 2, 5.0) for i in range(40)]
+    df = spark.createDataFrame(rows, "t double, e int, s double")
+    r = concordance_index(df, "t", "e", "s").first()
+    assert (r.correct, r.tied, r.pairs) == _plain_concordance(rows)
+
+
+def test_running_sum_splits_a_constant_key_and_plans_fast(spark):
+    import time
+    df = spark.range(20000).select(F.lit(1).alias("k"), "id")
+    out = global_running_sum(df, [F.asc("k")], {"pos": F.lit(1)}, partitions=8)
+    assert sorted(r.pos for r in out.select("pos").collect()) == list(range(1, 20001))
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 6 and max(sizes) < 8000
+    t = time.time()
+    global_running_sum(spark.range(1000), [F.desc("id")], {"s": F.col("id")}, partitions=2000)._jdf.queryExecution().analyzed()
+    assert time.time() - t < 60  # 2,000 tasks of the one checkpoint; the plan has no part per slice
+
+
+def test_drift_test_does_not_depend_on_the_row_count(spark):
+    from retainspark.operators.drift import column_drift
+    for n in (1000, 1001):
+        ref = spark.range(n).select((F.col("id") / n).alias("tenure"))
+        cur = spark.range(n).select((F.col("id") / n + 0.05).alias("tenure"))
+        row = column_drift(ref, cur, ["tenure"]).first()
+        assert (row.stattest, row.drifted) == ("wasserstein", 1)
+        assert column_drift(ref, cur, ["tenure"], stattest="ks").first().drifted == 0
