@@ -1,8 +1,8 @@
 """Language of each word in code-switched text: a linear-chain conditional
 random field.
 
-Words are observed through affixes (1 to 4 letters), letter bigrams and trigrams
-and lexicon features (which languages' sample lexicons hold the word); label
+Words are observed through affixes (3 and 4 bytes), bigrams and trigrams and
+lexicon features (which languages' sample lexicons hold the word); label
 transitions are learned.  Forward-backward gives each word's language
 probabilities, their mean over a document its language.
 
@@ -14,7 +14,7 @@ the transitions learn switching from.
 from __future__ import annotations
 
 import dataclasses
-import zlib
+import itertools
 from collections import Counter
 from collections.abc import Iterator
 
@@ -29,7 +29,7 @@ UNKNOWN = "und"
 #: Hashed features; the bias and one lexicon feature per language come after them.
 HASHED = 1 << 17
 #: Words whose scores one Python worker remembers.
-MEMO = 300_000
+MEMO = 1_000_000
 #: Words of a training piece (at most), pieces of a training sequence (at most).
 PIECE, PIECES = 12, 4
 
@@ -53,17 +53,37 @@ def letters(word: bytes) -> str:
     return text[at[0]:at[-1] + 1] if at else ""
 
 
-def features(word: str, lexicons: tuple[frozenset, ...]) -> list[int]:
-    padded = f"^{word[:40]}$".encode("utf-8", "replace") if word.isascii() else f"^{word[:40]}$".encode("utf-16-le")
-    unit = 1 if word.isascii() else 2
-    n = len(padded) // unit
-    crc = zlib.crc32
-    names = [b"%d" % unit + padded[i * unit:(i + k) * unit] for k in (2, 3) for i in range(n - k + 1)]
-    names += [b"p" + padded[:k * unit] for k in (4, 5) if k < n] + [b"s" + padded[-k * unit:] for k in (4, 5) if k < n]
-    found = {crc(x) & (HASHED - 1) for x in names}
-    found.add(HASHED)
-    found.update(HASHED + 1 + j for j, lex in enumerate(lexicons) if word in lex)
-    return list(found)
+def features(words: list[str], lexicons: tuple[frozenset, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Active features of all words at once: the word's place and the feature's
+    number, in the order of the words.  Grams and affixes are of UTF-8 bytes, with
+    a mark before and after the word."""
+    marked = [b"^%b$" % w.encode("utf-8", "replace") for w in words]
+    size = np.array([len(w) for w in marked], dtype=np.int64)
+    start = np.cumsum(size) - size
+    chars = np.frombuffer(b"".join(marked), dtype=np.uint8).astype(np.uint64)
+    own = np.repeat(np.arange(len(words)), size)
+    left = np.repeat(start + size, size) - np.arange(len(chars))
+    places, found = [np.arange(len(words))], [np.full(len(words), HASHED)]
+    h = chars
+    for k in range(2, 6):
+        h = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + chars[k - 1:]
+        if k <= 3:  # grams anywhere
+            at = np.flatnonzero(left[:len(h)] >= k)
+            kinds = [(at, own[at], k)]
+        else:  # prefixes and suffixes
+            long = np.flatnonzero(size > k)
+            kinds = [(start[long], long, k), (start[long] + size[long] - k, long, k + 2)]
+        for at, word, tag in kinds:
+            x = (h[at] + np.uint64(tag)) * np.uint64(0xBF58476D1CE4E5B9)
+            places.append(word)
+            found.append((x >> np.uint64(64 - HASHED.bit_length() + 1)).astype(np.int64))
+    for j, lexicon in enumerate(lexicons):
+        known = [i for i, w in enumerate(words) if w in lexicon]
+        places.append(np.array(known, dtype=np.int64))
+        found.append(np.full(len(known), HASHED + 1 + j))
+    place, feature = np.concatenate(places), np.concatenate(found)
+    order = np.argsort(place, kind="stable")
+    return place[order], feature[order]
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -106,16 +126,16 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         chosen.append(pieces[k])
         total += len(pieces[k][1])
     items, gold, lengths, at = [], [], [], 0
-    cache: dict[str, np.ndarray] = {}
     chosen = [chosen[k] for k in rng.permutation(len(chosen))]
+    vocabulary = sorted({w for _, text in chosen for w in text})
+    place, feature = features(vocabulary, lexicons)
+    cache = dict(zip(vocabulary, np.split(feature, np.flatnonzero(np.diff(place)) + 1), strict=True)) if vocabulary else {}
     while at < len(chosen):
         group = chosen[at:at + int(rng.integers(1, PIECES + 1))]
         at += len(group)
         for y, text in group:
             cut = int(rng.integers(1, len(text) + 1))
             for w in text[:cut] if len(group) > 1 else text:
-                if w not in cache:
-                    cache[w] = np.array(features(w, lexicons))
                 items.append(cache[w])
                 gold.append(y)
         lengths.append(len(items) - sum(lengths))
@@ -135,31 +155,28 @@ class _Scores(dict):
         if len(self) + len(words) > MEMO:
             self.clear()
             self.table = self.table[:1]
-        new = [w for w in words if w not in self]
-        rows, used = [], []
-        for w in new:
-            if text := letters(w):
-                rows.append(features(text, self.model.lexicons))
-                used.append(w)
-            else:
-                self[w] = 0
-        if rows:
-            size = np.array([len(r) for r in rows])
-            flat = self.model.weights[np.concatenate([np.array(r) for r in rows])]
-            scores = np.add.reduceat(flat, np.cumsum(size) - size, axis=0)
+        new = [(w, letters(w)) for w in words if w not in self]
+        self.update((w, 0) for w, text in new if not text)
+        new = [x for x in new if x[1]]
+        if new:
+            place, feature = features([text for _, text in new], self.model.lexicons)
+            weights = self.model.weights
+            scores = np.stack([np.bincount(place, weights=weights[feature, y], minlength=len(new))
+                               for y in range(weights.shape[1])], axis=1).astype(np.float32)
             first = len(self.table)
             self.table = np.concatenate([self.table, scores])
-            self.update(zip(used, range(first, first + len(used)), strict=True))
+            self.update(zip((w for w, _ in new), range(first, first + len(new)), strict=True))
 
 
 def label(texts: list[bytes], scores: _Scores) -> Iterator[tuple[str, float, list[dict]]]:
     """Per text its language, the score and the runs of words of one language."""
     model = scores.model
     split = [t.split() for t in texts]
-    scores.add({w for ws in split for w in ws})
-    rows = np.fromiter((scores[w] for ws in split for w in ws), dtype=np.int64, count=sum(map(len, split)))
-    owner = np.repeat(np.arange(len(texts)), [len(ws) for ws in split])
-    place = np.arange(len(rows)) - np.repeat(np.cumsum([len(ws) for ws in split]) - [len(ws) for ws in split], [len(ws) for ws in split])
+    scores.add(set(itertools.chain.from_iterable(split)))
+    count = np.array([len(ws) for ws in split], dtype=np.int64)
+    rows = np.fromiter(map(scores.__getitem__, itertools.chain.from_iterable(split)), dtype=np.int64, count=int(count.sum()))
+    owner = np.repeat(np.arange(len(texts)), count)
+    place = np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
     real = rows > 0
     owner, place = owner[real], place[real]
     lengths = np.bincount(owner, minlength=len(texts))
@@ -168,7 +185,7 @@ def label(texts: list[bytes], scores: _Scores) -> Iterator[tuple[str, float, lis
     new = np.ones(len(best), dtype=bool)
     new[1:] = (owner[1:] != owner[:-1]) | (best[1:] != best[:-1])
     heads = np.flatnonzero(new)
-    tails = np.append(heads[1:], len(best)) - 1
+    tails = np.append(heads, len(best))[1:] - 1
     runs: list[list[dict]] = [[] for _ in texts]
     for o, y, a, b in zip(owner[heads].tolist(), best[heads].tolist(), place[heads].tolist(), place[tails].tolist(), strict=True):
         runs[o].append({"lang": model.languages[y], "start": a, "end": b + 1})

@@ -49,7 +49,7 @@ def test_labels_match_plain_forward_backward(model):
     assert got[1] == got[2] == ("und", 0.0, [])
     for k in (0, 3):
         words = [x for w in texts[k].split() if (x := langid.letters(w))]
-        scores = np.array([model.weights[langid.features(w, model.lexicons)].sum(axis=0) for w in words])
+        scores = np.array([model.weights[langid.features([w], model.lexicons)[1]].sum(axis=0) for w in words])
         prob, _, _ = crf.marginals(scores, np.array([len(words)]), model.start, model.transition)
         mean = prob.mean(axis=0)
         assert got[k][0] == model.languages[int(mean.argmax())] and abs(got[k][1] - mean.max()) < 1e-4
