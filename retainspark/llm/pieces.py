@@ -38,6 +38,8 @@ from retainspark.llm.common import binary_values, by_bytes, require, text_bytes
 
 RANK_SHIFT = 10
 UNKNOWN = 10.0
+#: Bytes of texts that are walked together (a few hundred bytes of memory each).
+SLICE = 1 << 19
 SPACE = "▁"
 UNIT = re.compile(" *[^ ]+| +")
 
@@ -336,13 +338,15 @@ ADDED = {"sample": pa.int32(), "ids": pa.binary(), "n_pieces": pa.int64(), "log_
 
 
 def sample_segmentations(docs: DataFrame, model: str, k: int = 2, alpha: float = 0.5, seed: int = 0,
-                         id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+                         id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None,
+                         decoded: bool = False) -> DataFrame:
     """For each row up to ``k`` rows: ``docs`` (or its columns ``keep``) with
     ``sample`` (from 0, best noisy score first), ``ids`` (little-endian unsigned
     32-bit piece ids, without begin and end), ``n_pieces``, ``log_prob`` and
     ``perturbed`` (without and with noise) and ``log_inclusion``: the log
     probability that the sample is among the k, given the best score outside
-    (0 if nothing is outside).  Input columns of these names are replaced.
+    (0 if nothing is outside); with ``decoded`` also ``decoded``, the text that
+    the ids give.  Input columns of these names are replaced.
     ``alpha`` flattens (below 1) or sharpens the distribution.
 
     Null and empty texts have one, empty, segmentation.  A text of fewer than k
@@ -352,11 +356,12 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, alpha: float =
     decoding.  A null byte or any other character without a piece falls back to
     bytes, so decoding gives back every text.  An empty table gives an empty one."""
     require(docs, [id_col, text_col])
-    rest = [c for c in (docs.columns if keep is None else keep) if c not in ADDED]
+    added = [*ADDED, *["decoded"] * decoded]
+    rest = [c for c in (docs.columns if keep is None else keep) if c not in added]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(model)
-        for b in by_bytes(batches, len(rest)):
+        for b in by_bytes(batches, len(rest), SLICE):
             texts = [t.decode("utf-8", "replace") for t in binary_values(b.column(len(rest)))]
             keys = b.column(len(rest) + 1).to_numpy(zero_copy_only=False).view(np.uint64)
             sampler = Sampler(texts, keys, vocab, alpha)
@@ -369,14 +374,15 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, alpha: float =
                 pa.array([i for s in found for i in range(len(s))], pa.int32()),
                 pa.array([i.tobytes() for i in ids], pa.binary()), pa.array([len(i) for i in ids], pa.int64()),
                 *[pa.array([s[c] for s in flat], pa.float64()) for c in ("log_prob", "perturbed", "log_inclusion")],
-            ], names=[*[f"c{i}" for i in range(len(rest))], *ADDED])
+                *[pa.array([decode(i, vocab) for i in ids], pa.binary()).cast(pa.string())] * decoded,
+            ], names=[*[f"c{i}" for i in range(len(rest))], *added])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join([*[f"c{i} {kinds[c]}" for i, c in enumerate(rest)], "sample int, ids binary, n_pieces long, "
-                        "log_prob double, perturbed double, log_inclusion double"])
+                        "log_prob double, perturbed double, log_inclusion double" + ", decoded string" * decoded])
     out = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)], text_bytes(f"`{text_col}`").alias("__t"),
                       F.xxhash64(F.col(f"`{id_col}`"), F.lit(seed)).alias("__key"))
-    return out.mapInArrow(run, schema).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)], *ADDED)
+    return out.mapInArrow(run, schema).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)], *added)
 
 
 def decode_ids(df: DataFrame, model: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

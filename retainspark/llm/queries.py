@@ -110,11 +110,10 @@ def op6_gumbel_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     rows = table(spark, sf_dir, "documents").select(
         "doc_id", "text", F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"))
-    out = pieces.sample_segmentations(rows, model, k=2, keep=["doc_id", "text_crc32"])
-    out = out.withColumn("ids_crc32", F.crc32("ids"))
-    out = pieces.decode_ids(out, model).withColumn("decoded_crc32", F.crc32(F.col("decoded").cast("binary")))
-    return out.select("doc_id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion", "ids_crc32",
-                      (F.col("decoded_crc32") == F.col("text_crc32")).alias("round_trip"))
+    out = pieces.sample_segmentations(rows, model, k=2, keep=["doc_id", "text_crc32"], decoded=True)
+    return out.select("doc_id", "sample", "n_pieces", "log_prob", "perturbed", "log_inclusion",
+                      F.crc32("ids").alias("ids_crc32"),
+                      (F.crc32(F.col("decoded").cast("binary")) == F.col("text_crc32")).alias("round_trip"))
 
 
 @query

@@ -76,8 +76,9 @@ TEXTS = ["", " ", "\n", "a▁b  c ", "\x00é漢😀", "Hello  world\n ça va", "
 
 def test_round_trip_and_special_rows(documents):
     rows = [*enumerate(TEXTS), (5, TEXTS[5]), (None, "null id")]
-    out = pieces.sample_segmentations(documents(rows, extra=("ids", "sample", "__t")), MODEL, k=3)
-    got = pieces.decode_ids(out, MODEL).collect()
+    out = pieces.sample_segmentations(documents(rows, extra=("ids", "sample", "__t")), MODEL, k=3, decoded=True)
+    got = pieces.decode_ids(out, MODEL, out_col="again").collect()
+    assert all(r.again == r.decoded for r in got)
     want = Counter((i, t) for i, t in rows)
     assert {(r.doc_id, r.text) for r in got} == set(want)
     for r in got:
