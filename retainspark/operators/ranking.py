@@ -49,11 +49,11 @@ def global_running_sum(df: DataFrame, order_by: list, values: dict,
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     groups, names = list(partition_by or []), list(values)
     tmp = [f"__v{i}" for i in range(len(names))]
-    work = df.withColumns({t: values[nm] for t, nm in zip(tmp, names)} | {"__tie": F.monotonically_increasing_id()})
+    work = df.withColumns({t: values[nm] for t, nm in zip(tmp, names)} | {"__row_no": F.monotonically_increasing_id()})
     whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)
     kinds = {t: "bigint" if isinstance(work.schema[t].dataType, whole) else "double" for t in tmp}
     work = work.withColumns({t: F.coalesce(F.col(t).cast(k), F.lit(0).cast(k)) for t, k in kinds.items()})
-    order = [*[_sort_col(c) for c in order_by], F.col("__tie").asc()]
+    order = [*[_sort_col(c) for c in order_by], F.col("__row_no").asc()]
     key = [*[_sort_col(g) for g in groups], *order]
     ranged = work.repartitionByRange(partitions, *key) if partitions else work.repartitionByRange(*key)
     ranged = stable(ranged.withColumn("__p", F.spark_partition_id()))

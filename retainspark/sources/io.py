@@ -14,7 +14,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,27 +115,31 @@ def _write_version(df: DataFrame, path: str) -> DataFrame:
 # ------------------------------------------------------------------ S6 / S7
 
 
+def _tie(df: DataFrame, columns) -> Column:
+    """A hash of the row's other cells: rows of one key and order value are told
+    apart by content, never by where they happen to lie."""
+    return F.xxhash64(*[F.col(c).cast("string") for c in sorted(columns)])
+
+
 def upsert(incoming: DataFrame, path: str, key: str, order_col: str,
            created_col: str = "created_at", now=None) -> DataFrame:
     """Insert new keys; for existing keys replace every column except
     ``created_col`` (which keeps its first value); within the batch the row
-    with the greatest ``order_col`` wins.  Writes a new version and returns it."""
+    with the greatest ``order_col`` wins, of equal ones the one with the greatest
+    hash of its cells.  Writes a new version and returns it."""
     spark = incoming.sparkSession
     now = now if now is not None else F.current_timestamp()
-    inc = incoming.withColumn(created_col, now)
-    cols = [c for c in inc.columns if c != key]
+    payload = [c for c in incoming.columns if c not in (key, created_col)]
+    cols = [*payload, created_col]
+    tie = _tie(incoming, payload).alias("__tie")
+    inc = incoming.select(key, *payload, now.alias(created_col), F.lit(1).alias("__side"),
+                          F.col(order_col).alias("__ord"), tie)
     cur = read_current(spark, path)
-    parts = [inc.select(key, *cols, F.lit(1).alias("__side"), F.col(order_col).alias("__ord"))]
     if cur is not None:
-        parts.insert(0, cur.select(key, *cols, F.lit(0).alias("__side"),
-                                   F.col(order_col).alias("__ord")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    payload = [c for c in cols if c != created_col]
-    merged = u.groupBy(key).agg(
-        F.max_by(F.struct(*payload), F.struct("__side", "__ord")).alias("__row"),
-        F.min_by(F.col(created_col), F.struct("__side", "__ord")).alias(created_col))
+        inc = cur.select(key, *cols, F.lit(0).alias("__side"), F.col(order_col).alias("__ord"), tie).unionByName(inc)
+    merged = inc.groupBy(key).agg(
+        F.max_by(F.struct(*payload), F.struct("__side", "__ord", "__tie")).alias("__row"),
+        F.min_by(F.col(created_col), F.struct("__side", "__ord", "__tie")).alias(created_col))
     out = merged.select(key, *[F.col("__row")[c].alias(c) for c in payload], created_col)
     return _write_version(out, path)
 
@@ -144,22 +148,21 @@ def insert_ignore(incoming: DataFrame, path: str, key: str, order_col: str,
                   id_format: str = "CUST_%05d") -> DataFrame:
     """Keys already present are left alone, the first incoming row of a
     new key is inserted; a missing key becomes ``id_format`` of the row's
-    position in ``order_col`` order.  Writes a new version and returns it."""
+    position in the order of ``order_col`` and a hash of its cells.  Positions are
+    only computed if a key is missing.  Writes a new version and returns it."""
     from ..operators.ranking import global_running_sum
     spark = incoming.sparkSession
-    pos = global_running_sum(incoming, [F.asc(order_col)], {"__pos": F.lit(1)}, exclusive=True)
-    inc = pos.withColumn(key, F.coalesce(F.col(key), F.format_string(id_format, F.col("__pos")))
-                         ).drop("__pos")
-    cols = [c for c in inc.columns if c != key]
+    cols = [c for c in incoming.columns if c != key]
+    inc = incoming.withColumn("__tie", _tie(incoming, cols))
+    if not inc.where(F.col(key).isNull()).isEmpty():
+        inc = global_running_sum(inc, [F.asc(order_col), F.asc("__tie"), F.asc(key)], {"__pos": F.lit(1)}, exclusive=True)
+        inc = inc.withColumn(key, F.coalesce(F.col(key), F.format_string(id_format, F.col("__pos"))))
+    u = inc.select(key, *cols, F.lit(1).alias("__side"), F.col(order_col).alias("__ord"), "__tie")
     cur = read_current(spark, path)
-    parts = [inc.select(key, *cols, F.lit(1).alias("__side"), F.col(order_col).alias("__ord"))]
     if cur is not None:
-        parts.insert(0, cur.select(key, *cols, F.lit(0).alias("__side"),
-                                   F.col(order_col).alias("__ord")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    merged = u.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct("__side", "__ord")).alias("__row"))
+        u = cur.select(key, *cols, F.lit(0).alias("__side"), F.col(order_col).alias("__ord"),
+                       _tie(cur, cols).alias("__tie")).unionByName(u)
+    merged = u.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct("__side", "__ord", "__tie")).alias("__row"))
     out = merged.select(key, *[F.col("__row")[c].alias(c) for c in cols])
     return _write_version(out, path)
 

@@ -463,3 +463,19 @@ def test_drift_test_does_not_depend_on_the_row_count(spark):
         row = column_drift(ref, cur, ["tenure"]).first()
         assert (row.stattest, row.drifted) == ("wasserstein", 1)
         assert column_drift(ref, cur, ["tenure"], stattest="ks").first().drifted == 0
+
+
+def test_sinks_do_not_depend_on_the_partitioning(spark):
+    from retainspark.sources import io as IO
+    rows = [(f"k{i % 10}" if i % 7 else None, 1, float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, at int, v double")
+    tables = []
+    for n in (1, 5):
+        a, b = IO.work_dir(spark, "ties"), IO.work_dir(spark, "seeds")
+        IO.upsert(df.where("id IS NOT NULL").repartition(n), a, "id", "at", now=F.lit(0))
+        up = IO.upsert(df.where("id IS NOT NULL").repartition(n, "v"), a, "id", "at", now=F.lit(1))
+        IO.insert_ignore(df.repartition(n), b, "id", "at")
+        ins = IO.insert_ignore(df.repartition(n, "v"), b, "id", "at")
+        tables.append([sorted(map(tuple, t.collect())) for t in (up, ins)])
+    assert tables[0] == tables[1]
+    assert {r[-1] for r in tables[0][0]} == {0} and len(tables[0][1]) == 10 + 9
