@@ -30,6 +30,7 @@ GBT_PARAMS = dict(maxDepth=5, stepSize=0.05, featureSubsetStrategy="0.9", subsam
                   maxIter=500, minInstancesPerNode=20, seed=42)
 TLEARNER_PARAMS = dict(maxDepth=5, stepSize=0.05, maxIter=200, seed=42)
 EARLY_STOPPING_ROUNDS = 50
+CV_ROUNDS = 300
 TEST_SIZE = 0.2
 SEED = 42
 HASH_MULTIPLIER = 2654435761
@@ -142,8 +143,9 @@ def score(model, df: DataFrame, out: str = "churn_probability") -> DataFrame:
 def cross_validate(df: DataFrame, features, label: str, estimator=None, k: int = 5,
                    id_col: str = "customerID", parallelism: int = 4) -> DataFrame:
     """M6: k-fold stratified CV (fold column) of AUC: one row with the mean,
-    the sample std and the per-fold values."""
-    est = estimator or LogisticRegression(labelCol=label, featuresCol="features", maxIter=100)
+    the sample std and the per-fold values; by default of the boosted model with
+    ``CV_ROUNDS`` rounds."""
+    est = estimator or GBTClassifier(labelCol=label, featuresCol="features", **dict(GBT_PARAMS, maxIter=CV_ROUNDS))
     folded = fold_column(df, id_col, label, k)
     # every fold re-reads this: keep it for the duration of the search
     data = assembler(features).transform(folded).select("features", label, "fold").persist()

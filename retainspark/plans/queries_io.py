@@ -197,11 +197,8 @@ def gated_retrain(spark, sf_dir):
     fp = IO.join_path(base, "features_fingerprint")
     IO.record_fingerprint(feats, fp)
     reg = RG.Registry(spark, IO.join_path(base, "registry"))
-    from .queries_models import CHECK_PARAMS
-    auc = RG.gated_retrain(feats, reg, flag, fp, IO.join_path(base, "models"), FEATURE_COLS,
-                           params=CHECK_PARAMS)
-    again = RG.gated_retrain(feats, reg, flag, fp, IO.join_path(base, "models"), FEATURE_COLS,
-                             params=CHECK_PARAMS)
+    auc = RG.gated_retrain(feats, reg, flag, fp, IO.join_path(base, "models"), FEATURE_COLS)
+    again = RG.gated_retrain(feats, reg, flag, fp, IO.join_path(base, "models"), FEATURE_COLS)
     return reg.summary().withColumns({"holdout_auc": F.lit(auc), "second_run_skipped": F.lit(again is None)})
 
 
