@@ -69,6 +69,10 @@ class Vocabulary:
         keys = np.array([(s << 21) | c for s, c in states], dtype=np.int64)
         order = np.argsort(keys)
         self.keys, self.next = keys[order], np.array(list(states.values()), dtype=np.int64)[order]
+        self.root = np.full(0x110000, -1, dtype=np.int64)  # by first character
+        for (s, c), to in states.items():
+            if s == 0:
+                self.root[c] = to
         self.piece = np.full(len(states) + 1, -1, dtype=np.int32)
         self.piece[list(final)] = list(final.values())
         rank = np.zeros(len(kinds))
@@ -101,12 +105,13 @@ class Lattices:
         self.chars = np.frombuffer("".join(units).encode("utf-32-le"), dtype="<u4").astype(np.int64)
         n = len(self.chars)
         self.left = np.repeat(self.first + sizes, sizes) - np.arange(n)  # characters up to the unit's end
-        alive, state = np.arange(n), np.zeros(n, dtype=np.int64)
+        alive, state = np.arange(n), vocab.root[self.chars]
         nodes, spans, pieces = [], [], []
         for k in range(vocab.longest):
-            go = self.left[alive] > k
-            alive, state = alive[go], state[go]
-            state = vocab.step(state, self.chars[alive + k])
+            if k:
+                go = self.left[alive] > k
+                alive, state = alive[go], state[go]
+                state = vocab.step(state, self.chars[alive + k])
             alive, state = alive[state >= 0], state[state >= 0]
             found = vocab.piece[state]
             at = alive[found >= 0]
@@ -320,12 +325,19 @@ class Sampler:
 def ids_of(path: np.ndarray, lattice: Lattices, first_byte: int) -> np.ndarray:
     """Piece ids of a path, every fallback (-1) spelled out in byte pieces."""
     piece = lattice.piece[path]
-    if not (piece < 0).any():
+    lone = np.flatnonzero(piece < 0)
+    if not len(lone):
         return piece.astype("<u4")
-    out: list[int] = []
-    for p, c in zip(piece.tolist(), lattice.chars[lattice.node[path]].tolist(), strict=True):
-        out += [p] if p >= 0 else [first_byte + b for b in chr(c).encode()]
-    return np.array(out, dtype="<u4")
+    chars = lattice.chars[lattice.node[path[lone]]]
+    piece[lone] = first_byte + chars  # right for ASCII, one byte each
+    ids = piece.astype("<u4")
+    wide = chars > 127
+    if not wide.any():
+        return ids
+    spelled = [list(chr(c).encode()) for c in chars[wide].tolist()]
+    ids[lone[wide]] = [first_byte + x[0] for x in spelled]
+    after = np.repeat(lone[wide] + 1, [len(x) - 1 for x in spelled])
+    return np.insert(ids, after, [first_byte + b for x in spelled for b in x[1:]])
 
 
 def decode(ids: np.ndarray, vocab: Vocabulary) -> bytes:
