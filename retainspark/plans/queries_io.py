@@ -11,7 +11,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from . import sql_checks as S
-from .queries import query
+from .queries import ORACLES, query
 from .queries_analytics import _eval_frame
 from .retention import batch_scores, features_table, targeting
 from ..functions.features import round_half_even
@@ -99,7 +99,9 @@ def insert_ignore_customers(spark, sf_dir):
     return IO.insert_ignore(i, path, "customer_id", "loaded_at")
 
 
-@query("action_log_append")
+@query("action_log_append", f"""
+SELECT recommended_action, CAST(2 * count(*) AS BIGINT) AS logged
+FROM ({ORACLES['retention_targeting']}) targeted GROUP BY recommended_action""")
 def action_log_append(spark, sf_dir):
     """S8 + S10: the targeted list appended to the action log on two runs."""
     _, within = targeting(spark, sf_dir)
@@ -116,7 +118,7 @@ def action_log_append(spark, sf_dir):
     return spark.table(name).groupBy("recommended_action").agg(F.count(F.lit(1)).alias("logged"))
 
 
-@query("drift_summary_json")
+@query("drift_summary_json", ORACLES["drift_summary"])
 def drift_summary_json(spark, sf_dir):
     """The drift summary written as a one-record JSON file and read back."""
     from .queries_drift import _halves
