@@ -9,7 +9,7 @@ a file is a sequence:
 ``ends``   fixed_size_list<uint8>[length / 8], a bit per token: 1 ends a document
 ``docs``   list<int64>, ids of the documents that end in the sequence
 
-Bits count from the lowest.  Every batch but a file's last has ``BATCH``
+Bits count from the lowest.  All batches of a file but the last have the same number of
 sequences and only a file's last sequence is padded, so sequence i of a mapped
 file is a view at a computable place.  A document may go on over sequences, not
 over files.
@@ -202,7 +202,8 @@ class Sequences:
         self.file = pa.ipc.open_file(source)
         self.length = self.file.schema.field("ids").type.list_size
         batches = self.file.num_record_batches
-        self.count = (batches - 1) * BATCH + self.file.get_batch(batches - 1).num_rows if batches else 0
+        self.per_batch = self.file.get_batch(0).num_rows if batches else 1
+        self.count = (batches - 1) * self.per_batch + self.file.get_batch(batches - 1).num_rows if batches else 0
 
     def __len__(self) -> int:
         return self.count
@@ -218,8 +219,8 @@ class Sequences:
         """Ids and packed mask of sequence ``i``."""
         if not 0 <= i < self.count:
             raise IndexError(i)
-        ids, mask, _, _ = self.batch(i // BATCH)
-        return ids[i % BATCH], mask[i % BATCH]
+        ids, mask, _, _ = self.batch(i // self.per_batch)
+        return ids[i % self.per_batch], mask[i % self.per_batch]
 
     def documents(self) -> Iterator[tuple[int | None, np.ndarray]]:
         """Every document's id and ids, in file order, a batch at a time."""
