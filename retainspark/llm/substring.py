@@ -109,13 +109,23 @@ class Runs:
         self.anchor = gram[at[self.first]].view(np.int64) if len(doc) else np.empty(0, np.int64)
 
 
+def _distinct(b: pa.RecordBatch) -> pa.RecordBatch:
+    """The first of the rows that are equal in columns 0 and 1, id and tie."""
+    ids, ties = b.column(0).to_numpy(), b.column(1).to_numpy()
+    order = np.lexsort((ties, ids))
+    same = (ids[order][1:] == ids[order][:-1]) & (ties[order][1:] == ties[order][:-1])
+    return b.take(pa.array(np.sort(order[np.append(True, ~same)]))) if same.any() else b
+
+
 def _anchors(docs: DataFrame, window: int) -> DataFrame:
-    """``(anchor, id, again)``: the distinct anchors of each row of ``docs``;
-    ``again`` if one makes several runs in it."""
+    """``(anchor, id, tie, again)``: the distinct anchors of each row of ``docs``;
+    ``again`` if one makes several runs in it.  Rows equal in id and tie are one
+    within a slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in by_bytes(batches, 1):
-            runs = Runs(binary_values(b.column(1)), window)
-            ids = b.column(0).to_numpy(zero_copy_only=False)
+        for b in by_bytes(batches, 2):
+            b = _distinct(b)
+            runs = Runs(binary_values(b.column(2)), window)
+            ids, ties = b.column(0).to_numpy(), b.column(1).to_numpy()
             order = np.lexsort((runs.anchor, runs.doc))
             doc, anchor, length = runs.doc[order], runs.anchor[order], runs.length[order]
             new = np.ones(len(doc), dtype=bool)
@@ -123,18 +133,20 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
             first = np.flatnonzero(new)
             again = np.diff(np.append(first, len(doc))) > 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor[first]), pa.array(ids[doc[first]]), pa.array(again)],
-                names=["anchor", "id", "again"])
+                [pa.array(anchor[first]), pa.array(ids[doc[first]]), pa.array(ties[doc[first]]), pa.array(again)],
+                names=["anchor", "id", "tie", "again"])
 
-    return docs.select("__id", "__t").mapInArrow(run, "anchor long, id long, again boolean")
+    return docs.select("__id", "__tie", "__t").mapInArrow(run, "anchor long, id long, tie long, again boolean")
 
 
 def _candidates(marked: DataFrame, window: int) -> DataFrame:
     """Runs with a repeated anchor.  ``hashes`` and ``at`` (offset in the run)
     list the batch's first occurrences; ``gone`` masks the others, which are
-    known to be removed already."""
+    known to be removed already.  A row equal in id and tie to one before it is
+    that row again and no later place of its windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_bytes(batches, 2):
+            b = _distinct(b)
             texts, ids, ties = binary_values(b.column(2)), b.column(0).to_numpy(), b.column(1).to_numpy()
             runs = Runs(texts, window)
             bounds = np.searchsorted(runs.doc, np.arange(len(texts) + 1))
@@ -165,16 +177,17 @@ def _candidates(marked: DataFrame, window: int) -> DataFrame:
 
 
 def _removed(docs: DataFrame, window: int) -> DataFrame:
-    """``(__id, runs)``: per id the masked runs of windows that occur earlier."""
+    """``(__id, __tie, runs)``: per row, equal ones as one, the masked runs of
+    windows that occur earlier."""
     anchors = materialise(_anchors(docs, window), "anchors")
     repeated = (anchors.groupBy("anchor")
                 .agg(F.sum(F.when(F.col("again"), 2).otherwise(1)).alias("n"))
                 .filter("n > 1").select("anchor"))
-    marks = materialise(anchors.join(repeated, "anchor").groupBy(F.col("id").alias("__id"))
-                        .agg(F.collect_list("anchor").alias("marks")), "marks")
-    runs = _candidates(docs.join(marks, "__id").select("__id", "__tie", "__t", "marks"), window)
+    marks = materialise(anchors.join(repeated, "anchor").groupBy(F.col("id").alias("__id"), F.col("tie").alias("__tie"))
+                        .agg(F.collect_set("anchor").alias("marks")), "marks")
+    runs = _candidates(docs.join(marks, ["__id", "__tie"]).select("__id", "__tie", "__t", "marks"), window)
     # what a batch has settled alone needs no company
-    place = F.when(F.size("hashes") > 0, F.col("anchor")).otherwise(F.xxhash64("id", "pos"))
+    place = F.when(F.size("hashes") > 0, F.col("anchor")).otherwise(F.xxhash64("id", "tie", "pos"))
     flat = (runs.withColumn("place", place).repartition("place")
             .withColumn("w", F.explode_outer(F.arrays_zip("hashes", "at")))
             .select("place", "id", "tie", "pos", "gone", F.col("w.hashes").alias("hash"), F.col("w.at").alias("at"))
@@ -187,17 +200,18 @@ def _removed(docs: DataFrame, window: int) -> DataFrame:
             .agg(F.bit_or(F.col("gone").bitwiseOR(F.when(F.col("late"), F.expr("shiftleft(1, cast(at AS int))"))
                                                   .otherwise(0))).alias("mask"))
             .filter("mask <> 0")
-            .groupBy(F.col("id").alias("__id")).agg(F.collect_list(F.struct("tie", "pos", "mask")).alias("runs")))
+            .groupBy(F.col("id").alias("__id"), F.col("tie").alias("__tie"))
+            .agg(F.collect_list(F.struct("pos", "mask")).alias("runs")))
 
 
-def _kept(texts: list[bytes], ties: list[int], removed: list, window: int) -> Iterator[tuple]:
+def _kept(texts: list[bytes], removed: list, window: int) -> Iterator[tuple]:
     """Per text the number of words and of removed words, the removed intervals
     and the kept words."""
-    for text, tie, runs in zip(texts, ties, removed, strict=True):
+    for text, runs in zip(texts, removed, strict=True):
         words = text.split()
         cover = np.zeros(len(words) + 1, dtype=np.int32)
         for r in runs or ():
-            for i in range(r["mask"].bit_length() if r["tie"] == tie else 0):
+            for i in range(r["mask"].bit_length()):
                 if r["mask"] >> i & 1:
                     cover[r["pos"] + i] += 1
                     cover[r["pos"] + i + window] -= 1
@@ -230,14 +244,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     moved = list(dict.fromkeys([*rest, text_col]))
     full = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(moved)], id_key(f"`{id_col}`").alias("__id"))
     text = F.col(f"c{moved.index(text_col)}").cast("binary")
-    tie = F.xxhash64(F.coalesce(text, F.lit(b"")))
-    slim = full.select("__id", tie.alias("__tie"), text.alias("__t"))
+    full = full.withColumn("__tie", F.xxhash64(F.coalesce(text, F.lit(b""))))
+    slim = full.select("__id", "__tie", text.alias("__t"))
     removed = materialise(_removed(slim, window), "removed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in by_bytes(batches, len(rest)):
             cells = list(zip(*_kept(binary_values(b.column(len(rest))), b.column(len(rest) + 1).to_pylist(),
-                                    b.column(len(rest) + 2).to_pylist(), window), strict=True)) or [()] * 4
+                                    window), strict=True)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(i) for i in range(len(rest))], pa.array(cells[0], pa.int64()),
                  pa.array(cells[1], pa.int64()), pa.array(cells[2], SPANS),
@@ -247,6 +261,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
     schema = ", ".join([*[f"c{i} {kinds[c]}" for i, c in enumerate(rest)],
                         "n_words long, n_removed long, spans array<struct<start: long, end: long>>, kept_text string"])
-    out = (full.join(removed, "__id", "left")
-           .select(*[f"c{i}" for i in range(len(rest))], text.alias("__t"), tie.alias("__tie"), "runs").mapInArrow(run, schema))
+    out = (full.join(removed, ["__id", "__tie"], "left")
+           .select(*[f"c{i}" for i in range(len(rest))], text.alias("__t"), "runs").mapInArrow(run, schema))
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)], *added)

@@ -60,6 +60,15 @@ def test_a_hot_passage_over_many_batches(spark, documents, words, monkeypatch):
     check(documents(rows).repartition(20), rows, 20)
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_equal_rows_are_one_and_keep_a_first_passage(documents, words, parts):
+    rows = [*[(50, words(30))] * 2, (60, words(25)), *[(70, words(25, 500))] * 3, *[(80, "x " * 60)] * 2, *[(None, words(40, 900))] * 2]
+    docs = documents(rows).repartition(parts)
+    check(docs, rows, 20)
+    first = [r for r in substring.remove_repeats(docs).collect() if r.doc_id == 50]
+    assert [(r.n_removed, r.kept_text) for r in first] == [(0, words(30))] * 2
+
+
 def test_empty_table(documents):
     assert substring.remove_repeats(documents([])).count() == 0
 
