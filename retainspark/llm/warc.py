@@ -30,7 +30,11 @@ HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 #: WARC-Date of responses without one.
 DATE = "1970-01-01T00:00:00Z"
 
-_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+#: What is not text, a head's title among it.  </head> may be left out, so a head
+#: has no end to look for; its other tags hold no text.  A title that is not
+#: closed ends at the first tag.
+_DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+                      r"|<title\b[^>]*>.*?(?:</title\b[^>]*>|(?=</?[a-z])(?!.{0,1000}?</title\b)|\Z)", re.S | re.I)
 _BREAK = re.compile(r"</?(?:p|div|br|hr|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|aside|main|pre|"
                     r"blockquote|form|title|dl|dt|dd|figure|figcaption)\b[^>]*>", re.I)
 _TAG = re.compile(r"</?[a-zA-Z!?][^>]*>")
@@ -40,7 +44,7 @@ _LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))
 
 
 def plain_text(page: str) -> str:
-    """Text of a page: comments, head, scripts and styles dropped, block tags as
+    """Text of a page: comments, title, scripts and styles dropped, block tags as
     line breaks, other tags removed, references resolved once, blanks squeezed,
     empty lines dropped."""
     text = _TAG.sub("", _BREAK.sub("\n", _DROPPED.sub(" ", page)))

@@ -51,6 +51,19 @@ def test_plain_text():
     assert warc.plain_text("x<script>never closed") == "x"
 
 
+@pytest.mark.parametrize("head, title", [
+    ("<html><head><title>t</title><body>", "t"), ("<head><meta charset=x><title>t <b>u</b> </title><link href=a>", "t u"),
+    ("<html><HEAD lang=x><title>t</title ><style>p{x}</style><script>'<body>'</script></body><!-- </head> -->", "t"),
+    ("<title>t</title>", "t"), ("<html><head>", None), ("<head><title>not closed</head><body>", None), ("<head><title>not closed", None),
+    ("<html><head><title>t</title></head><body>", "t"), ("<head></head><body>", None)])
+def test_a_page_whose_head_is_not_closed_keeps_its_body(head, title):
+    page = head + "<p>All the text</p><a href=x>l</a></body></html>"
+    assert warc.plain_text(page) == "All the text\nl"
+    notes, _ = warc.derive("u", page, warc.HEAD, warc.DATE)
+    assert notes["n_links"] == 1 and b"outlink: x" in notes["record"]
+    assert title is None or f"title: {title}".encode() in notes["record"]
+
+
 def test_text_of_every_page_matches_a_parser(spark, sf_dir):
     for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
         assert warc.plain_text(r.html) == Reader(r.html).text, r.page_id
