@@ -275,11 +275,8 @@ SELECT CAST(count_if(PaymentMethod_encoded IS NOT NULL AND InternetService_encod
        CAST(count_if(PaymentMethod_encoded IS NULL OR InternetService_encoded IS NULL) AS BIGINT) AS rejected
 FROM enc""")
 def request_validation(spark, sf_dir):
-    """Requests with a missing required field are rejected (training
-    encodings leave unmapped labels NULL, so those rows are rejected)."""
-    from ..functions.encode import encode_customers
-    from ..sources.bridge import customers_raw
-    enc = encode_customers(customers_raw(spark, sf_dir), "training")
-    valid, rejected = validate_requests(enc, ["PaymentMethod_encoded", "InternetService_encoded"])
+    """Requests with any of the 27 required fields missing are rejected
+    (training encodings leave unmapped labels NULL, so those rows are rejected)."""
+    valid, rejected = validate_requests(features_table(spark, sf_dir, "training"))
     return valid.select(F.count(F.lit(1)).alias("valid")).select(
         "valid", rejected.select(F.count(F.lit(1))).scalar().alias("rejected"))

@@ -47,3 +47,23 @@ def test_segment_values(spark):
     assert {r.priority for r in out} <= {"HIGH", "SUPPRESS", "LOW", "NONE"}
     for r in out:
         assert abs(r.uplift_score - (r.p_churn_no_action - r.p_churn_with_voucher)) < 2e-4
+
+
+def test_validation_query_checks_every_required_field(spark, sf_dir, monkeypatch):
+    from retainspark.plans import retention
+    from retainspark.plans.queries_models import request_validation
+    from retainspark.sources import bridge
+    raw = bridge.customers_raw
+    before = request_validation(spark, sf_dir).first()
+
+    def broken(s, d):  # labels that no map has, in fields other than payment and internet service
+        odd = F.conv(F.substring(F.md5(F.col("customer_id").cast("string")), 1, 1), 16, 10).cast("int")
+        return (raw(s, d).withColumn("contract", F.when(odd < 4, "Weekly").otherwise(F.col("contract")))
+                .withColumn("senior_citizen", F.when(odd == 15, None).otherwise(F.col("senior_citizen"))))
+
+    monkeypatch.setattr(bridge, "customers_raw", broken)
+    monkeypatch.setattr(retention, "customers_raw", broken)
+    after = request_validation(spark, sf_dir).first()
+    assert after.valid + after.rejected == before.valid + before.rejected
+    want = retention.features_table(spark, sf_dir, "training").select(*FEATURE_COLS).na.drop().count()
+    assert after.valid == want < before.valid
