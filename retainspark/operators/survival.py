@@ -135,7 +135,7 @@ def _efron_series(spark, items, partitions: int):
 
 
 def cox_fit(df: DataFrame, duration: str, event: str, covariates, penalizer: float = 0.1,
-            max_iter: int = 50, tol: float = 1e-9, ties: str = "efron"):
+            max_iter: int = 50, tol: float = 1e-9, ties: str = "efron", strict: bool = True):
     """Penalised Cox proportional-hazards fit, Efron (default) or
     Breslow handling of tied event times.
 
@@ -146,8 +146,11 @@ def cox_fit(df: DataFrame, duration: str, event: str, covariates, penalizer: flo
     solves the p×p Newton system.  Efron's per-event-time sums over
     l = 0..d−1 reduce to three scalar series in c = d·S0/D0 (see
     ``_efron_series``), from which the gradient and Hessian follow exactly.
-    Returns a dict with the coefficient table (DataFrame) and the fitted
-    arrays needed by ``baseline_hazard`` / scoring."""
+    Returns a dict with the coefficient table (DataFrame), the fitted
+    arrays needed by ``baseline_hazard`` / scoring and ``converged``.  A fit
+    that is not done after ``max_iter`` steps, or finds no step that keeps the
+    objective, raises; with ``strict=False`` it is returned with
+    ``converged`` False."""
     spark = df.sparkSession
     cov = list(covariates)
     p = len(cov)
@@ -230,7 +233,7 @@ def cox_fit(df: DataFrame, duration: str, event: str, covariates, penalizer: flo
             h -= (d / d0) * (bm * h1 + d2) - (d / d0) ** 2 * outer
         return ll, g, h, rows
 
-    ll_prev = None
+    ll_prev, converged = None, False
     for _ in range(max_iter):
         ll, g, h, _rows = newton_terms(beta)
         obj = ll / n - 0.5 * lam * beta @ beta
@@ -244,10 +247,17 @@ def cox_fit(df: DataFrame, duration: str, event: str, covariates, penalizer: flo
             if ll_new / n - 0.5 * lam * new @ new >= obj - 1e-12:
                 break
             new = beta - step / (2 ** (_h + 1))
+        else:
+            # no step gains: done if the full one promises less than the tolerance
+            converged = bool(abs(grad @ step) / 2 < tol)
+            break
         beta = new
         if ll_prev is not None and abs(obj - ll_prev) < tol:
+            converged = True
             break
         ll_prev = obj
+    if strict and not converged:
+        raise RuntimeError(f"Cox fit has not converged (at most {max_iter} steps, tolerance {tol})")
     ll, g, h, rows = newton_terms(beta)
     info = -(h - n * lam * np.eye(p))
     cov_m = np.linalg.inv(info)
@@ -261,7 +271,7 @@ def cox_fit(df: DataFrame, duration: str, event: str, covariates, penalizer: flo
          for i, c in enumerate(cov)],
         "covariate string, coef double, hazard_ratio double, se double, z double, p double")
     return {"summary": table, "beta_std": beta, "mean": mean, "std": std, "coef": coef,
-            "covariates": cov, "log_likelihood": ll, "zdf": zdf}
+            "covariates": cov, "log_likelihood": ll, "zdf": zdf, "converged": converged}
 
 
 def hazard_report(summary: DataFrame, alpha: float = 0.05) -> DataFrame:

@@ -214,6 +214,20 @@ def test_cox_recovers_direction(spark):
     assert 0.5 < coef < 1.1
 
 
+def test_cox_says_whether_it_converged(spark):
+    rnd = np.random.default_rng(12)
+    x = rnd.normal(size=200)
+    t = np.floor(rnd.exponential(scale=np.exp(-0.8 * x)) * 10) + 1
+    df = spark.createDataFrame([(float(a), float(b), 1) for a, b in zip(x, t)], "x double, t double, e int")
+    assert SV.cox_fit(df, "t", "e", ["x"], penalizer=0.0)["converged"] is True
+    with pytest.raises(RuntimeError, match="not converged"):
+        SV.cox_fit(df, "t", "e", ["x"], penalizer=0.0, max_iter=1)
+    assert SV.cox_fit(df, "t", "e", ["x"], penalizer=0.0, max_iter=1, strict=False)["converged"] is False
+    endless = df.withColumn("x", F.when(F.col("x") > 2, float("inf")).otherwise(F.col("x")))
+    with pytest.raises(RuntimeError, match="not converged"):  # no step keeps an objective that is not a number
+        SV.cox_fit(endless, "t", "e", ["x"], penalizer=0.0)
+
+
 # --------------------------------------------------------------- drift
 
 
