@@ -94,6 +94,14 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+def _edge_order(left: np.ndarray, node: np.ndarray, span: np.ndarray) -> np.ndarray:
+    """Edges by ``left``, ``node`` and ``span``: by one packed key where it fits
+    63 bits (a batch has far fewer than 2^32 nodes)."""
+    if len(left) and left.max() >= 1 << 23:
+        return np.lexsort((span, node, left))
+    return np.argsort((left << 40) + (node << 8) + span)
+
+
 class Lattices:
     """Lattices of distinct units: a node per character, an edge per piece that
     starts there.  A node's edges are ``start`` to ``start + degree``, with
@@ -123,7 +131,7 @@ class Lattices:
             spans.append(np.full(len(at), k + 1))
             pieces.append(found[found >= 0] if k else found[(found >= 0) | (np.arange(len(found)) >= len(alive))])
         node, span, piece = map(np.concatenate, (nodes, spans, pieces))
-        order = np.argsort((self.left[node] << 40) + (node << 8) + span)  # a batch has far fewer than 2^32 nodes
+        order = _edge_order(self.left[node], node, span)
         node, self.span, self.piece = node[order], span[order], piece[order]
         self.degree = np.bincount(node, minlength=n)
         heads = np.flatnonzero(np.append(True, node[1:] != node[:-1])) if n else np.empty(0, np.int64)

@@ -110,3 +110,13 @@ def test_decoding_agrees_with_the_library(vocab):
 
 def test_empty_table(documents):
     assert pieces.sample_segmentations(documents([]), MODEL).count() == 0
+
+
+@pytest.mark.parametrize("far", [100, (1 << 23) - 1, 1 << 23, 1 << 24, 1 << 31])
+def test_edges_far_from_their_units_end_stay_in_order(far):
+    rng = np.random.default_rng(far)
+    left, node = far - rng.integers(0, 5, 300), rng.integers(0, 10, 300)
+    span = rng.permutation(300) % 16 + 1
+    order = pieces._edge_order(left, node, span)
+    got = list(zip(left[order].tolist(), node[order].tolist(), span[order].tolist()))
+    assert got == sorted(zip(left.tolist(), node.tolist(), span.tolist()))
