@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retainspark.llm import arrow_tokens, decontaminate, langid, pieces, preference, quality, sharding, simhash, substring, warc
+from retainspark.llm import arrow_tokens, decontaminate, langid, packing, pieces, preference, quality, sharding, simhash, substring, warc
 from retainspark.llm.common import hex16, table
 
 import corpus_pipeline
@@ -170,6 +170,13 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(table(spark, sf_dir, "pages"), keep=["page_id"])
 
 
+@query
+def op13_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in sequences of 2048 ids (or a power of two)."""
+    out = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
