@@ -20,54 +20,80 @@ every sequence is full, or its length is a power of two.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
+import re
+from array import array
+from collections import ChainMap
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from retainspark.llm.common import binary_values, by_bytes, materialise, require, text_bytes
+from retainspark.llm.common import by_bytes, materialise, require, text_bytes
 from retainspark.operators.ranking import global_running_sum
 
 WINDOW, GRAIN, DEPTH = 2048, 32, 4
 #: Chunks whose ids one Python worker remembers, and their greatest length in bytes.
 MEMO, MEMO_BYTES = 600_000, 64
+#: Bytes of texts that are encoded together.
+SLICE = 8 << 20
+
+_LETTER = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"  # a to z and U+00C0 to U+00FF without the two signs
+_SIGN = rb"[!-&(-@\[-`{-~]"  # ASCII but letters, blanks and the apostrophe
+_BLANK = rb"[ \t\n\r\x0b\x0c]"
+#: Chunks in which a lower-cased text's bytes are encoded one by one.  Letters and signs
+#: part where they meet; next to any other character the rest up to the blank stays
+#: together.
+_CHUNKS = re.compile(rb"%b+(?=%b|%b|\Z)|%b+(?=[a-z\xc3]|%b|\Z)(?!\xc3[\x97\xb7])|[^ \t\n\r\x0b\x0c]+" % (_LETTER, _SIGN, _BLANK, _SIGN, _BLANK))
 
 
 class ChunkEncoder:
-    """Ids of whole texts for a vocabulary whose pre-tokenizer drops white space:
-    a text's ids are those of its blank-separated chunks, one after another."""
+    """Ids of whole texts for a vocabulary that lower-cases, drops white space and never
+    joins letters with signs: a text's ids are those of its chunks, one after another."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        probe = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("a b", " a\t\n b ", "a", "b")]
-        if not probe[0] == probe[1] == probe[2] + probe[3]:
-            raise ValueError("the vocabulary keeps white space")
+        probe = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("a, b", " A\t,\n b ", "a", ",", "b")]
+        if not probe[0] == probe[1] == probe[2] + probe[3] + probe[4]:
+            raise ValueError("the vocabulary keeps case, white space, or letters and signs together")
         self.memo: dict[bytes, bytes] = {}
 
     def _library(self, chunks: list[bytes]) -> list[bytes]:
         texts = [c.decode("utf-8", "replace") for c in chunks]
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of every text as little-endian unsigned 32-bit integers."""
-        split = [t.split() for t in texts]
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """The ids of every word; chunks that were met before come from memory."""
+        split = [_CHUNKS.findall(w) for w in words]
         if len(self.memo) > MEMO:
             self.memo.clear()
-        new = list(set().union(*split).difference(self.memo))
-        own = self.memo
-        if any(len(c) > MEMO_BYTES for c in new):
-            own = dict(self.memo)  # long chunks are not remembered
-        for c, ids in zip(new, self._library(new), strict=True):
-            own[c] = ids
-            if len(c) <= MEMO_BYTES:
-                self.memo[c] = ids
-        return [b"".join(map(own.__getitem__, chunks)) for chunks in split]
+        new = list(set(itertools.chain.from_iterable(split)).difference(self.memo))
+        ids = dict(zip(new, self._library(new), strict=True))
+        self.memo.update((c, x) for c, x in ids.items() if len(c) <= MEMO_BYTES)
+        known = self.memo if len(ids) == 0 or max(map(len, ids)) <= MEMO_BYTES else ChainMap(ids, self.memo)
+        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+
+    def encode(self, texts: pa.Array, end: bytes = b"") -> list[bytes]:
+        """The ids of every text (null as empty), followed by ``end``, as little-endian
+        unsigned 32-bit integers.  Each distinct word of ``texts`` is looked up once."""
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+        words = lists.flatten().cast(pa.binary()).dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        ends = np.asarray(lists.offsets)[1:] - lists.offsets[0].as_py()
+        ids = pa.array([*self._words(distinct), end], pa.large_binary())
+        # the texts' words in order, an end behind each text: one gather, and a cut per text
+        order = np.insert(np.asarray(words.indices).astype(np.int64), ends, len(distinct))
+        taken = ids.take(pa.array(order))
+        offsets = np.frombuffer(taken.buffers()[1], dtype=np.int64)[taken.offset:]
+        cuts = offsets[[0, *(ends + np.arange(1, len(ends) + 1)).tolist()]].tolist()
+        data = memoryview(taken.buffers()[2] or b"")
+        return [bytes(data[lo:hi]) for lo, hi in itertools.pairwise(cuts)]
 
 
 @functools.cache
@@ -85,8 +111,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, end_id: int, id_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
-        for b in by_bytes(batches, 1):
-            ids = [x + end for x in own.encode(binary_values(b.column(1)))]
+        for b in by_bytes(batches, 1, SLICE):
+            ids = own.encode(b.column(1).cast(pa.string()), end)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())],
                 names=["doc_id", "ids", "n"])

@@ -2,6 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -90,10 +91,10 @@ def test_counts_solve_a_histogram_that_combinations_make():
 
 def test_ids_are_the_librarys(library):
     texts = ["", "Hello, World's 12 don't", " \t a b  c\x1cd\n", "ÀÉ é ́x ΣΑΣ Σ İstanbul Å", "<|endoftext|> x<|startoftext|>",
-             "漢字かな交じり文" * 30, "x" * 5000, "a\r\nb\x0bc\x0cd", "İ̇ ǅ ﬁ 1234½ ͅ 😀!? --__"]
+             "漢字かな交じり文" * 30, "x" * 5000, "a\r\nb\x0bc\x0cd", "!\x1cx", "né, n't’s -\x1cm ß's 12a3 a1", "İ̇ ǅ ﬁ 1234½ ͅ 😀!? --__"]
     own = packing.ChunkEncoder(PATH)
     for _ in range(2):  # with and without remembered chunks
-        got = own.encode([t.encode() for t in texts])
+        got = own.encode(pa.array(texts))
         for t, g in zip(texts, got, strict=True):
             assert np.frombuffer(g, dtype="<u4").tolist() == library(t)[:-1], t
     with pytest.raises(ValueError):
