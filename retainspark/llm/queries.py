@@ -6,8 +6,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retainspark.llm import arrow_tokens, decontaminate, langid, packing, pieces, preference, quality, sharding, simhash, substring, warc
-from retainspark.llm.common import hex16, table
+from retainspark.llm import arrow_tokens, decontaminate, langid, packing, pieces, preference, quality, repair, sharding, simhash, substring, warc
+from retainspark.llm.common import hex16, materialise, table
 
 import corpus_pipeline
 QUERIES = {}
@@ -170,6 +170,16 @@ def op10_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.derivatives(table(spark, sf_dir, "pages"), keep=["page_id"])
 
 
+@query
+def op11_sorted_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every conversation of the damaged turns."""
+    turns = table(spark, sf_dir, "conversations")
+    rows = repair.damage(turns.select("conv_id", "turn", "role", "text"))
+    planned = materialise(repair.plans(rows, turns), "repair-plans")
+    hashed = repair.digests(rows, planned).withColumnRenamed("conv_id", "of")
+    return planned.join(hashed, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
+
+
 @query
 def op13_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 2048 ids (or a power of two)."""
