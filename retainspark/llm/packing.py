@@ -37,9 +37,9 @@ from retainspark.operators.ranking import global_running_sum
 
 WINDOW, GRAIN, DEPTH = 2048, 32, 4
 #: Chunks whose ids one Python worker remembers, and their greatest length in bytes.
-MEMO, MEMO_BYTES = 600_000, 64
+MEMO, MEMO_BYTES = 400_000, 64
 #: Bytes of texts that are encoded together.
-SLICE = 8 << 20
+SLICE = 4 << 20
 
 _LETTER = rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"  # a to z and U+00C0 to U+00FF without the two signs
 _SIGN = rb"[!-&(-@\[-`{-~]"  # ASCII but letters, blanks and the apostrophe
@@ -70,14 +70,20 @@ class ChunkEncoder:
 
     def _words(self, words: list[bytes]) -> list[bytes]:
         """The ids of every word; chunks that were met before come from memory."""
-        split = [_CHUNKS.findall(w) for w in words]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        new = list(set(itertools.chain.from_iterable(split)).difference(self.memo))
+        got = list(map(self.memo.get, words))  # words without signs are chunks
+        rest = [i for i, x in enumerate(got) if x is None]
+        split = [_CHUNKS.findall(words[i]) for i in rest]
+        used = set(itertools.chain.from_iterable(split))
+        new = list(used.difference(self.memo))
         ids = dict(zip(new, self._library(new), strict=True))
-        self.memo.update((c, x) for c, x in ids.items() if len(c) <= MEMO_BYTES)
-        known = self.memo if len(ids) == 0 or max(map(len, ids)) <= MEMO_BYTES else ChainMap(ids, self.memo)
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+        known = ChainMap(ids, self.memo) if any(len(c) > MEMO_BYTES for c in new) else self.memo
+        self.memo.update((c, x) for c, x in ids.items() if len(c) <= MEMO_BYTES)  # long chunks are not remembered
+        for i, parts in zip(rest, split, strict=True):
+            got[i] = b"".join(map(known.__getitem__, parts))
+        if len(self.memo) > MEMO:  # the chunks of this slice, the frequent ones among them, stay
+            used.update(words)
+            self.memo = {c: x for c, x in self.memo.items() if c in used}
+        return got
 
     def encode(self, texts: pa.Array, end: bytes = b"") -> list[bytes]:
         """The ids of every text (null as empty), followed by ``end``, as little-endian
