@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retainspark.llm import arrow_tokens, decontaminate, langid, packing, pieces, preference, quality, repair, sharding, simhash, substring, warc
+from retainspark.llm import arrow_tokens, decontaminate, langid, negatives, packing, pieces, preference, quality, repair, sharding, simhash, substring, warc
 from retainspark.llm.common import hex16, materialise, table
 
 import corpus_pipeline
@@ -180,6 +180,32 @@ def op11_sorted_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned.join(hashed, F.col("conv_id").eqNullSafe(F.col("of"))).drop("of")
 
 
+@query
+def op12_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, from all vectors."""
+    rows = table(spark, sf_dir, "embeddings").filter("label IS NOT NULL AND embedding IS NOT NULL")
+    bad = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    rows = rows.filter(~F.exists("embedding", bad)).select(
+        F.col("vec_id").alias("id"), F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)).alias("vector"))
+    return negatives.mine(rows, rows.filter("id % 50 = 0"))
+
+
+ORACLES["op12_threshold_negatives"] = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS own, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER w::INT AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT own AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER w <= 3
+"""
+
+
 @query
 def op13_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces in sequences of 2048 ids (or a power of two)."""
