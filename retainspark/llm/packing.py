@@ -49,6 +49,9 @@ _BLANK = rb"[ \t\n\r\x0b\x0c]"
 #: together.
 _CHUNKS = re.compile(rb"%b+(?=%b|%b|\Z)|%b+(?=[a-z\xc3]|%b|\Z)(?!\xc3[\x97\xb7])|[^ \t\n\r\x0b\x0c]+" % (_LETTER, _SIGN, _BLANK, _SIGN, _BLANK))
 
+#: Words of lower-case letters, of U+00E0 to U+00FF without the sign among them.
+_WORD = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+")
+
 
 class ChunkEncoder:
     """Ids of whole texts for a vocabulary that lower-cases, drops white space and never
@@ -57,16 +60,32 @@ class ChunkEncoder:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         probe = [self.tokenizer.encode(t, add_special_tokens=False).ids for t in ("a, b", " A\t,\n b ", "a", ",", "b")]
         if not probe[0] == probe[1] == probe[2] + probe[3] + probe[4]:
             raise ValueError("the vocabulary keeps case, white space, or letters and signs together")
+        # the byte-level alphabet's spelling of the letters in _WORD, as the library gives it
+        spell = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.model, self.letters = self.tokenizer.model, {n: spell(chr(n))[0][0] for n in range(0xE0, 0x100)}
         self.memo: dict[bytes, bytes] = {}
 
     def _library(self, chunks: list[bytes]) -> list[bytes]:
-        texts = [c.decode("utf-8", "replace") for c in chunks]
-        return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        """The ids of every chunk.  A word of letters that no normaliser changes goes to the
+        library's model, anything else through its whole chain."""
+        out = [b""] * len(chunks)
+        tokenize, letters, rest = self.model.tokenize, self.letters, []
+        for i, c in enumerate(chunks):
+            if _WORD.fullmatch(c):
+                word = c.decode("ascii") if c.isascii() else c.decode().translate(letters)
+                out[i] = array("I", [t.id for t in tokenize(word)]).tobytes()
+            else:
+                rest.append(i)
+        texts = [chunks[i].decode("utf-8", "replace") for i in rest]
+        for i, e in zip(rest, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            out[i] = array("I", e.ids).tobytes()
+        return out
 
     def _words(self, words: list[bytes]) -> list[bytes]:
         """The ids of every word; chunks that were met before come from memory."""
