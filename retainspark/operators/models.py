@@ -5,30 +5,32 @@
   takes, per label, the first ⌈test_size·n_label⌉ rows of that order, using
   the scalable per-group running count (a label holding most rows is still
   spread over tasks).
-* Boosted trees are ``GBTClassifier`` (level-wise trees, so ``num_leaves``
-  31 maps to depth 5) with a positive-class weight, feature and row
-  subsampling and a patience-based early stop read from the per-round
-  hold-out loss (``evaluateEachIteration``).
-* Probabilities are read with ``vector_to_array`` – no Python UDF.
+* Boosted trees grow leaf-wise from distributed gradient histograms
+  (``boosting.fit``) with a positive-class weight, feature and row subsampling
+  and an early stop in the loop.  The folds of a cross-validation and the arms of
+  a T-learner are grown by the same jobs.  ``train_gbt`` is ``GBTClassifier``
+  with the matching parameters.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stable
+from . import boosting
+from .boosting import BoostedTrees
+from .metrics import roc_auc
 from .ranking import global_running_sum
 
 # Training parameters of the churn model and the T-learner.
 GBT_PARAMS = dict(maxDepth=5, stepSize=0.05, featureSubsetStrategy="0.9", subsamplingRate=0.8,
                   maxIter=500, minInstancesPerNode=20, seed=42)
-TLEARNER_PARAMS = dict(maxDepth=5, stepSize=0.05, maxIter=200, seed=42)
+TLEARNER_PARAMS = dict(rounds=200, rate=0.05, feature_fraction=1.0, bagging_fraction=1.0)
 EARLY_STOPPING_ROUNDS = 50
 CV_ROUNDS = 300
 TEST_SIZE = 0.2
@@ -89,41 +91,24 @@ def assembler(features) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="keep")
 
 
-def best_prefix(losses, patience: int) -> int:
-    """Number of rounds a patience-based early stop keeps: boosting stops
-    once ``patience`` rounds bring no new minimum of the hold-out loss."""
-    best_i, best = 0, float("inf")
-    for i, v in enumerate(losses):
-        if v < best:
-            best_i, best = i, v
-        elif i - best_i >= patience:
-            break
-    return best_i + 1
+def train_boosted(rows: DataFrame, features, label: str, weight: str | None = "weight",
+                  validation: str | None = None, patience: int = EARLY_STOPPING_ROUNDS,
+                  key: str = "customerID", **params) -> BoostedTrees:
+    """M3: leaf-wise boosted trees.  With ``validation`` (a boolean column) those rows are
+    held out and the model ends with its best round by their log-loss, after
+    ``patience`` rounds without a better one."""
+    held = F.col(validation) if validation else F.lit(False)
+    return boosting.fit(rows, features, label, [~held], key, F.col(weight) if weight else None,
+                        [held] if validation else None, patience if validation else None, **params)[0]
 
 
 def train_gbt(train: DataFrame, features, label: str, params: dict | None = None,
-              weight: str | None = "weight", validation: str | None = None,
-              patience: int = EARLY_STOPPING_ROUNDS):
-    """M3: boosted-tree pipeline (assembler + GBT).  With ``validation`` (a
-    boolean column) those rows are held out of training, the per-round
-    hold-out log-loss of the fitted ensemble picks the number of rounds a
-    ``patience``-round early stop would keep (Spark's own early stop has no
-    patience window), and the model is refitted with that many rounds (same
-    seed and input, so the same leading trees)."""
-    p = dict(GBT_PARAMS, **(params or {}))
-    kw = dict(labelCol=label, featuresCol="features", **p)
+              weight: str | None = "weight"):
+    """Boosted trees by ``GBTClassifier`` (level-wise): assembler + GBT pipeline."""
+    kw = dict(labelCol=label, featuresCol="features", **dict(GBT_PARAMS, **(params or {})))
     if weight:
         kw["weightCol"] = weight
-    fit_rows = train.where(~F.col(validation)) if validation else train
-    model = Pipeline(stages=[assembler(features), GBTClassifier(**kw)]).fit(fit_rows)
-    if validation:
-        val = model.stages[0].transform(train.where(F.col(validation)))
-        losses = model.stages[-1].evaluateEachIteration(val)
-        k = best_prefix(losses, patience)
-        if k < len(losses):
-            kw["maxIter"] = k
-            model = Pipeline(stages=[assembler(features), GBTClassifier(**kw)]).fit(fit_rows)
-    return model
+    return Pipeline(stages=[assembler(features), GBTClassifier(**kw)]).fit(train)
 
 
 def train_logistic(train: DataFrame, features, label: str, reg: float = 0.0,
@@ -136,53 +121,45 @@ def train_logistic(train: DataFrame, features, label: str, reg: float = 0.0,
 
 def score(model, df: DataFrame, out: str = "churn_probability") -> DataFrame:
     """M4: positive-class probability as a plain double column."""
+    if isinstance(model, BoostedTrees):
+        return df.withColumn(out, model.probability())
     return model.transform(df).withColumn(out, vector_to_array("probability")[1]).drop(
         "features", "rawPrediction", "probability", "prediction")
 
 
-def cross_validate(df: DataFrame, features, label: str, estimator=None, k: int = 5,
-                   id_col: str = "customerID", parallelism: int = 4) -> DataFrame:
-    """M6: k-fold stratified CV (fold column) of AUC: one row with the mean,
-    the sample std and the per-fold values; by default of the boosted model with
-    ``CV_ROUNDS`` rounds."""
-    est = estimator or GBTClassifier(labelCol=label, featuresCol="features", **dict(GBT_PARAMS, maxIter=CV_ROUNDS))
-    folded = fold_column(df, id_col, label, k)
-    # every fold re-reads this: keep it for the duration of the search
-    data = assembler(features).transform(folded).select("features", label, "fold").persist()
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=ParamGridBuilder().build(), evaluator=ev,
-                        foldCol="fold", numFolds=k, parallelism=parallelism, collectSubModels=False)
-    model = cv.fit(data)
-    data.unpersist()
-    spark = df.sparkSession
-    vals = [float(v) for v in (model.avgMetrics or [])]
-    std = [float(v) for v in (getattr(model, "stdMetrics", None) or [])]
-    return spark.createDataFrame([(vals[0] if vals else None, std[0] if std else None, k)],
-                                 "cv_mean_auc double, cv_std_auc double, folds int")
-
-
-def feature_importance(model, features) -> DataFrame:
-    """M7: normalised gain-style importance and split counts per feature.
-    Split counts are read from the fitted ensemble's description (model
-    metadata on the driver, sized by trees × nodes, not by data)."""
-    import re
-    from pyspark.sql import SparkSession
-    gbt = model.stages[-1]
-    imp = gbt.featureImportances.toArray()
-    splits = [0] * len(features)
-    for m in re.finditer(r"If \(feature (\d+) ", gbt.toDebugString):
-        splits[int(m.group(1))] += 1
-    spark = SparkSession.getActiveSession()
-    return spark.createDataFrame([(f, float(imp[i]), int(splits[i])) for i, f in enumerate(features)],
-                                 "feature string, importance_gain double, importance_split long")
+def cross_validate(df: DataFrame, features, label: str, k: int = 5, id_col: str = "customerID",
+                   rounds: int = CV_ROUNDS, **params) -> DataFrame:
+    """M6: k-fold stratified CV of the boosted model's AUC: one row with the mean, the
+    sample std and the number of folds.  The k models are grown together; each row is
+    scored by the one that has not seen it."""
+    folded = stable(fold_column(df, id_col, label, k))
+    models = boosting.fit(folded, features, label, [F.col("fold") != i for i in range(k)], id_col, rounds=rounds, **params)
+    aucs = [roc_auc(score(m, folded.where(F.col("fold") == i)), "churn_probability", label).select("auc") for i, m in enumerate(models)]
+    every = aucs[0]
+    for a in aucs[1:]:
+        every = every.unionByName(a)
+    return every.agg(F.avg("auc").alias("cv_mean_auc"), F.stddev_samp("auc").alias("cv_std_auc"), F.lit(k).alias("folds"))
 
 
-def t_learner(df: DataFrame, features, treatment: str, outcome: str, params: dict | None = None):
-    """M8: one model on treated rows, one on control rows."""
-    p = dict(TLEARNER_PARAMS, **(params or {}))
-    m1 = train_gbt(df.where(F.col(treatment) == 1), features, outcome, p, weight=None)
-    m0 = train_gbt(df.where(F.col(treatment) == 0), features, outcome, p, weight=None)
+def feature_importance(model: BoostedTrees) -> DataFrame:
+    """M7: share of the gain and number of splits per feature, from the node table."""
+    from pyspark.sql import SparkSession
+    spark = SparkSession.getActiveSession()
+    names = F.array(*[F.lit(f) for f in model.features])
+    nodes = model.node_table(spark).where("feature >= 0").groupBy("feature").agg(
+        F.sum("gain").alias("gain"), F.count(F.lit(1)).alias("splits"))
+    every = spark.range(len(model.features)).select(F.col("id").cast("int").alias("feature"))
+    total = nodes.select(F.sum("gain")).scalar()
+    return every.join(F.broadcast(nodes), "feature", "left").select(  # a row per feature
+        F.element_at(names, F.col("feature") + 1).alias("feature"),
+        F.coalesce(F.col("gain") / total, F.lit(0.0)).alias("importance_gain"),
+        F.coalesce("splits", F.lit(0)).cast("long").alias("importance_split"))
+
+
+def t_learner(df: DataFrame, features, treatment: str, outcome: str, key: str = "user_id", **params):
+    """M8: one model on treated rows, one on control rows, grown together."""
+    arms = [F.col(treatment) == 0, F.col(treatment) == 1]
+    m0, m1 = boosting.fit(df, features, outcome, arms, key, **(TLEARNER_PARAMS | params))
     return m0, m1
 
 

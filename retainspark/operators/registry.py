@@ -199,7 +199,7 @@ def gated_retrain(features: DataFrame, registry: Registry, flag_path: str, finge
     model and its config when promoted, and clear the flag.  Returns the
     hold-out AUC.  Registry errors propagate (SURVEY D13)."""
     from .metrics import best_f1_threshold, roc_auc, threshold_metrics
-    from .models import score, stratified_split, train_gbt, with_weight
+    from .models import score, stratified_split, train_boosted, with_weight
     from ..session import stable
     spark = features.sparkSession
     if not drift_flag_set(spark, flag_path):
@@ -207,7 +207,7 @@ def gated_retrain(features: DataFrame, registry: Registry, flag_path: str, finge
     validate_fingerprint(features, fingerprint_path)
     f = stratified_split(features, "customerID", label)
     f = with_weight(f, label, F.col("is_test") == 0).withColumn("is_validation", F.col("is_test") == 1)
-    model = train_gbt(f, feature_cols, label, params, validation="is_validation")
+    model = train_boosted(stable(f), feature_cols, label, validation="is_validation", **(params or {}))
     test = stable(score(model, f.where(F.col("is_test") == 1)))
     auc = roc_auc(test, "churn_probability", label).first()["auc"]
     best = best_f1_threshold(test, "churn_probability", label).first()
@@ -220,7 +220,7 @@ def gated_retrain(features: DataFrame, registry: Registry, flag_path: str, finge
     promoted = registry.champion_challenger(version, auc)
     registry.set_tag(run_id, "promoted", str(promoted).lower())
     if promoted:
-        model.write().overwrite().save(join_path(model_dir, f"churn_v{version}"))
+        model.save(spark, join_path(model_dir, f"churn_v{version}"))
         cfg = spark.createDataFrame(
             [(float(best["threshold"]), round(float(auc), 6), datetime.now(timezone.utc).isoformat(), run_id)],
             "churn_threshold double, auc_roc double, trained_at string, run_id string")

@@ -52,7 +52,7 @@ _MODELS: dict = {}
 
 def _train_eval(spark, sf_dir):
     """Train once per (session, tables) and share between the model queries."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _MODELS:
         _MODELS[key] = _fit(spark, sf_dir)
     return _MODELS[key]
@@ -62,7 +62,8 @@ def _fit(spark, sf_dir):
     f = ML.stratified_split(_features(spark, sf_dir), "customerID", "Churn_binary")
     f = ML.with_weight(f, "Churn_binary", F.col("is_test") == 0)
     f = f.withColumn("is_validation", F.col("is_test") == 1)
-    model = ML.train_gbt(f, FEATURE_COLS, "Churn_binary", validation="is_validation")
+    f = stable(f)
+    model = ML.train_boosted(f, FEATURE_COLS, "Churn_binary", validation="is_validation")
     test = stable(ML.score(model, f.where(F.col("is_test") == 1)))
     return model, test
 
@@ -75,7 +76,7 @@ def train_churn_gbt(spark, sf_dir):
     auc = M.roc_auc(test, "churn_probability", "Churn_binary")
     t = M.best_f1_threshold(test, "churn_probability", "Churn_binary").select("threshold").scalar()
     at = M.threshold_metrics(test, "churn_probability", "Churn_binary", t)
-    n_trees = len(model.stages[-1].trees)
+    n_trees = len(model.trees)
     return auc.select("auc", t.alias("threshold"), at.select("f1").scalar().alias("f1"),
                       at.select("precision").scalar().alias("precision"),
                       at.select("recall").scalar().alias("recall"), F.lit(n_trees).alias("n_trees"))
@@ -98,7 +99,7 @@ def champion_evaluation(spark, sf_dir):
 def feature_importance(spark, sf_dir):
     """M7: gain and split importance of the churn model."""
     model, _ = _train_eval(spark, sf_dir)
-    return ML.feature_importance(model, FEATURE_COLS)
+    return ML.feature_importance(model)
 
 
 def _tree_attr(spark, sf_dir):
