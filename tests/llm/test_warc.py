@@ -118,3 +118,46 @@ def test_files_and_empty_table(spark, pages, tmp_path):
     assert len(seen) == 40
     assert warc.derivatives(pages([])).count() == 0
     assert warc.write_files(warc.derivatives(pages([])), f"file://{tmp_path}/e").count() == 0
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<b", "<title>", "<script ", "<a x", "</title ", "<!-", "<a href=\"", "<a href='>", "<p", "</script "])
+@pytest.mark.parametrize("end", ["", ">", "</title>"])
+def test_malformed_pages_take_linear_time(unit, end):
+    import time
+    page = "<p>T</p>" + unit * ((1 << 20) // len(unit)) + end
+    start = time.process_time()
+    records = warc.derive("u", page, warc.HEAD, warc.DATE)
+    assert time.process_time() - start < 2 and len(records) == 2
+
+
+@pytest.mark.parametrize("n", [20, 2000, 200_000])
+def test_a_long_title_is_no_text(n):
+    assert warc.plain_text("<title>a <b>" + "x" * n + "</title><p>T</p>") == "T"
+    assert warc.scan("<title>a <b>" + "x" * n + "</title><p>T</p>")[1] == "a " + "x" * n
+
+
+def test_links_and_odd_tags():
+    kept, title = warc.scan("<a href=\"x>y\">1</a><a name=z>2<a HREF = u>3<a href='v w'/><A hreflang=q href=>4<!-- <a href=no> --><a href=\"open>5</a>")
+    assert warc.links(kept) == ["x>y", "u", "v w", '"open'] and title == ""
+    assert warc.plain_text("1 < 2 <b>x</b> <c") == "1 < 2 x <c"
+    assert warc.plain_text("a<!-- b") == "a" and warc.plain_text("a > b <!-- c") == "a > b"
+    assert warc.plain_text("<title>t</title>a<style>b</style >c<title>d") == "a c"
+
+
+def test_source_ids_digests_and_bytes_are_preserved(spark):
+    body = "<html><title>Caf\xe9</title><p>d\xe9j\xe0 vu</p>".encode("latin-1")
+    head = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=ISO-8859-1\r\nX-A: b\r\n"
+    rows = [(1, "u", body, head, "2024-01-02T03:04:05Z", "<urn:uuid:1>", "sha1:AAA"), (2, "u", body, head, None, None, None),
+            (3, "u", None, "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=nonsense\r\n", None, "", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html binary, http string, date string, id string, digest string")
+    out = {(r.page_id, r.record_type): r for r in warc.derivatives(df, http_col="http", date_col="date", id_col="id", digest_col="digest").collect()}
+    one, two = out[1, "conversion"], out[2, "conversion"]
+    assert one.refers_to == "<urn:uuid:1>" and one.source_payload_digest == "sha1:AAA"
+    assert two.source_payload_digest == warc.digest(body) and two.refers_to.startswith("<urn:uuid:")
+    for r in (one, two):
+        headers, block, rest = warc.parse(bytes(r.record))
+        assert block.decode() == "d\xe9j\xe0 vu" and rest == b"" and headers["WARC-Refers-To"] == r.refers_to
+        assert headers["WARC-Source-Payload-Digest"] == r.source_payload_digest
+    notes = bytes(out[1, "metadata"].record).decode()
+    assert "title: Caf\xe9\r\n" in notes and "httpHeader: X-A: b" in notes and "WARC-Date: 2024-01-02T03:04:05Z" in notes
+    assert out[3, "conversion"].block_length == 0 and out[3, "conversion"].source_payload_digest == warc.digest(b"")
