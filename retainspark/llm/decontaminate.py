@@ -3,12 +3,14 @@
 Normalised words (A-Z lower-cased; maximal runs of a-z, 0-9 and anything beyond
 ASCII) of every item make windows of ``n`` consecutive words; an item of fewer
 words is one window.  The distinct window hashes are the set that is broadcast.
-Document texts are scanned window by window against it; a hash that is found is
-verified word by word.  Everything runs on DataFrame functions.
-
-The set is broadcast only after it was counted: up to ``BROADCAST_WINDOWS``
-windows (about 100 MB with their words).  A larger benchmark joins the same rows
-by a shuffle on the hash instead; nothing else changes.
+A document's words are hashed once; the hashes of longer windows come from those of two
+shorter ones, so a scan copies no word.  Where a hash is in the set, the
+window's words are fetched and verified one by one.  Everything runs on DataFrame
+functions.
+
+Only hashes are broadcast, and only after they were counted: at most
+``BROADCAST_WINDOWS`` at a time (8 bytes each and the map around them).  A larger
+benchmark takes several scans of that many hashes; nothing else changes.
 """
 
 from __future__ import annotations
@@ -18,7 +20,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from retainspark.llm.common import id_key, require
 from retainspark.session import stable
 
-BROADCAST_WINDOWS = 500_000
+BROADCAST_WINDOWS = 2_000_000
+#: Occurrences in one document that are verified together.
+CHUNK = 1 << 14
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -50,23 +54,63 @@ def benchmark_windows(benchmark: DataFrame, n: int = 10, id_col: str = "item_id"
         F.col(f"`{id_col}`").alias("item"), normal_words(F.col(f"`{text_col}`")).alias("w")).filter("size(w) > 0")
     grams = F.when(F.size("w") < n, F.array("w")).otherwise(F.transform(_windows(F.col("w"), n), lambda x: x["words"]))
     return (items.select("item", F.explode(grams).alias("words")).distinct()
-            .select("item", F.xxhash64("words").alias("hash"), "words"))
+            .select("item", "words"))
+
+
+def _pairs(a: Column, b: Column, shift: int) -> Column:
+    """Hashes of a window at i and the window at i + ``shift`` behind it (no use at the end)."""
+    return F.zip_with(a, F.slice(b, shift + 1, F.greatest(F.size(b) - shift, F.lit(0))), lambda x, y: F.xxhash64(x, y))
+
 
+def _window_hashes(words: Column, size: int) -> Column:
+    """A hash per window of ``size`` words, in order.  Windows of 1, 2, 4, ... words are
+    made from two halves each, and joined as the size's binary digits say."""
+    def grow(power: Column, width: int, done: Column | None, covered: int) -> Column:
+        if size & width:
+            first = done is None
+            done, covered = power if first else _pairs(done, power, covered), covered + width
+        if covered == size:
+            return F.slice(done, 1, F.greatest(F.size(words) - size + 1, F.lit(0)))
+        # arrays that are used twice are bound as a variable, so that they are made once
+        own = covered and not first if size & width else done is not None
+        held = F.array(F.struct(power.alias("p"), *([done.alias("d")] if own else [])))
+        return F.flatten(F.transform(held, lambda v: grow(
+            _pairs(v["p"], v["p"], width), 2 * width, v["d"] if own else v["p"] if covered else None, covered)))
 
-def hits(docs: DataFrame, windows: DataFrame, sizes: list[int], fits: bool) -> DataFrame:
+    return grow(F.transform(words, lambda w: F.xxhash64(w)), 1, None, 0)
+
+
+def candidates(docs: DataFrame, windows: DataFrame, sizes: list[int], count: int) -> DataFrame:
+    """``(__id, __tie, size, start)`` where a window's hash is one of the benchmark's; ``docs`` has
+    ``__id``, ``__tie`` and ``__text``."""
+    keys = windows.select("hash").distinct()
+    scans = -(-count // BROADCAST_WINDOWS)
+    out = None
+    for size in sizes:
+        # the words are a bound variable, so that the text is split once; an outer explode, as a
+        # plain one also computes the windows to filter on their number
+        hashes = F.flatten(F.transform(F.array(normal_words(F.col("__text"))), lambda w: _window_hashes(w, size)))
+        scanned = docs.select("__id", "__tie", F.posexplode_outer(hashes).alias("start", "hash"))
+        for k in range(scans):
+            part = keys if scans == 1 else keys.filter(F.pmod("hash", F.lit(scans)) == k)
+            found = scanned.join(F.broadcast(part), "hash").select("__id", "__tie", F.lit(size).alias("size"), "start")
+            out = found if out is None else out.unionByName(found)
+    return out
+
+
+def hits(docs: DataFrame, windows: DataFrame, sizes: list[int], count: int) -> DataFrame:
     """``(__id, __tie, start, words)`` of every verified occurrence; ``docs`` has
     ``__id``, ``__tie`` and ``__text``."""
-    # the words are a bound variable, so that no window splits the text again;
-    # an outer explode, as a plain one also computes the windows to filter on their number
-    words = F.array(normal_words(F.col("__text")))
-    probes = F.flatten(F.transform(words, lambda w: F.concat(*[_windows(w, s) for s in sizes])))
-    scanned = (docs.select("__id", "__tie", F.explode_outer(probes).alias("p"))
-               .select("__id", "__tie", "p.start", "p.words", F.xxhash64("p.words").alias("hash")))
-    keys = windows.select("hash", F.col("words").alias("test")).distinct()
-    # the join's key is the hash alone; the words verify what it finds
-    verified = (F.col("words") <= F.col("test")) & (F.col("words") >= F.col("test"))
-    return (scanned.join(F.broadcast(keys) if fits else keys, "hash").filter(verified)
-            .select("__id", "__tie", "start", "words"))
+    found = stable(candidates(docs, windows, sizes, count).distinct())
+    chunk = F.floor(F.col("start") / CHUNK)
+    starts = found.groupBy("__id", "__tie", "size", chunk.alias("chunk")).agg(F.collect_list("start").alias("starts"))
+    # single cells are read, as ``slice`` copies the whole array each time
+    cut = F.flatten(F.transform(F.array(normal_words(F.col("__text"))), lambda w: F.transform("starts", lambda i: F.struct(
+        i.alias("start"), F.transform(F.sequence(F.lit(0), F.col("size") - 1), lambda k: F.get(w, i + k)).alias("words")))))
+    occurring = (docs.join(starts, ["__id", "__tie"]).select("__id", "__tie", F.explode(cut).alias("o"))
+                 .select("__id", "__tie", "o.start", "o.words").distinct())
+    tests = windows.select("words").distinct()
+    return occurring.join(tests, "words").select("__id", "__tie", "start", "words")
 
 
 def _keys(id_col: str, text_col: str) -> list[Column]:
@@ -82,7 +126,8 @@ def _found(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col:
     size = windows.agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_set(F.size("words"))).alias("sizes")).first()
     slim = docs.select(*_keys(id_col, text_col), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text"))
     if size["n"]:
-        return windows, stable(hits(slim, windows, size["sizes"], size["n"] <= BROADCAST_WINDOWS))
+        own = F.coalesce(*[F.when(F.size("words") == s, F.element_at(_window_hashes(F.col("words"), s), 1)) for s in size["sizes"]])
+        return windows, stable(hits(slim, windows.withColumn("hash", own), size["sizes"], size["n"]))
     return windows, slim.limit(0).select("__id", "__tie", F.lit(0).alias("start"), F.array(F.lit("")).alias("words"))
 
 

@@ -69,3 +69,33 @@ def test_empty_tables(spark, documents, words):
     some = spark.createDataFrame([(1, words(30))], "item_id long, text string")
     assert decontaminate.find_contamination(documents([]), some).count() == 0
     assert decontaminate.clean_documents(documents([]), some).count() == 0
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 7, 10, 13, 16])
+def test_window_hashes_depend_on_the_words_alone(spark, size):
+    words = [f"w{i % 4}" for i in range(40)]
+    df = spark.createDataFrame([(words,), (words[3:],), (words[:size],), (words[:size - 1],), ([],)], "w array<string>")
+    rows = [r.h for r in df.select(decontaminate._window_hashes(decontaminate.F.col("w"), size).alias("h")).collect()]
+    assert [len(h) for h in rows] == [max(n - size + 1, 0) for n in (40, 37, size, size - 1, 0)]
+    by_words = {}
+    for h, start in ((rows[0], 0), (rows[1], 3), (rows[2], 0)):
+        for i, x in enumerate(h):
+            assert by_words.setdefault(tuple(words[start + i:start + i + size]), x) == x
+    assert len(set(by_words.values())) == len(by_words)
+
+
+def test_several_scans_find_what_one_does(spark, documents, words, monkeypatch):
+    docs = documents([(i, words(60, 7 * i)) for i in range(12)])
+    bench = spark.createDataFrame([(f"t{i}", words(30, 11 * i)) for i in range(6)] + [("short", "w5 w6")], "item_id string, text string")
+    one = sorted(map(str, decontaminate.find_contamination(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 10)
+    monkeypatch.setattr(decontaminate, "CHUNK", 3)
+    assert sorted(map(str, decontaminate.find_contamination(docs, bench).collect())) == one
+    assert any("contaminated=True" in r for r in one)
+
+
+def test_a_long_text_is_scanned_whole(spark, documents):
+    text = " ".join(f"w{i % 9973}" for i in range(300_000)) + " a b c d e f g h i j k"
+    bench = spark.createDataFrame([("x", "a b c d e f g h i j"), ("y", "zz yy")], "item_id string, text string")
+    r = decontaminate.find_contamination(documents([(1, text)]), bench).first()
+    assert (r.n_words, r.n_hit, r["items"], [tuple(s) for s in r.spans]) == (300_011, 10, ["x"], [(300_000, 300_010)])
