@@ -303,17 +303,11 @@ def partial_hazard(fit: dict) -> Column:
 
 def survival_at(df: DataFrame, fit: dict, horizons=(7, 30, 90)) -> DataFrame:
     """S(h | x) = exp(−H0(h)·partial hazard), H0 a right-continuous step
-    function of the baseline timeline (bounded: one value per distinct
-    duration, inlined as literal arrays)."""
-    bh = baseline_hazard(fit).orderBy("t").collect()  # ≤ distinct durations
-    ts = [r["t"] for r in bh]
-    hs = [r["H0"] for r in bh]
-    cols = {}
-    for h in horizons:
-        k = int(np.searchsorted(ts, h, side="right")) - 1
-        h0 = hs[k] if k >= 0 else 0.0
-        cols[f"p_active_{h}"] = F.exp(-F.lit(float(h0)) * partial_hazard(fit))
-    return df.withColumns(cols)
+    function of the baseline timeline, looked up by one aggregate."""
+    # H0 rises with t, so its value at a horizon is the greatest one up to there
+    at = stable(baseline_hazard(fit).agg(*[
+        F.coalesce(F.max(F.when(F.col("t") <= float(h), F.col("H0"))), F.lit(0.0)).alias(f"h{i}") for i, h in enumerate(horizons)]))
+    return df.withColumns({f"p_active_{h}": F.exp(-at.select(f"h{i}").scalar() * partial_hazard(fit)) for i, h in enumerate(horizons)})
 
 
 def expected_remaining(df: DataFrame, fit: dict, tenure: str = "tenure") -> DataFrame:
@@ -360,64 +354,31 @@ def concordance_index(df: DataFrame, duration: str, event: str, score: str) -> D
     censored at the same time.  Concordant when score_j > score_i; equal
     scores count ½.
 
-    Sweep: rows are range-partitioned by score and each partition walks its
-    distinct scores in order, keeping the count vector over duration levels
-    of the deaths seen so far (earlier partitions' deaths arrive as one count
-    vector per partition, bounded by partitions × levels).  For every
-    (score, level, event) group it adds, vectorised, the deaths with a lower
-    score and an earlier time (or the same time when the row is censored)."""
-    spark = df.sparkSession
-    base = df.select(F.col(duration).cast("double").alias("t"), F.col(event).cast("int").alias("e"),
+    Exits are numbered in the order (duration, deaths first), so i and j are
+    comparable if i died and has the smaller number.  Concordant pairs are counted by
+    dominance: two numbers differ first in one bit, so on every bit level rows with
+    the same higher bits form a group in which those with a 0 come before those
+    with a 1, and a running sum of the deaths with a 0 in score order counts the
+    pairs.  All levels are one running sum over (level, group, score), after rows
+    of equal score, duration and event were reduced to a count.  Nothing but the
+    greatest number goes to the driver."""
+    rows = df.select(F.col(duration).cast("double").alias("t"), (1 - F.col(event).cast("int")).alias("c"),
                      F.col(score).cast("double").alias("s")).na.drop()
-    levels = [r["t"] for r in base.select("t").distinct().orderBy("t").collect()]  # distinct durations
-    L = len(levels)
-    lv = F.array(*[F.lit(x) for x in levels])
-    base = base.withColumn("lvl", F.array_position(lv, F.col("t")).cast("int") - 1)
-    grouped = base.groupBy("s", "lvl", "e").agg(F.count(F.lit(1)).alias("k"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = stable(grouped.repartitionByRange(n, "s").sortWithinPartitions("s", "lvl", "e")
-                    .withColumn("__pid", F.spark_partition_id()))
-    per_part = (ranged.where(F.col("e") == 1).groupBy("__pid", "lvl").agg(F.sum("k").alias("k"))
-                .collect())  # ≤ partitions × levels
-    died_by_part = np.zeros((n, L), dtype=np.int64)  # range partitions without a death are swept too
-    for r in per_part:
-        died_by_part[r["__pid"], r["lvl"]] += r["k"]
-    before = np.vstack([np.zeros(L, dtype=np.int64), np.cumsum(died_by_part, axis=0)[:-1]])
-
-    def sweep(batches):
-        import pandas as pd
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            yield pd.DataFrame({"correct": [], "tied": []})
-            return
-        pdf = pd.concat(frames)  # this range partition's (score, level, event) counts
-        pid = int(pdf["__pid"].iloc[0])
-        cum = before[pid].astype(np.int64).copy()  # deaths with a lower score, per level
-        correct = 0
-        tied = 0
-        s_arr = pdf["s"].to_numpy()
-        lv_all = pdf["lvl"].to_numpy().astype(np.int64)
-        ev_all = pdf["e"].to_numpy()
-        k_all = pdf["k"].to_numpy().astype(np.int64)
-        bounds = np.flatnonzero(np.r_[True, s_arr[1:] != s_arr[:-1], True])
-        for a, b in zip(bounds[:-1], bounds[1:]):  # one step per distinct score
-            lv_, ev_, kk = lv_all[a:b], ev_all[a:b], k_all[a:b]
-            pref = np.concatenate([[0], np.cumsum(cum)])  # deaths at levels < l
-            below = pref[lv_] + np.where(ev_ == 1, 0, cum[lv_])
-            correct += int((kk * below).sum())
-            died = ev_ == 1
-            dg = np.bincount(lv_[died], weights=kk[died], minlength=L).astype(np.int64)
-            ag = np.bincount(lv_, weights=kk, minlength=L).astype(np.int64)
-            above = np.cumsum(ag[::-1])[::-1] - ag  # rows at strictly later levels
-            tied += int((dg * (above + (ag - dg))).sum())
-            cum += dg
-        yield pd.DataFrame({"correct": [correct], "tied": [tied]})
-
-    parts = ranged.mapInPandas(sweep, "correct long, tied long")
-    # comparable pairs from per-level counts: deaths × (later exits + same-time censored)
-    lvl = base.groupBy("lvl").agg(F.count(F.lit(1)).alias("a"), F.sum("e").alias("d"))
-    lvl = global_running_sum(lvl, [F.desc("lvl")], {"later": F.col("a")}, exclusive=True)
-    pairs = lvl.select(F.sum(F.col("d") * (F.col("later") + F.col("a") - F.col("d")))).scalar()
-    return parts.agg(F.sum("correct").alias("correct"), F.sum("tied").alias("tied")).select(
-        "correct", "tied", pairs.alias("pairs"),
-        ((F.col("correct") + F.col("tied") / 2.0) / pairs).alias("c_index"))
+    rows = stable(rows.groupBy("s", "t", "c").agg(F.count(F.lit(1)).alias("k")))
+    died = F.when(F.col("c") == 0, F.col("k")).otherwise(0)
+    exits = rows.groupBy("t", "c").agg(F.sum("k").alias("k"))
+    exits = stable(global_running_sum(exits, [F.asc("t"), F.asc("c")], {"no": F.lit(1), "deaths": died}))
+    pairs = exits.select(F.sum(F.col("k") * (F.col("deaths") - died))).scalar()
+    levels = int(exits.agg(F.max("no")).first()[0] or 0).bit_length()
+    placed = stable(rows.join(exits.select("t", "c", "no"), ["t", "c"]).select("s", "c", "k", "no"))
+
+    one = F.expr("shiftright(no, b) & 1") == 1
+    cells = placed.select("s", "c", "k", "no", F.explode(F.array(*[F.lit(b) for b in range(max(levels, 1))])).alias("b"))
+    cells = cells.groupBy("b", F.expr("shiftright(no, b + 1)").alias("g"), "s").agg(
+        F.sum(F.when(~one, died).otherwise(0)).alias("low"), F.sum(F.when(one, F.col("k")).otherwise(0)).alias("high"))
+    ranked = global_running_sum(cells, [F.asc("s")], {"below": F.col("low")}, partition_by=["b", "g"], exclusive=True)
+    tied = global_running_sum(placed, [F.asc("no")], {"before": died}, partition_by=["s"], exclusive=True)
+    out = ranked.agg(F.coalesce(F.sum(F.col("high") * F.col("below")), F.lit(0)).alias("correct")).select(
+        "correct", F.coalesce(tied.select(F.sum(F.col("k") * F.col("before"))).scalar(), F.lit(0)).alias("tied"),
+        F.coalesce(pairs, F.lit(0)).alias("pairs"))
+    return out.withColumn("c_index", F.try_divide(F.col("correct") + F.col("tied") / 2.0, F.col("pairs")))
