@@ -7,12 +7,14 @@ number of profiled columns never turns into a wide single row.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .quantiles import exact_quantiles, quantiles_from_counts, value_counts_long
+from ..session import stable
+from .quantiles import exact_quantiles
 
 # aggregates wider than this many buffer fields leave whole-stage codegen
 CODEGEN_MAX_FIELDS = 100  # Spark's default spark.sql.codegen.maxFields
@@ -26,40 +28,34 @@ def describe(df: DataFrame, cols) -> DataFrame:
     """A1: count, mean, sample std, min, exact quartiles (linear
     interpolation), max per column – long form (one row per column).
 
-    Every column is reduced to (value, count) pairs in one pass
-    (``value_counts_long``); extremes, quartiles and the spread
-    Σ n·(v − mean)² come from that reduced table.  Means are ordinary
-    row-wise averages (one codegen-sized aggregate per 32 columns)."""
-    cols = list(cols)
-    counts = value_counts_long(df, cols)
-    # row-wise means (the usual floating-point average), in codegen-sized chunks
-    per = max(1, CODEGEN_MAX_FIELDS // 3 - 1)
-    mean_parts = []
-    for lo in range(0, len(cols), per):
-        chunk = list(enumerate(cols))[lo:lo + per]
-        one = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in chunk])
-        mean_parts.append(one.select(F.explode(F.array(*[
-            F.struct(F.lit(i).alias("ci"), F.col(f"m{i}").alias("mean")) for i, c in chunk])).alias("t"))
-            .select("t.*"))
-    means = mean_parts[0]
-    for p_ in mean_parts[1:]:
-        means = means.unionByName(p_)
-    first = counts.groupBy("ci").agg(F.sum("n").alias("count"), F.min("v").alias("min"),
-                                     F.max("v").alias("max")).join(means, "ci", "left")
-    spread = (counts.join(first.select("ci", "mean", "count"), "ci").groupBy("ci", "count")
-              .agg(F.sum(F.col("n") * F.pow(F.col("v") - F.col("mean"), 2)).alias("__ss")))
-    std = spread.select("ci", F.when(F.col("count") > 1, F.sqrt(F.col("__ss") / (F.col("count") - 1)))
-                        .alias("std"))
-    q = (quantiles_from_counts(counts, cols, [0.25, 0.5, 0.75])
+    Counts, extremes and means are plain aggregates, the spread Σ (v − mean)² a
+    second one around the means, the quartiles ``exact_quantiles``: nothing is
+    grouped by value but the few thousandths of the rows around a quartile."""
+    cols, spark = list(cols), df.sparkSession
+    value = lambda c: F.col(c).cast("double")
+
+    def per_column(make) -> DataFrame:
+        """Named cells per column, in codegen-sized aggregates, as (ci, names)."""
+        per, parts = max(1, CODEGEN_MAX_FIELDS // 8), []
+        for lo in range(0, len(cols), per):
+            chunk = list(enumerate(cols))[lo:lo + per]
+            one = df.agg(*[v.alias(f"{name}_{i}") for i, c in chunk for name, v in make(i, value(c)).items()])
+            parts.append(one.select(F.explode(F.array(*[
+                F.struct(F.lit(i).alias("ci"), *[F.col(f"{name}_{i}").alias(name) for name in make(i, value(c))]) for i, c in chunk]))
+                .alias("t")).select("t.*"))
+        return reduce(DataFrame.unionByName, parts)
+
+    basic = stable(per_column(lambda i, v: {"count": F.count(v), "mean": F.avg(v), "min": F.min(v), "max": F.max(v)}))
+    mean = {r["ci"]: r["mean"] for r in basic.select("ci", "mean").collect()}  # a row per described column
+    out = basic.join(per_column(lambda i, v: {"__ss": F.sum(F.pow(v - F.lit(mean[i]).cast("double"), 2))}), "ci")
+    q = (exact_quantiles(df, cols, [0.25, 0.5, 0.75])
          .groupBy("column_name").pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value")))
     q = q.select("column_name", F.col("`0.25`").alias("q25"), F.col("`0.5`").alias("q50"),
                  F.col("`0.75`").alias("q75"))
-    names = df.sparkSession.range(1).select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("ci"), F.lit(c).alias("column_name")) for i, c in enumerate(cols)
-    ])).alias("s")).select("s.*")  # one row per described column
-    out = (names.join(first, "ci", "left").join(std, "ci", "left").join(q, "column_name", "left"))
-    return out.select("column_name", F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
-                      "mean", "std", "min", "q25", "q50", "q75", "max")
+    names = spark.createDataFrame(list(enumerate(cols)), "ci int, column_name string")
+    out = names.join(out, "ci").join(q, "column_name", "left")
+    return out.select("column_name", "count", "mean", F.when(F.col("count") > 1, F.sqrt(F.col("__ss") / (F.col("count") - 1))).alias("std"),
+                      "min", "q25", "q50", "q75", "max")
 
 
 def missing_profile(df: DataFrame, cols=None) -> DataFrame:

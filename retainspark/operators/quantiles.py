@@ -4,13 +4,18 @@ Spark's ``percentile`` aggregate keeps a value→count map for its one global
 group in a single task, which does not survive a high-cardinality column at
 scale.  ``exact_quantiles`` finds the same answer with distributed work only:
 
-1. ``groupBy(column, value).count()`` – partial aggregation map-side.
-2. A global running count over (column, value) order (ranking.global_running_sum).
-3. For quantile q of a column with N non-NULL values, position h=(N−1)·q;
-   keep the ≤2 distinct values whose rank span covers floor(h) and ceil(h)
-   (a filter, not a collect) and interpolate lo + (hi − lo)·(h − floor(h)).
-
-NULLs are skipped, as pandas and SQL ``quantile_cont`` do.
+1. A mergeable sketch (``percentile_approx``) brackets every quantile by two values
+   whose ranks lie a few thousandths of a per cent of the rows apart.
+2. A second scan counts the values below each bracket and shuffles only those
+   inside it, reduced to a count per value.  The counts prove whether the ranks
+   that are asked for lie inside; a bracket that misses is widened and asked
+   again, in the end to the whole column.
+3. For quantile q of a column with N non-NULL values, position h=(N−1)·q: the values
+   at ranks floor(h) and ceil(h) come from a running count over the brackets'
+   values, and lo + (hi − lo)·(h − floor(h)) is the answer.
+
+So what is shuffled follows the sketch's accuracy and not the number of distinct values.
+NULLs and NaNs are skipped, as pandas and SQL ``quantile_cont`` skip NULLs.
 """
 
 from __future__ import annotations
@@ -21,47 +26,90 @@ from pyspark.sql import functions as F
 from ..session import stable
 from .ranking import global_running_sum
 
-
-def value_counts_long(df: DataFrame, columns) -> DataFrame:
-    """(ci, v, n): non-NULL values of every column (ci = position in
-    ``columns``) reduced to counts per distinct value in one pass – partial
-    aggregation before the shuffle.  Checkpointed: several steps reuse it."""
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("ci"), F.col(c).cast("double").alias("v"))
-        for i, c in enumerate(columns)])).alias("s")).select("s.ci", "s.v")
-    return stable(stacked.where(F.col("v").isNotNull()).groupBy("ci", "v").agg(
-        F.count(F.lit(1)).alias("n")))
-
-
-def column_names(columns):
-    """Column name for a ``ci`` position."""
-    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("ci") + 1)
-
-
-def quantiles_from_counts(counts: DataFrame, columns, qs) -> DataFrame:
-    """Exact linear-interpolated quantiles from a ``value_counts_long`` table."""
-    qs = [float(q) for q in qs]
-    ranked = global_running_sum(counts, [F.asc("v")], {"cum": F.col("n")}, partition_by=["ci"])
-    totals = counts.groupBy("ci").agg(F.sum("n").alias("N"))
-    qtab = F.explode(F.array(*[F.lit(q) for q in qs])).alias("q")
-    targets = totals.select("ci", "N", qtab).select(
-        "ci", "q", ((F.col("N") - 1).cast("double") * F.col("q")).alias("h"))
-    targets = targets.select("ci", "q", "h", F.floor("h").alias("lo"), F.ceil("h").alias("hi"))
-    # value at 0-based rank k is the one with cum - n <= k < cum
-    # targets has one row per (column, quantile): bounded, so broadcast
-    hits = ranked.join(F.broadcast(targets), "ci").where(
-        ((F.col("lo") >= F.col("cum") - F.col("n")) & (F.col("lo") < F.col("cum")))
-        | ((F.col("hi") >= F.col("cum") - F.col("n")) & (F.col("hi") < F.col("cum"))))
-    lohi = hits.groupBy("ci", "q", "h", "lo").agg(
-        F.min_by("v", F.col("cum")).alias("v_lo"), F.max_by("v", F.col("cum")).alias("v_hi"))
-    val = F.col("v_lo") + (F.col("v_hi") - F.col("v_lo")) * (F.col("h") - F.col("lo"))
-    return lohi.select(column_names(list(columns)).alias("column_name"), "q", val.alias("value"))
+#: Rank error of the sketch is at most one row in this many.
+ACCURACY = 20_000
+#: Half widths of a bracket, in rank errors; the last one takes the whole column.
+WIDTHS = (2, 200, None)
+
+
+def _probability(q: float, width: int) -> tuple[float, float]:
+    slack = width / ACCURACY
+    return max(0.0, q - slack), min(1.0, q + slack)
+
+
+def _brackets(df: DataFrame, columns: list, asked: list[tuple[int, float]], width: int | None) -> list[tuple]:
+    """(column, quantile, low, high, values of the column) per pair asked; the sketch's
+    answers are one row of as many cells."""
+    cells = []
+    for i in sorted({i for i, _ in asked}):
+        v = F.when(~F.isnan(F.col(columns[i]).cast("double")), F.col(columns[i]).cast("double"))
+        probs = [p for j, q in asked if j == i for p in _probability(q, width or 0)]
+        cells += [F.count(v).alias(f"n{i}"), F.min(v).alias(f"a{i}"), F.max(v).alias(f"z{i}"),
+                  F.percentile_approx(v, probs, ACCURACY).alias(f"p{i}")]
+    row = df.agg(*cells).first()
+    out, seen = [], {}
+    for i, q in asked:
+        k = seen[i] = seen.get(i, -1) + 1
+        if not row[f"n{i}"]:
+            continue
+        lo, hi = row[f"p{i}"][2 * k:2 * k + 2]
+        edge = _probability(q, width or 0)
+        # a sketch's end need not be the column's
+        lo = row[f"a{i}"] if width is None or edge[0] == 0.0 else lo
+        hi = row[f"z{i}"] if width is None or edge[1] == 1.0 else hi
+        out.append((i, q, lo, hi, row[f"n{i}"]))
+    return out
+
+
+def _inside(df: DataFrame, columns: list, brackets: list[tuple]) -> DataFrame:
+    """``(b, v, n)``: how often which value is in bracket b; a null v stands for all values
+    below it, which map-side combine makes one row a task."""
+    value = [F.col(columns[i]).cast("double") for i, *_ in brackets]
+    hit = F.array(*[F.when((v <= hi) & ~F.isnan(v), F.struct(F.lit(k).alias("b"), F.when(v >= lo, v).alias("v")))
+                    for k, (v, (_, _, lo, hi, _)) in enumerate(zip(value, brackets, strict=True))])
+    rows = df.select(F.explode(F.filter(hit, lambda x: x.isNotNull())).alias("s")).select("s.b", "s.v")
+    return rows.groupBy("b", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
 def exact_quantiles(df: DataFrame, columns, qs) -> DataFrame:
-    """Long result: (column_name, q, value) for every column × quantile."""
-    columns = list(columns)
-    return quantiles_from_counts(value_counts_long(df, columns), columns, qs)
+    """Long result: (column_name, q, value) for every column × quantile; a column without
+    a value has no row.  The driver handles a few numbers per column and quantile."""
+    columns, spark = list(columns), df.sparkSession
+    asked = [(i, float(q)) for i in range(len(columns)) for q in sorted({float(q) for q in qs})]
+    done: list[tuple] = []
+    for width in WIDTHS:
+        brackets = _brackets(df, columns, asked, width) if asked else []
+        if not brackets:
+            break
+        counts = stable(_inside(df, columns, brackets))
+        # a row per bracket
+        sums = {r["b"]: r for r in counts.groupBy("b").agg(F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("below"),
+                                                           F.sum(F.when(F.col("v").isNotNull(), F.col("n")).otherwise(0)).alias("held")).collect()}
+        inside = counts.where("v IS NOT NULL")
+        found, asked = [], []
+        for k, (i, q, _, _, n) in enumerate(brackets):
+            h = (n - 1) * q
+            lo, hi = int(h), -int(-h // 1)
+            below, held = (sums[k]["below"], sums[k]["held"]) if k in sums else (0, 0)
+            if below <= lo and hi < below + held:
+                found.append((k, i, q, h - lo, lo - below, hi - below))
+            else:
+                asked.append((i, q))
+        if found:
+            done += _at_ranks(inside, found)
+    names = [(columns[i], q, v) for i, q, v in sorted(done)]
+    return spark.createDataFrame(names, "column_name string, q double, value double")
+
+
+def _at_ranks(inside: DataFrame, found: list[tuple]) -> list[tuple]:
+    """(column, quantile, value) for ranks (from 0) inside the brackets."""
+    want = inside.sparkSession.createDataFrame([(k, lo, hi) for k, _, _, _, lo, hi in found], "b int, lo long, hi long")
+    ranked = global_running_sum(inside, [F.asc("v")], {"cum": F.col("n")}, partition_by=["b"])
+    holds = lambda r: (F.col(r) >= F.col("cum") - F.col("n")) & (F.col(r) < F.col("cum"))
+    rows = (ranked.join(F.broadcast(want), "b")  # a row per bracket
+            .groupBy("b").agg(F.max(F.when(holds("lo"), F.col("v"))).alias("v_lo"), F.max(F.when(holds("hi"), F.col("v"))).alias("v_hi")).collect())
+    at = {r["b"]: r for r in rows}
+    return [(i, q, at[k]["v_lo"] + (at[k]["v_hi"] - at[k]["v_lo"]) * part) for k, i, q, part, _, _ in found]
 
 
 def exact_quantile_scalar(df: DataFrame, column: str, q: float) -> Column:
@@ -70,12 +118,9 @@ def exact_quantile_scalar(df: DataFrame, column: str, q: float) -> Column:
 
 
 def exact_quantile_scalars(df: DataFrame, wanted: dict) -> dict:
-    """Several (column → q) quantiles from one distributed pass; the tiny
-    result (one row per column × q) is checkpointed so each returned scalar
-    subquery reads it instead of re-running the search."""
-    from ..session import stable
+    """Several (column → q) quantiles from one search, as scalar subqueries."""
     cols = list(wanted)
     qs = sorted(set(float(q) for q in wanted.values()))
-    tab = stable(exact_quantiles(df.select(*cols), cols, qs))
+    tab = exact_quantiles(df.select(*cols), cols, qs)
     return {c: tab.where((F.col("column_name") == c) & (F.col("q") == float(q))).select("value").scalar()
             for c, q in wanted.items()}

@@ -234,8 +234,8 @@ def cox_fit(df: DataFrame, duration: str, event: str, covariates, penalizer: flo
         return ll, g, h, rows
 
     ll_prev, converged = None, False
+    ll, g, h, _rows = newton_terms(beta)
     for _ in range(max_iter):
-        ll, g, h, _rows = newton_terms(beta)
         obj = ll / n - 0.5 * lam * beta @ beta
         grad = g / n - lam * beta
         hess = h / n - lam * np.eye(p)
@@ -243,22 +243,21 @@ def cox_fit(df: DataFrame, duration: str, event: str, covariates, penalizer: flo
         new = beta - step
         # step halving keeps the objective from decreasing
         for _h in range(20):
-            ll_new = newton_terms(new)[0]
-            if ll_new / n - 0.5 * lam * new @ new >= obj - 1e-12:
+            tried = newton_terms(new)
+            if tried[0] / n - 0.5 * lam * new @ new >= obj - 1e-12:
                 break
             new = beta - step / (2 ** (_h + 1))
         else:
             # no step gains: done if the full one promises less than the tolerance
             converged = bool(abs(grad @ step) / 2 < tol)
             break
-        beta = new
+        beta, (ll, g, h, _rows) = new, tried  # the accepted step's evaluation serves the next one
         if ll_prev is not None and abs(obj - ll_prev) < tol:
             converged = True
             break
         ll_prev = obj
     if strict and not converged:
         raise RuntimeError(f"Cox fit has not converged (at most {max_iter} steps, tolerance {tol})")
-    ll, g, h, rows = newton_terms(beta)
     info = -(h - n * lam * np.eye(p))
     cov_m = np.linalg.inv(info)
     se_std = np.sqrt(np.diag(cov_m))

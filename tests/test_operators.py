@@ -61,6 +61,22 @@ def test_exact_quantiles_match_numpy(spark):
         assert v == pytest.approx(float(np.quantile(x, q)), abs=1e-12)
 
 
+def test_exact_quantiles_of_awkward_columns(spark, monkeypatch):
+    from retainspark.operators import quantiles as Q
+    rng = np.random.default_rng(4)
+    n = 3000
+    x, hot = rng.normal(size=n) * 1e6, np.where(rng.random(n) < 0.6, 5.0, rng.random(n))
+    rows = [(float(a), float(b), None, float("nan") if i % 5 == 0 else float(i), 1.0) for i, (a, b) in enumerate(zip(x, hot))] + [(None,) * 5]
+    df = spark.createDataFrame(rows, "x double, hot double, none double, part double, one double").repartition(4)
+    part = [i for i in range(n) if i % 5]
+    qs = [0.0, 0.001, 0.25, 0.3, 0.5, 0.75, 0.9999, 1.0]
+    for accuracy in (20_000, 40):  # a coarse sketch has its brackets widened
+        monkeypatch.setattr(Q, "ACCURACY", accuracy)
+        got = {(r.column_name, r.q): r.value for r in exact_quantiles(df, ["x", "hot", "none", "part", "one"], qs).collect()}
+        want = {(c, q): np.quantile(v, q) for c, v in (("x", x), ("hot", hot), ("part", part), ("one", [1.0])) for q in qs}
+        assert got == pytest.approx(want)
+
+
 def test_average_percent_rank_matches_pandas(spark):
     vals = [3.0, 1.0, 3.0, 2.0, 5.0, 3.0, 1.0]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, v double")
