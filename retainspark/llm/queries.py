@@ -34,6 +34,18 @@ def op5_rabin_karp_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+ORACLES["op5_rabin_karp_spans"] = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, s, array_to_string(w[s:s+19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d)),
+later AS (SELECT doc_id, s FROM g QUALIFY row_number() OVER (PARTITION BY g ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM later),
+cut AS (SELECT doc_id, count(*) AS n, list(p) AS ps FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(ps, i)), lambda i: w[i]) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+
 @query
 def op8_broadcast_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document inside 10-word windows of the benchmark."""
