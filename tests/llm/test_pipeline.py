@@ -104,3 +104,23 @@ def test_contract_columns_of_the_fixed_queries(spark, tables):
     for i, t in docs.items():
         kept = b" ".join(w for w, g in zip((t or "").encode().split(), gone[i, t]) if not g)
         assert (five[i].n_removed, five[i].kept_sha256) == (sum(gone[i, t]), hashlib.sha256(kept).hexdigest())
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_stages_on_empty_tables_and_odd_rows(spark, sf_dir, name, stage):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row int, __id int, `a.b` int"
+    long = " ".join(f"w{i}" for i in range(1000, 21000))
+    words = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"w{i}" for i in range(500, 570))
+    rows = [(1, words, "en", "s", 1, 1, 1, 1), (1, words, "en", "s", 1, 1, 1, 1), (None,) * 8, (3, "", "en", "s", 0, 1, 1, 1),
+            (None, other, None, None, None, 2, 2, 2), (5, long, "en", "s", 9, 3, 3, 3)]
+    empty = stage(spark, spark.createDataFrame([], schema), sf_dir)
+    full = stage(spark, spark.createDataFrame(rows, schema).repartition(3), sf_dir)
+    assert empty.collect() == [] and empty.columns == full.columns
+    got = sorted((-1 if r.doc_id is None else r.doc_id) for r in full.collect())
+    assert got == {"quality rules": [-1, 1, 1, 5], "near duplicates": [-1, -1, 1, 5], "substring dedup": [-1, 1, 1, 5],
+                   "decontamination": [-1, -1, 1, 1, 3, 5]}.get(name, got)
+    if name == "sentencepiece":
+        assert set(got) == {-1, 1, 3, 5}
+    else:
+        assert full.columns == corpus_pipeline.COLUMNS
