@@ -3,9 +3,8 @@
 Data reduction first: every estimator here only needs per-(group, duration)
 counts or per-duration sums, which are partial aggregates (a duration that
 holds a third of all rows is one row per map task).  Running sums over the
-duration order use ``global_running_sum``.  Only the Cox Newton step solves a
-p×p system on the driver, from sums whose size is bounded by the number of
-distinct durations × p² (durations are months, capped at 72 here).
+duration order use ``global_running_sum`` or, in the Cox fit, slices of the order
+that are fixed once.  Only the p×p Newton system is solved on the driver.
 
 Published definitions are followed where the reference relied on a library
 whose source is not in the reference (SURVEY §7.4):
@@ -25,7 +24,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,22 +115,33 @@ def logrank(df: DataFrame, duration: str, event: str, group: str, a, b) -> DataF
 EFRON_CHUNK = 65536
 
 
-def _efron_series(spark, items, partitions: int):
-    """For every event time (t, c, d): Σ_{l<d} log(c−l), Σ 1/(c−l), Σ 1/(c−l)².
+def _efron_series(times: DataFrame) -> DataFrame:
+    """For every row (t, c, d): Σ_{l<d} log(c−l), Σ 1/(c−l), Σ 1/(c−l)².
     The l-ranges are exploded in chunks that are spread over tasks, so a
     time with very many tied events is not one task's work."""
-    if not items:
-        return {}
-    df = spark.createDataFrame(items, "t double, c double, d long")
-    last_chunk = ((F.col("d") - 1) / F.lit(EFRON_CHUNK)).cast("long")
-    ch = df.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk))).repartition(partitions)
+    last_chunk = F.expr(f"(d - 1) div {EFRON_CHUNK}")
+    ch = times.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), last_chunk)))
+    ch = ch.repartition("t", "k")
     lo = F.col("k") * F.lit(EFRON_CHUNK)
     hi = F.least(F.col("d"), lo + F.lit(EFRON_CHUNK)) - F.lit(1)
     terms = (ch.select("t", "c", F.explode(F.sequence(lo, hi)).alias("l"))
              .select("t", (F.col("c") - F.col("l").cast("double")).alias("x")))
-    rows = terms.groupBy("t").agg(F.sum(F.log("x")).alias("l0"), F.sum(1.0 / F.col("x")).alias("h1"),
-                                  F.sum(1.0 / (F.col("x") * F.col("x"))).alias("h2")).collect()
-    return {r["t"]: (r["l0"], r["h1"], r["h2"]) for r in rows}  # ≤ distinct event times
+    return terms.groupBy("t").agg(F.sum(F.log("x")).alias("l0"), F.sum(1.0 / F.col("x")).alias("h1"),
+                                  F.sum(1.0 / (F.col("x") * F.col("x"))).alias("h2"))
+
+
+def _summed_from(per: DataFrame, names: list) -> DataFrame:
+    """``names`` of ``per`` (a row per time ``t``, in slices ``p`` of the time
+    order) replaced by their sums over all times from ``t`` on.  A window sums
+    inside each slice, one row of totals per slice adds the later slices."""
+    later = Window.orderBy(F.desc("q")).rowsBetween(Window.unboundedPreceding, -1)
+    totals = per.groupBy(F.col("p").alias("q")).agg(*[F.sum(c).alias(f"o_{c}") for c in names])
+    offsets = totals.select("q", *[F.coalesce(F.sum(f"o_{c}").over(later), F.lit(0.0)).alias(f"o_{c}")
+                                   for c in names])  # as many rows as slices
+    here = Window.partitionBy("p").orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = per.withColumns({c: F.sum(c).over(here) for c in names})
+    return local.join(F.broadcast(offsets), F.col("p") == F.col("q")).select(
+        *[c for c in per.columns if c not in names], *[(F.col(c) + F.col(f"o_{c}")).alias(c) for c in names])
 
 
 def cox_fit(df: DataFrame, duration: str, event: str, covariates, penalizer: float = 0.1,
@@ -139,13 +149,18 @@ def cox_fit(df: DataFrame, duration: str, event: str, covariates, penalizer: flo
     """Penalised Cox proportional-hazards fit, Efron (default) or
     Breslow handling of tied event times.
 
-    Each Newton iteration is one distributed aggregate: per distinct
-    duration, Σe^{xβ}, Σx·e^{xβ}, Σxxᵀ·e^{xβ} over all rows and over the
-    events, the event count and Σx.  The driver turns those ≤(distinct
-    durations) rows into risk-set sums by a reverse cumulative sum and
-    solves the p×p Newton system.  Efron's per-event-time sums over
-    l = 0..d−1 reduce to three scalar series in c = d·S0/D0 (see
-    ``_efron_series``), from which the gradient and Hessian follow exactly.
+    The distinct durations are put into contiguous slices of their order once.
+    Each evaluation of the likelihood first reduces the rows to one row per
+    duration, partly on the map side: Σe^{xβ}, Σx·e^{xβ}, Σxxᵀ·e^{xβ} over all
+    rows and over the events.  Risk-set sums are prefix sums of these vectors
+    over the slices (``_summed_from``).  One aggregate then adds up what the
+    event times give to the log-likelihood, gradient and Hessian, so that one
+    row of p×p size reaches the driver, whatever the number of durations.
+    Efron's per-event-time sums over l = 0..d−1 reduce to three scalar series in
+    c = d·S0/D0 (see ``_efron_series``); Breslow's form is the same expression
+    with D0 = 1, D1 = D2 = 0 and d equal terms.
+
+    Rows with a null or NaN in the duration, event or a covariate take no part.
     Returns a dict with the coefficient table (DataFrame), the fitted
     arrays needed by ``baseline_hazard`` / scoring and ``converged``.  A fit
     that is not done after ``max_iter`` steps, or finds no step that keeps the
@@ -157,6 +172,8 @@ def cox_fit(df: DataFrame, duration: str, event: str, covariates, penalizer: flo
     base = df.select(F.col(duration).cast("double").alias("t"), F.col(event).cast("int").alias("e"),
                      *[F.col(c).cast("double").alias(c) for c in cov]).na.drop()
     base = stable(base)
+    one = range(p)
+    two = [(i, j) for i in one for j in range(i, p)]
     mom = base.agg(F.count(F.lit(1)).alias("n"),
                    *[F.avg(c).alias(f"m_{c}") for c in cov],
                    *[F.stddev_samp(c).alias(f"s_{c}") for c in cov]).first()
@@ -165,76 +182,51 @@ def cox_fit(df: DataFrame, duration: str, event: str, covariates, penalizer: flo
     std = np.array([mom[f"s_{c}"] or 1.0 for c in cov])
     std[std == 0] = 1.0
     z = [((F.col(c) - float(mean[i])) / float(std[i])) for i, c in enumerate(cov)]
-    zdf = stable(base.select("t", "e", *[z[i].alias(f"z{i}") for i in range(p)]))
+    zdf = stable(base.select("t", "e", *[z[i].alias(f"z{i}") for i in one]))
+    times = stable(zdf.select("t").distinct().repartitionByRange("t").withColumn("p", F.spark_partition_id()))
+    of_events = zdf.agg(*[F.sum(F.col("e") * F.col(f"z{i}")).alias(f"x{i}") for i in one]).first()
+    dx = np.array([of_events[f"x{i}"] or 0.0 for i in one])
     beta = np.zeros(p)
     lam = penalizer
-
-    def sums(b):
-        eta = sum((F.lit(float(b[i])) * F.col(f"z{i}") for i in range(p)), F.lit(0.0))
-        w = F.exp(eta)
-        aggs = [F.sum(w).alias("s0"), F.sum(F.col("e")).alias("d"),
-                F.sum(F.col("e") * eta).alias("de")]
-        aggs += [F.sum(w * F.col(f"z{i}")).alias(f"s1_{i}") for i in range(p)]
-        aggs += [F.sum(F.col("e") * F.col(f"z{i}")).alias(f"dx_{i}") for i in range(p)]
-        aggs += [F.sum(w * F.col(f"z{i}") * F.col(f"z{j}")).alias(f"s2_{i}_{j}")
-                 for i in range(p) for j in range(i, p)]
-        if ties == "efron":
-            ew = F.col("e") * w
-            aggs += [F.sum(ew).alias("d0")]
-            aggs += [F.sum(ew * F.col(f"z{i}")).alias(f"d1_{i}") for i in range(p)]
-            aggs += [F.sum(ew * F.col(f"z{i}") * F.col(f"z{j}")).alias(f"d2_{i}_{j}")
-                     for i in range(p) for j in range(i, p)]
-        rows = zdf.groupBy("t").agg(*aggs).orderBy(F.desc("t")).collect()  # ≤ distinct durations
-        return rows
-
-    def sym(r, prefix):
-        m = np.zeros((p, p))
-        for i in range(p):
-            for j in range(i, p):
-                m[i, j] = m[j, i] = r[f"{prefix}_{i}_{j}"]
-        return m
-
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    efron = ties == "efron"
 
     def newton_terms(b):
-        rows = sums(b)
-        ll, g, h = 0.0, np.zeros(p), np.zeros((p, p))
-        c0, c1, c2 = 0.0, np.zeros(p), np.zeros((p, p))
-        risk = []
-        for r in rows:  # descending time: risk set grows
-            c0 += r["s0"]
-            c1 = c1 + np.array([r[f"s1_{i}"] for i in range(p)])
-            c2 = c2 + sym(r, "s2")
-            risk.append((c0, c1, c2))
-        series = {}
-        if ties == "efron":
-            series = _efron_series(spark, [(float(r["t"]), float(r["d"] * rc[0] / r["d0"]), int(r["d"]))
-                                           for r, rc in zip(rows, risk) if (r["d"] or 0) > 1], nparts)
-        for r, (s0, s1, s2) in zip(rows, risk):
-            d = r["d"] or 0
-            if d == 0:
-                continue
-            dx = np.array([r[f"dx_{i}"] for i in range(p)])
-            if ties != "efron" or d == 1:
-                ll += r["de"] - d * math.log(s0)
-                g += dx - d * s1 / s0
-                h -= d * (s2 / s0 - np.outer(s1, s1) / s0 ** 2)
-                continue
-            d0 = r["d0"]
-            d1 = np.array([r[f"d1_{i}"] for i in range(p)])
-            d2 = sym(r, "d2")
-            l0, h1, h2 = series[float(r["t"])]
-            a = s1 - (s0 / d0) * d1
-            bm = s2 - (s0 / d0) * d2
-            ll += r["de"] - (d * math.log(d0 / d) + l0)
-            g += dx - ((d / d0) * a * h1 + d * d1 / d0)
-            outer = (np.outer(a, a) * h2 + (np.outer(a, d1) + np.outer(d1, a)) * h1 / d
-                     + np.outer(d1, d1) / d)
-            h -= (d / d0) * (bm * h1 + d2) - (d / d0) ** 2 * outer
-        return ll, g, h, rows
+        w = F.exp(sum((F.lit(float(b[i])) * F.col(f"z{i}") for i in one), F.lit(0.0)))
+        moments = {"0": w, **{f"1_{i}": w * F.col(f"z{i}") for i in one},
+                   **{f"2_{i}_{j}": w * F.col(f"z{i}") * F.col(f"z{j}") for i, j in two}}
+        aggs = [F.sum(v).alias(f"s{k}") for k, v in moments.items()]
+        if efron:
+            aggs += [F.sum(F.col("e") * v).alias(f"d{k}") for k, v in moments.items()]
+        per = zdf.groupBy("t").agg(F.sum("e").alias("d"), *aggs)
+        risk = _summed_from(stable(per.join(times, "t")), [f"s{k}" for k in moments]).where("d > 0")
+        c = F.col("d") * F.col("s0") / (F.col("d0") if efron else F.lit(1.0))
+        risk = risk.withColumn("c", c)
+        if efron:
+            risk = risk.join(_efron_series(risk.select("t", "c", "d")), "t")
+        else:
+            risk = risk.withColumns({"l0": F.col("d") * F.log("c"), "h1": F.col("d") / F.col("c"),
+                                     "h2": F.col("d") / (F.col("c") * F.col("c"))})
+        tied = (lambda k: F.col(f"d{k}")) if efron else (lambda k: F.lit(1.0 if k == "0" else 0.0))
+        risk = risk.withColumns({"r": F.col("s0") / tied("0"), "f": F.col("d") / tied("0")})
+        risk = risk.withColumns({f"a{i}": F.col(f"s1_{i}") - F.col("r") * tied(f"1_{i}") for i in one})
+        d, f, h1, h2 = (F.col(k) for k in ("d", "f", "h1", "h2"))
+
+        def hess_term(i, j):
+            ai, aj, ti, tj = F.col(f"a{i}"), F.col(f"a{j}"), tied(f"1_{i}"), tied(f"1_{j}")
+            spread = F.col(f"s2_{i}_{j}") - F.col("r") * tied(f"2_{i}_{j}")
+            outer = ai * aj * h2 + (ai * tj + ti * aj) * h1 / d + ti * tj / d
+            return F.sum(f * f * outer - f * (spread * h1 + tied(f"2_{i}_{j}"))).alias(f"h{i}_{j}")
+
+        out = risk.agg(F.sum(F.col("l0") - d * F.log(f)).alias("ll"),
+                       *[F.sum(f * (F.col(f"a{i}") * h1 + tied(f"1_{i}"))).alias(f"g{i}") for i in one],
+                       *[hess_term(i, j) for i, j in two]).first()
+        h = np.zeros((p, p))
+        for i, j in two:
+            h[i, j] = h[j, i] = out[f"h{i}_{j}"] or 0.0
+        return b @ dx - (out["ll"] or 0.0), dx - np.array([out[f"g{i}"] or 0.0 for i in one]), h
 
     ll_prev, converged = None, False
-    ll, g, h, _rows = newton_terms(beta)
+    ll, g, h = newton_terms(beta)
     for _ in range(max_iter):
         obj = ll / n - 0.5 * lam * beta @ beta
         grad = g / n - lam * beta
@@ -251,7 +243,7 @@ def cox_fit(df: DataFrame, duration: str, event: str, covariates, penalizer: flo
             # no step gains: done if the full one promises less than the tolerance
             converged = bool(abs(grad @ step) / 2 < tol)
             break
-        beta, (ll, g, h, _rows) = new, tried  # the accepted step's evaluation serves the next one
+        beta, (ll, g, h) = new, tried  # the accepted step's evaluation serves the next one
         if ll_prev is not None and abs(obj - ll_prev) < tol:
             converged = True
             break

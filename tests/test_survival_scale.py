@@ -59,3 +59,42 @@ def test_concordance_without_pairs(spark):
     for rows in ([], [(1.0, 1.0, 0)], [(1.0, 1.0, 1)]):
         r = SV.concordance_index(spark.createDataFrame(rows, "t double, s double, e int"), "t", "e", "s").first()
         assert (r.correct, r.tied, r.pairs, r.c_index) == (0, 0, 0, None)
+
+
+def plain_cox(beta, x, t, e):
+    """Log-likelihood and gradient, all durations different."""
+    order = np.argsort(-t)
+    x, e = x[order], e[order].astype(bool)
+    w = np.exp(x @ beta)
+    s0, s1 = np.cumsum(w), np.cumsum(w[:, None] * x, axis=0)
+    return float((x @ beta - np.log(s0))[e].sum()), (x - s1 / s0[:, None])[e].sum(axis=0)
+
+
+@pytest.mark.parametrize("ties", ["efron", "breslow"])
+def test_cox_fit_of_many_distinct_durations(spark, ties):
+    n = 100_000
+    df = spark.range(n).selectExpr("cast(id * 7919 % 100003 as double) t", "cast(id * 104729 % 1009 / 300 as double) a",
+                                   "cast(id * 31 % 7 + id * 7919 % 100003 / 40000 as double) b", "cast(id % 3 > 0 as int) e")
+    rows = df.toPandas()
+    x, t, e = rows[["a", "b"]].to_numpy(), rows["t"].to_numpy(), rows["e"].to_numpy()
+    assert len(np.unique(t)) == n
+    fit = SV.cox_fit(df, "t", "e", ["a", "b"], penalizer=0.0, ties=ties)
+    ll, grad = plain_cox(np.array(fit["coef"]), x - x.mean(axis=0), t, e)
+    assert fit["log_likelihood"] == pytest.approx(ll, rel=1e-10)
+    assert np.abs(grad / n).max() < 1e-6
+    se = [r.se for r in fit["summary"].collect()]
+    eps = 1e-4
+    info = -np.array([(plain_cox(np.array(fit["coef"]) + eps * d, x, t, e)[1] - plain_cox(np.array(fit["coef"]) - eps * d, x, t, e)[1]) / (2 * eps)
+                      for d in np.eye(2)])
+    assert se == pytest.approx(np.sqrt(np.diag(np.linalg.inv(info))), rel=1e-5)
+
+
+def test_cox_fit_leaves_null_rows_out_and_takes_a_hot_duration(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=900)
+    t = np.where(np.arange(900) % 3 == 0, 5.0, np.ceil(rng.exponential(np.exp(-0.8 * x)) * 20))  # a third leaves at one time
+    rows = [(float(a), float(b), int(c)) for a, b, c in zip(t, x, rng.random(900) < 0.7, strict=True)]
+    plain = SV.cox_fit(spark.createDataFrame(rows, "t double, x double, e int"), "t", "e", ["x"])
+    nulls = [(None, 1.0, 1), (3.0, None, 1), (3.0, float("nan"), 1), (3.0, 1.0, None)]
+    other = SV.cox_fit(spark.createDataFrame(rows + nulls, "t double, x double, e int").repartition(7), "t", "e", ["x"])
+    assert other["coef"] == pytest.approx(plain["coef"], abs=1e-9) and plain["converged"]
