@@ -101,8 +101,9 @@ def cox_summary(spark, sf_dir):
 
 @query("hazard_report")
 def hazard_report(spark, sf_dir):
-    """Significant covariates and the direction of their effect."""
-    return SV.hazard_report(_cox(spark, sf_dir)["summary"])
+    """Significant covariates and the direction of their effect, of the fit
+    with the tenure-derived charge per month, the covariate that has one here."""
+    return SV.hazard_report(_cox(spark, sf_dir, SURV_COVARIATES_PARITY)["summary"])
 
 
 @query("survival_at_horizons")

@@ -98,3 +98,53 @@ def test_cox_fit_leaves_null_rows_out_and_takes_a_hot_duration(spark):
     nulls = [(None, 1.0, 1), (3.0, None, 1), (3.0, float("nan"), 1), (3.0, 1.0, None)]
     other = SV.cox_fit(spark.createDataFrame(rows + nulls, "t double, x double, e int").repartition(7), "t", "e", ["x"])
     assert other["coef"] == pytest.approx(plain["coef"], abs=1e-9) and plain["converged"]
+
+
+def plain_remaining(ts, hs, ph, t0):
+    """Trapezoids over the whole timeline and from ``t0`` on, the latter over S(t0)."""
+    s = np.exp(-hs * ph)
+    k = np.searchsorted(ts, t0, side="right") - 1
+    if k < 0:
+        return np.trapezoid(s, ts), np.trapezoid(s, ts)
+    rest = np.exp(-(hs[k:] - hs[k]) * ph)
+    steps = np.diff(ts[k:])
+    tail = float((steps * (rest[1:] + rest[:-1]) / 2).sum())
+    return np.trapezoid(s, ts), tail - ((t0 - ts[k]) * (1 + rest[1]) / 2 if len(rest) > 1 else 0.0)
+
+
+def test_expected_remaining_of_a_million_distinct_durations(spark):
+    n = 1_000_000
+    zdf = spark.range(n).selectExpr("cast(id * 7919 % 1000003 as double) + 50 t", "cast(id % 3 > 0 as int) e", "cast(id % 101 / 50 - 1 as double) z0")
+    fit = {"zdf": zdf, "beta_std": np.array([0.4]), "covariates": ["x"], "coef": np.array([0.4]), "mean": np.array([0.0])}
+    asked = [(i, x, t) for i, (x, t) in enumerate((x, t) for x in (-9.0, -1.3, 0.0, 0.05, 2.2, 11.0)
+                                                  for t in (0.0, 49.9, 50.0, 50.5, 1234.25, 500_000.0, 900_000.7, 1_000_052.0, 2e6))]
+    got = {r.id: r for r in SV.expected_remaining(spark.createDataFrame(asked, "id int, x double, tenure double"), fit).collect()}
+    i = np.arange(n, dtype=np.int64)
+    ts, z, e = (i * 7919 % 1000003).astype(float) + 50, i % 101 / 50 - 1, i % 3 > 0
+    order = np.argsort(ts)
+    ts, w, e = ts[order], np.exp(0.4 * z)[order], e[order]
+    hs = np.cumsum(np.where(e, 1 / np.cumsum(w[::-1])[::-1], 0.0))
+    for k, x, t in asked:
+        life, rest = plain_remaining(ts, hs, np.exp(0.4 * x), t)
+        assert got[k].expected_lifetime == pytest.approx(life, rel=1e-9)
+        if t < ts[-1]:
+            assert got[k].expected_residual == pytest.approx(rest, rel=1e-7, abs=1e-6), (x, t)
+        else:
+            assert got[k].expected_residual <= 1e-6
+
+
+def test_expected_remaining_nulls_and_repeats(spark):
+    zdf = spark.createDataFrame([(1.0, 1, 0.0), (2.0, 1, 0.0), (4.0, 0, 0.0)], "t double, e int, z0 double")
+    fit = {"zdf": zdf, "beta_std": np.array([0.0]), "covariates": ["x"], "coef": np.array([0.0]), "mean": np.array([0.0])}
+    rows = [(1, 0.0, 1.0), (1, 0.0, 1.0), (2, None, 1.0), (3, 0.0, None), (4, 0.0, 9.0), (5, 0.0, 0.5)]
+    df = spark.createDataFrame(rows, "k int, x double, tenure double")
+    got = sorted(((r.k, r.expected_lifetime, r.expected_tenure_remaining, r.expected_residual) for r in SV.expected_remaining(df, fit).collect()), key=str)
+    ts, hs = np.array([1.0, 2.0, 4.0]), np.array([1 / 3, 1 / 3 + 1 / 2, 1 / 3 + 1 / 2])
+    life, rest = plain_remaining(ts, hs, 1.0, 1.0)
+    assert [g[0] for g in got] == [1, 1, 2, 3, 4, 5]
+    assert got[0] == got[1] and got[0][1:] == pytest.approx((life, round(life - 1, 1), rest))
+    assert got[2][1:] == (None, 0.0, 0.0)
+    assert got[3][1:] == pytest.approx((life, 0.0, 0.0))
+    assert got[4][1:] == pytest.approx((life, 0.0, 0.0))
+    assert got[5][1:] == pytest.approx((life, round((life - 0.5) * 10) / 10, life))
+    assert SV.expected_remaining(df.where("false"), fit).collect() == []
