@@ -13,10 +13,12 @@ The supplied model has merge ranks, no log probabilities; a piece of rank r gets
 probability in proportion to 1 / (r + ``RANK_SHIFT``).  A character that no piece
 holds falls back to its UTF-8 bytes, ``UNKNOWN`` below the rarest piece.
 
-Pieces hold blanks at their start only, so the lattice falls into units (blanks
-and the word after them).  The units' lattices are built and walked for a whole
-batch of texts at once in numpy; noise is a hash of (row key, seed, sample,
-position), so a row's samples depend on nothing but the row.
+Pieces hold blanks at their start only, so a text falls into words (blanks and
+what follows up to the next blank), and a word into units, cut wherever no piece
+found in it reaches over: every path comes through there.  The lattices of the
+distinct words are built and walked for a whole batch of texts at once in numpy;
+noise is a hash of (row key, seed, sample, position), so a row's samples depend on
+nothing but the row.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ UNKNOWN = 10.0
 #: Bytes of texts that are walked together (a few hundred bytes of memory each).
 SLICE = 1 << 19
 SPACE = "▁"
-UNIT = re.compile(" *[^ ]+| +")
+WORD = re.compile(" *[^ ]+| +")
 
 
 class Vocabulary:
@@ -103,21 +105,22 @@ def _edge_order(left: np.ndarray, node: np.ndarray, span: np.ndarray) -> np.ndar
 
 
 class Lattices:
-    """Lattices of distinct units: a node per character, an edge per piece that
+    """Lattices of distinct words: a node per character, an edge per piece that
     starts there.  A node's edges are ``start`` to ``start + degree``, with
-    ``log_prob`` and ``prob`` given that a path comes to the node."""
+    ``log_prob`` and ``prob`` given that a path comes to the node.  Unit i begins at
+    node ``first[i]``; ``parts`` are the units of each word, which follow each other."""
 
-    def __init__(self, units: list[str], vocab: Vocabulary, alpha: float):
-        sizes = np.array([len(u) for u in units], dtype=np.int64)
-        self.first = np.cumsum(sizes) - sizes
-        self.chars = np.frombuffer("".join(units).encode("utf-32-le"), dtype="<u4").astype(np.int64)
+    def __init__(self, words: list[str], vocab: Vocabulary, alpha: float):
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        begin = np.cumsum(sizes) - sizes
+        self.chars = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.int64)
         n = len(self.chars)
-        self.left = np.repeat(self.first + sizes, sizes) - np.arange(n)  # characters up to the unit's end
+        left = np.repeat(begin + sizes, sizes) - np.arange(n)  # characters up to the word's end
         alive, state = np.arange(n), vocab.root[self.chars]
         nodes, spans, pieces = [], [], []
         for k in range(vocab.longest):
             if k:
-                go = self.left[alive] > k
+                go = left[alive] > k
                 alive, state = alive[go], state[go]
                 state = vocab.step(state, self.chars[alive + k])
             alive, state = alive[state >= 0], state[state >= 0]
@@ -131,6 +134,11 @@ class Lattices:
             spans.append(np.full(len(at), k + 1))
             pieces.append(found[found >= 0] if k else found[(found >= 0) | (np.arange(len(found)) >= len(alive))])
         node, span, piece = map(np.concatenate, (nodes, spans, pieces))
+        over = np.cumsum(np.bincount(node + 1, minlength=n + 1) - np.bincount(node + span, minlength=n + 1))
+        self.first = np.flatnonzero(over[:n] == 0)  # no piece reaches over these nodes
+        self.parts = np.diff(np.searchsorted(self.first, np.append(begin, n)))
+        ends = np.append(self.first[1:], n)
+        self.left = np.repeat(ends, ends - self.first) - np.arange(n)  # characters up to the unit's end
         order = _edge_order(self.left[node], node, span)
         node, self.span, self.piece = node[order], span[order], piece[order]
         self.degree = np.bincount(node, minlength=n)
@@ -142,7 +150,7 @@ class Lattices:
         beta = np.zeros(n + 1)
         self.log_prob = np.empty(len(node))
         far = self.left[node]
-        bounds = np.searchsorted(far, np.arange(1, (int(sizes.max()) if n else 0) + 2))
+        bounds = np.searchsorted(far, np.arange(1, (int(self.left.max()) if n else 0) + 2))
         inner = np.searchsorted(heads, bounds)
         for r in range(len(bounds) - 1):  # nodes r + 1 characters before their unit's end
             a, b = bounds[r], bounds[r + 1]
@@ -210,14 +218,17 @@ class Sampler:
     def __init__(self, texts: list[str], keys: np.ndarray, vocab: Vocabulary, alpha: float):
         self.vocab, self.keys, self.n = vocab, keys, len(texts)
         number: dict[str, int] = defaultdict(itertools.count().__next__)
-        split = [UNIT.findall(" " + t) if t else [] for t in texts]
-        count = np.array([len(s) for s in split], dtype=np.int64)
-        self.unit = np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(split)), dtype=np.int64,
-                                count=int(count.sum()))
-        self.lattice = Lattices(list(number), vocab, alpha)
+        split = [WORD.findall(" " + t) if t else [] for t in texts]
+        last = np.cumsum([0, *map(len, split)])  # words up to each text's end
+        word = np.fromiter(map(number.__getitem__, itertools.chain.from_iterable(split)), dtype=np.int64, count=int(last[-1]))
+        self.lattice = lat = Lattices(list(number), vocab, alpha)
+        parts = lat.parts[word]
+        begin = np.append(0, np.cumsum(parts))
+        self.unit = np.repeat((np.cumsum(lat.parts) - lat.parts)[word] - begin[:-1], parts) + np.arange(begin[-1])
+        count = np.diff(begin[last])
         self.doc = np.repeat(np.arange(self.n), count)
         self.doc_end = np.cumsum(count)
-        sizes = np.array([len(u) for u in number], dtype=np.int64)[self.unit]
+        sizes = np.diff(np.append(lat.first, len(lat.chars)))[self.unit]
         ends = np.cumsum(sizes)
         self.char = ends - sizes - np.repeat(np.append(0, ends)[np.cumsum(count) - count], count)
 
@@ -374,7 +385,9 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, alpha: float =
     value of its own) and the seed: rows equal in id and text give equal samples.
     The blank that the model expects before a text is added here and dropped by
     decoding.  A null byte or any other character without a piece falls back to
-    bytes, so decoding gives back every text.  An empty table gives an empty one."""
+    bytes, so decoding gives back every text.  An empty table gives an empty one.
+    Time and memory follow the length of a text; only a stretch that pieces cover
+    without a gap, such as one letter a million times, is walked a character a step."""
     require(docs, [id_col, text_col])
     added = [*ADDED, *["decoded"] * decoded]
     rest = [c for c in (docs.columns if keep is None else keep) if c not in added]

@@ -1,5 +1,6 @@
 import itertools
 import math
+import time
 from collections import Counter
 
 import numpy as np
@@ -120,3 +121,31 @@ def test_edges_far_from_their_units_end_stay_in_order(far):
     order = pieces._edge_order(left, node, span)
     got = list(zip(left[order].tolist(), node[order].tolist(), span[order].tolist()))
     assert got == sorted(zip(left.tolist(), node.tolist(), span.tolist()))
+
+
+def test_words_are_cut_where_no_piece_reaches_over(vocab):
+    words = [" the", " don't\n\nstop", "汉字\t漢字", "   ", " aaaa", "x"]
+    lat = pieces.Lattices(words, vocab, 0.5)
+    text = "".join(words)
+    held = set()
+    number = {b.decode() for i, b in enumerate(vocab.bytes) if vocab.score[i] > -np.inf}
+    begin = 0
+    for w in words:
+        for i in range(len(w)):
+            for j in range(i + 2, len(w) + 1):
+                if w[i:j] in number:
+                    held |= set(range(begin + i + 1, begin + j))
+        begin += len(w)
+    assert lat.first.tolist() == [i for i in range(len(text)) if i not in held]
+    starts = np.cumsum([0, *map(len, words)])
+    assert lat.parts.tolist() == [sum(a <= x < b for x in lat.first.tolist()) for a, b in itertools.pairwise(starts)]
+
+
+@pytest.mark.parametrize("text", ["word\n" * 200_000, "12.5\tabc\r\n" * 100_000, "汉字没有空格的文本" * 110_000, "http://a.b/c?d=e&f=" * 50_000])
+def test_a_million_characters_without_a_blank(text, vocab):
+    begin = time.process_time()
+    (found,) = samples([text], 2, vocab)
+    assert time.process_time() - begin < 10
+    assert len({s["ids"] for s in found}) == len(found)
+    for s in found:
+        assert pieces.decode(np.array(s["ids"]), vocab).decode() == text
