@@ -69,8 +69,20 @@ class Vocabulary:
         for b in range(256 if self.first_byte >= 0 else 0):
             self.bytes[self.first_byte + b] = bytes([b])
         keys = np.array([(s << 21) | c for s, c in states], dtype=np.int64)
-        order = np.argsort(keys)
-        self.keys, self.next = keys[order], np.array(list(states.values()), dtype=np.int64)[order]
+        # an open hash table, two thirds empty or more; a free place has key -1
+        self.shift = np.uint64(64 - max(4, (3 * len(keys)).bit_length()))
+        self.keys = np.full(1 << (64 - int(self.shift)), -1, dtype=np.int64)
+        self.next = np.full(len(self.keys), -1, dtype=np.int64)
+        at, todo = self._place(keys), np.arange(len(keys))
+        to = np.array(list(states.values()), dtype=np.int64)
+        while len(todo):
+            _, one = np.unique(at[todo], return_index=True)  # one key a place and round
+            one = one[self.keys[at[todo[one]]] < 0]
+            self.keys[at[todo[one]]], self.next[at[todo[one]]] = keys[todo[one]], to[todo[one]]
+            todo = np.delete(todo, one)
+            at[todo] = (at[todo] + 1) % len(self.keys)
+        self.inner = np.zeros(len(states) + 1, dtype=bool)  # states that some piece goes on from
+        self.inner[[s for s, _ in states]] = True
         self.root = np.full(0x110000, -1, dtype=np.int64)  # by first character
         for (s, c), to in states.items():
             if s == 0:
@@ -84,11 +96,23 @@ class Vocabulary:
         self.score[ranked] = np.log(weight / weight.sum())
         self.score[-1] = self.score[ranked].min() - UNKNOWN  # of piece -1, the byte fallback
 
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
     def step(self, state: np.ndarray, char: np.ndarray) -> np.ndarray:
         """Trie states after one more character; -1 where no piece goes on."""
         key = (state << 21) | char
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.next[at], -1)
+        at = self._place(key)
+        held = self.keys[at]
+        out = np.where(held == key, self.next[at], -1)
+        far = np.flatnonzero((held != key) & (held >= 0))
+        while len(far):
+            at[far] = (at[far] + 1) % len(self.keys)
+            held = self.keys[at[far]]
+            out[far] = np.where(held == key[far], self.next[at[far]], -1)
+            far = far[(held != key[far]) & (held >= 0)]
+        return out
 
 
 @functools.cache
@@ -120,7 +144,7 @@ class Lattices:
         nodes, spans, pieces = [], [], []
         for k in range(vocab.longest):
             if k:
-                go = left[alive] > k
+                go = vocab.inner[state] & (left[alive] > k)
                 alive, state = alive[go], state[go]
                 state = vocab.step(state, self.chars[alive + k])
             alive, state = alive[state >= 0], state[state >= 0]
