@@ -69,6 +69,7 @@ class Vocabulary:
         for b in range(256 if self.first_byte >= 0 else 0):
             self.bytes[self.first_byte + b] = bytes([b])
         keys = np.array([(s << 21) | c for s, c in states], dtype=np.int64)
+        self.pieces = pa.array(self.bytes, pa.large_binary())
         # an open hash table, two thirds empty or more; a free place has key -1
         self.shift = np.uint64(64 - max(4, (3 * len(keys)).bit_length()))
         self.keys = np.full(1 << (64 - int(self.shift)), -1, dtype=np.int64)
@@ -388,6 +389,17 @@ def decode(ids: np.ndarray, vocab: Vocabulary) -> bytes:
     return b"".join(map(vocab.bytes.__getitem__, ids.tolist()))[1:]
 
 
+def decode_all(ids: list[np.ndarray], vocab: Vocabulary) -> list[bytes]:
+    """``decode`` of every list, the pieces of all fetched in one go."""
+    if not ids:
+        return []
+    found = vocab.pieces.take(pa.array(np.concatenate(ids)))
+    offsets = np.frombuffer(found.buffers()[1], dtype=np.int64)[found.offset:]
+    ends = offsets[np.cumsum([0, *map(len, ids)])].tolist()
+    data = memoryview(found.buffers()[2] or b"")
+    return [bytes(data[a + 1:b]) for a, b in itertools.pairwise(ends)]
+
+
 ADDED = {"sample": pa.int32(), "ids": pa.binary(), "n_pieces": pa.int64(), "log_prob": pa.float64(),
          "perturbed": pa.float64(), "log_inclusion": pa.float64()}
 
@@ -431,7 +443,7 @@ def sample_segmentations(docs: DataFrame, model: str, k: int = 2, alpha: float =
                 pa.array([i for s in found for i in range(len(s))], pa.int32()),
                 pa.array([i.tobytes() for i in ids], pa.binary()), pa.array([len(i) for i in ids], pa.int64()),
                 *[pa.array([s[c] for s in flat], pa.float64()) for c in ("log_prob", "perturbed", "log_inclusion")],
-                *[pa.array([decode(i, vocab) for i in ids], pa.binary()).cast(pa.string())] * decoded,
+                *[pa.array(decode_all(ids, vocab), pa.binary()).cast(pa.string()) for _ in range(decoded)],
             ], names=[*[f"c{i}" for i in range(len(rest))], *added])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}

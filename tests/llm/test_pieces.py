@@ -149,3 +149,9 @@ def test_a_million_characters_without_a_blank(text, vocab):
     assert len({s["ids"] for s in found}) == len(found)
     for s in found:
         assert pieces.decode(np.array(s["ids"]), vocab).decode() == text
+
+
+def test_decoding_together_equals_one_by_one(vocab):
+    found = [np.array(s["ids"], dtype="<u4") for d in samples(["Hello world", "", "ça va 漢\n", " ", "two  blanks"], 3, vocab) for s in d]
+    assert pieces.decode_all(found, vocab) == [pieces.decode(i, vocab) for i in found]
+    assert pieces.decode_all([], vocab) == [] and pieces.decode_all([found[0][:0]], vocab) == [b""]
