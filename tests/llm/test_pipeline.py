@@ -39,7 +39,7 @@ def tables(spark, tmp_path_factory):
 def test_stages_are_what_they_should_be():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality rules", "near duplicates", "substring dedup", "decontamination", "sentencepiece"]
     assert E.queries()["pipeline"] is corpus_pipeline.run
-    assert {q.split("_")[0] for q in queries.QUERIES if q.startswith("op")} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in queries.QUERIES if q.startswith("op")} == {f"op{n}" for n in range(1, 14)}
 
 
 def test_every_stage_against_brute_force(spark, tables):
