@@ -1,10 +1,12 @@
 """Data drift between a reference and a current table (D1o–D4o, S11).
 
-All columns are tested in one pass: both tables are stacked into
-(group, column, value, side), reduced to counts per distinct value
-(partial aggregation), and the two empirical CDFs are running sums over the
-value order (``global_running_sum`` with the column as the restart key, so
-a column or value holding a third of all rows is still split over tasks).
+All columns are tested together: both tables are stacked into (column, value)
+and reduced to counts per distinct value (partial aggregation).  The reference's
+ranks at every value are one running sum over the value order
+(``global_running_sum`` with the column as the restart key, so a column or value
+holding a third of all rows is still split over tasks), each group's ranks
+another, and the reference's quantiles at a group's ranks are an as-of lookup in
+the rank order (``running_last``, whose slices hand on their last value).
 
 The test of a column is a parameter, never a consequence of the row count:
 ``stattest`` for all columns but those named ``categorical``.  All statistics
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stable
-from .ranking import global_running_sum
+from .ranking import global_running_sum, running_last
 
 # Drift thresholds.
 DRIFT_SHARE_THRESHOLD = 0.3
@@ -50,11 +52,11 @@ def common_columns(ref: DataFrame, cur: DataFrame, wanted=DRIFT_COLUMNS) -> list
     return [c for c in wanted if c in ref.columns and c in cur.columns]
 
 
-def _stack(df: DataFrame, cols, side: int, group: str | None):
+def _stack(df: DataFrame, cols, group: str | None):
     g = F.col(group).cast("string") if group else F.lit("all")
     return df.select(g.alias("grp"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("col_name"), F.col(c).cast("double").alias("v")) for c in cols
-    ])).alias("s")).select("grp", "s.col_name", "s.v", F.lit(side).alias("side"))
+    ])).alias("s")).select("grp", "s.col_name", "s.v")
 
 
 def ks_p_value(d, en):
@@ -73,6 +75,25 @@ def ks_p_value(d, en):
     return F.least(F.lit(1.0), F.greatest(F.lit(0.0), q))
 
 
+def _reference(values: DataFrame, spark, cols) -> tuple:
+    """One row per column: rows ``N_r``, distinct values ``U_r``, mean, population
+    deviation and the counts ``r0``… of the PSI bins of the reference; and the
+    bin of a row that carries them."""
+    per = values.where((F.col("nr") > 0) & F.col("v").isNotNull())
+    first = per.groupBy("col_name").agg(
+        F.sum("nr").alias("N_r"), F.count(F.lit(1)).alias("U_r"), F.min("v").alias("lo"), F.max("v").alias("hi"),
+        (F.sum(F.col("nr") * F.col("v")) / F.sum("nr")).alias("mean"))
+    width = (F.col("hi") - F.col("lo")) / PSI_BINS
+    psi_bin = F.when(width > 0, F.least(F.lit(PSI_BINS - 1), F.greatest(F.lit(0), F.floor(
+        (F.col("v") - F.col("lo")) / width)))).otherwise(F.lit(0)).cast("int")
+    second = (per.join(F.broadcast(first.select("col_name", "lo", "hi", "mean")), "col_name").groupBy("col_name").agg(
+        F.sqrt(F.sum(F.col("nr") * F.pow(F.col("v") - F.col("mean"), 2)) / F.sum("nr")).alias("ref_std"),
+        *[F.sum(F.when(psi_bin == k, F.col("nr")).otherwise(0)).alias(f"r{k}") for k in range(PSI_BINS)]))
+    names = spark.createDataFrame([(c,) for c in cols], "col_name string")  # a column without values has its row too
+    out = names.join(first, "col_name", "left").join(second, "col_name", "left")
+    return stable(out.na.fill({"N_r": 0, "U_r": 0})), psi_bin
+
+
 def column_drift(ref: DataFrame, cur: DataFrame, cols=None, group: str | None = None,
                  stattest: str = "wasserstein", categorical=CATEGORICAL_COLUMNS) -> DataFrame:
     """D1o: one row per (group, column) with n_ref, n_cur, distinct values,
@@ -80,71 +101,92 @@ def column_drift(ref: DataFrame, cur: DataFrame, cols=None, group: str | None =
     that decides and the drift flag.
 
     With ``group`` the current table is split by that column (D4o weekly
-    tracking) and every group is compared with the whole reference."""
+    tracking) and every group is compared with the whole reference.  The
+    reference is ranked once for all groups and never repeated per group: work and
+    shuffles follow the distinct values of the reference plus those of each group.
+
+    NULLs take no part.  A column without values on either side has its row,
+    with NULL statistics; an empty current table has no group."""
     if stattest not in ("ks", "wasserstein", "jensenshannon"):
         raise ValueError(f"unknown test: {stattest}")
-    cols = list(cols or common_columns(ref, cur))
-    # reduce both sides to counts per distinct value before anything else
-    ref_counts = (_stack(ref, cols, 0, None).where(F.col("v").isNotNull())
-                  .groupBy("col_name", "v").agg(F.count(F.lit(1)).alias("nr")))
-    cur_counts = (_stack(cur, cols, 1, group).where(F.col("v").isNotNull())
-                  .groupBy("grp", "col_name", "v").agg(F.count(F.lit(1)).alias("nc")))
-    if group:
-        # the group labels (e.g. 8 weeks) are few; each reference value row is
-        # repeated once per group so every group is compared with the whole reference
-        labels = [r["grp"] for r in cur_counts.select("grp").distinct().collect()]  # group labels
-        ref_g = ref_counts.withColumn("grp", F.explode(F.array(*[F.lit(x) for x in labels])))
-    else:
-        ref_g = ref_counts.withColumn("grp", F.lit("all"))
-    counts = stable(
-        ref_g.select("grp", "col_name", "v", "nr", F.lit(0).cast("bigint").alias("nc"))
-        .unionByName(cur_counts.select("grp", "col_name", "v", F.lit(0).cast("bigint").alias("nr"), "nc"))
-        .groupBy("grp", "col_name", "v").agg(F.sum("nr").alias("nr"), F.sum("nc").alias("nc")))
-    ranked = global_running_sum(counts, [F.asc("v")],
-                                {"cr": F.col("nr"), "cc": F.col("nc"), "pos": F.lit(1)},
-                                partition_by=["grp", "col_name"])
-    tot = counts.groupBy("grp", "col_name").agg(
-        F.sum("nr").alias("N_r"), F.sum("nc").alias("N_c"), F.count(F.lit(1)).alias("n_unique"),
-        F.min(F.when(F.col("nr") > 0, F.col("v"))).alias("ref_min"),
-        F.max(F.when(F.col("nr") > 0, F.col("v"))).alias("ref_max"))
-    r = ranked.join(tot, ["grp", "col_name"])
-    r = r.withColumns({"fr": F.col("cr") / F.col("N_r"), "fc": F.col("cc") / F.col("N_c")})
-    nxt = r.select("grp", "col_name", (F.col("pos") - 1).alias("pos"), F.col("v").alias("v_next"))
-    r = r.join(nxt, ["grp", "col_name", "pos"], "left")
-    # reference moments for the Wasserstein norm (population std) and PSI bins
-    # from the reduced counts, two passes (mean, then Σ n·(v − mean)²)
-    ref_vals = counts.where(F.col("nr") > 0)
-    mean = ref_vals.groupBy("grp", "col_name").agg(
-        (F.sum(F.col("nr") * F.col("v")) / F.sum("nr")).alias("__mean"))
-    mom = (ref_vals.join(mean, ["grp", "col_name"]).groupBy("grp", "col_name")
-           .agg(F.sqrt(F.sum(F.col("nr") * F.pow(F.col("v") - F.col("__mean"), 2)) / F.sum("nr"))
-                .alias("ref_std")))
-    r = r.join(F.broadcast(mom), ["grp", "col_name"])  # one row per (group, column)
-    width = (F.col("ref_max") - F.col("ref_min")) / PSI_BINS
-    b = F.when(width > 0, F.least(F.lit(PSI_BINS - 1), F.greatest(F.lit(0), F.floor(
-        (F.col("v") - F.col("ref_min")) / width)))).otherwise(F.lit(0)).cast("int")
-    r = r.withColumn("bin", b)
-    pr, pc = F.col("nr") / F.col("N_r"), F.col("nc") / F.col("N_c")
-    m = (pr + pc) / 2
-    kl = lambda p: F.when(p > 0, p * F.log(p / m)).otherwise(F.lit(0.0))
-    agg = r.groupBy("grp", "col_name", "N_r", "N_c", "n_unique", "ref_std").agg(
-        F.max(F.abs(F.col("fr") - F.col("fc"))).alias("ks_stat"),
-        F.sum(F.when(F.col("v_next").isNotNull(),
-                     F.abs(F.col("fr") - F.col("fc")) * (F.col("v_next") - F.col("v")))
-              .otherwise(F.lit(0.0))).alias("wasserstein"),
-        F.sum(0.5 * kl(pr) + 0.5 * kl(pc)).alias("js_divergence"))
-    psi = (r.groupBy("grp", "col_name", "bin", "N_r", "N_c")
-           .agg((F.sum("nr") / F.first("N_r")).alias("br"), (F.sum("nc") / F.first("N_c")).alias("bc"))
-           .withColumns({"br": F.greatest("br", F.lit(PSI_EPS)), "bc": F.greatest("bc", F.lit(PSI_EPS))})
-           .groupBy("grp", "col_name")
-           .agg(F.sum((F.col("bc") - F.col("br")) * F.log(F.col("bc") / F.col("br"))).alias("psi")))
-    out = agg.join(psi, ["grp", "col_name"])
-    en = F.col("N_r") * F.col("N_c") / (F.col("N_r") + F.col("N_c"))
+    cols, spark = list(cols or common_columns(ref, cur)), ref.sparkSession
+    # both sides as counts per distinct value, one row per (column, value): the
+    # reference's count and a cell per group that has the value
+    known = F.col("v").isNotNull()
+    r = (_stack(ref, cols, None).where(known).groupBy("col_name", "v").agg(F.count(F.lit(1)).alias("nr"))
+         .withColumn("cell", F.lit(None).cast("struct<grp: string, nc: bigint>")))
+    c = (_stack(cur, cols, group).groupBy("grp", "col_name", "v").agg(F.count("v").alias("nc"))
+         .select("col_name", "v", F.lit(0).cast("bigint").alias("nr"), F.struct("grp", "nc").alias("cell")))
+    values = stable(r.unionByName(c).groupBy("col_name", "v").agg(F.sum("nr").alias("nr"),
+                                                                  F.collect_list("cell").alias("cells")))
+    per_col, psi_bin = _reference(values, spark, cols)
+    per_grp = (values.select("col_name", F.explode("cells").alias("cell")).groupBy(F.col("cell.grp").alias("grp"), "col_name")
+               .agg(F.sum("cell.nc").alias("N_c")))
+    if not group:  # an empty current table still has its row
+        per_grp = (spark.createDataFrame([("all", x) for x in cols], "grp string, col_name string")
+                   .join(per_grp, ["grp", "col_name"], "left").na.fill({"N_c": 0}))
+
+    # ranks of the reference at every value: n rows up to it, and the sum of their
+    # distances from the mean
+    ranked = values.where(known).join(F.broadcast(per_col), "col_name")
+    ranked = stable(global_running_sum(
+        ranked.select("col_name", "v", "nr", "cells", (F.col("v") - F.col("mean")).alias("x"), "N_r", psi_bin.alias("bin")),
+        [F.asc("v")], {"s0": F.col("nr"), "s1": F.col("nr") * F.col("x")}, partition_by=["col_name"]))
+    cells = (ranked.select("col_name", "v", "x", "nr", "s0", "s1", "N_r", "bin", F.explode("cells").alias("cell"))
+             .select("*", F.col("cell.grp").alias("grp"), F.col("cell.nc").alias("nc")).drop("cell"))
+    cells = global_running_sum(cells, [F.asc("v")], {"cc": F.col("nc")}, partition_by=["grp", "col_name"])
+    cells = cells.join(per_grp, ["grp", "col_name"])
+    # Wasserstein in rank space: a value's rows take the ranks lo..hi, scaled to the
+    # reference's count; there the reference's quantiles lie below the value up to
+    # rank s0 and above it from there on, so the integral of |quantile − value|
+    # follows from the quantiles' running integral at lo, hi and s0 (which is s1)
+    scale = lambda n: n * F.col("N_r") / F.col("N_c")
+    cells = cells.withColumns({"lo": scale(F.col("cc") - F.col("nc")), "hi": scale(F.col("cc"))})
+    x, lo, hi, s0 = F.col("x"), F.col("lo"), F.col("hi"), F.col("s0")
+    cells = stable(cells.withColumn(
+        "own", F.when(s0 < lo, x * (lo - hi)).when(s0 > hi, x * (hi - lo)).otherwise(x * (2 * s0 - lo - hi) - 2 * F.col("s1"))))
+    border = F.explode(F.array(
+        F.struct(lo.alias("rank"), F.when(s0 >= lo, 1).otherwise(-1).alias("sign")),
+        F.struct(hi.alias("rank"), F.when(s0 <= hi, 1).otherwise(-1).alias("sign"))))
+    asked = (cells.where("N_r > 0").select("grp", "col_name", border.alias("b"))
+             .select("col_name", F.col("b.rank").alias("rank"), F.lit(1).alias("side"), "grp", F.col("b.sign").alias("sign"),
+                     F.lit(None).cast("struct<start: double, below: double, x: double>").alias("step")))
+    start = (F.col("s0") - F.col("nr")).cast("double")
+    steps = ranked.where("nr > 0").select(
+        "col_name", start.alias("rank"), F.lit(0).alias("side"), F.lit(None).cast("string").alias("grp"), F.lit(None).cast("int").alias("sign"),
+        F.struct(start.alias("start"), (F.col("s1") - F.col("nr") * F.col("x")).alias("below"), F.col("x").alias("x")).alias("step"))
+    found = running_last(steps.unionByName(asked), ["rank", "side"], "step", "at", ["col_name"]).where("side = 1")
+    borders = found.groupBy("grp", "col_name").agg(F.sum(F.col("sign") * (
+        F.col("at.below") + (F.col("rank") - F.col("at.start")) * F.col("at.x"))).alias("borders"))
+
+    # values of the reference alone need no row per group: between two of a group's
+    # values its share stands still, and the reference's is extreme at the ends
+    gap = lambda n, m: F.abs(F.try_divide(n, F.col("N_r")) - m / F.col("N_c"))
+    pr, pc = F.try_divide("nr", "N_r"), F.col("nc") / F.col("N_c")
+    kl = lambda p: F.when(p > 0, p * F.log(2 * p / (pr + pc))).otherwise(F.lit(0.0))
+    per_cell = cells.where("N_r > 0").groupBy("grp", "col_name").agg(
+        F.max(F.greatest(gap(s0, F.col("cc")), gap(s0 - F.col("nr"), F.col("cc") - F.col("nc")))).alias("ks_stat"),
+        F.sum("own").alias("own"), F.sum(0.5 * kl(pr) + 0.5 * kl(pc)).alias("js"), F.sum("nr").alias("shared"),
+        *[F.sum(F.when(F.col("bin") == k, F.col("nc")).otherwise(0)).alias(f"c{k}") for k in range(PSI_BINS)])
+    new = cells.groupBy("grp", "col_name").agg(F.count_if(F.col("nr") == 0).alias("new"))
+    # one row per (group, column) from here on
+    out = (per_grp.join(F.broadcast(per_col), "col_name").join(per_cell, ["grp", "col_name"], "left")
+           .join(borders, ["grp", "col_name"], "left").join(new, ["grp", "col_name"], "left"))
+    share = lambda n, total: F.greatest(F.try_divide(n, F.col(total)), F.lit(PSI_EPS))
+    psi = sum(((share(F.col(f"c{k}"), "N_c") - share(F.col(f"r{k}"), "N_r"))
+               * F.log(share(F.col(f"c{k}"), "N_c") / share(F.col(f"r{k}"), "N_r")) for k in range(PSI_BINS)), F.lit(0.0))
+    out = out.withColumns({
+        "n_unique": F.col("U_r") + F.coalesce("new", F.lit(0)),
+        "wasserstein": F.when(F.col("borders").isNotNull(), F.try_divide(
+            F.greatest(F.lit(0.0), F.col("own") + F.col("borders")), F.col("N_r"))),
+        "js_divergence": F.col("js") + F.lit(0.5 * math.log(2.0)) * F.try_divide(F.col("N_r") - F.col("shared"), F.col("N_r")),
+        "psi": F.when((F.col("N_r") > 0) & (F.col("N_c") > 0), psi)})
+    en = F.when((F.col("N_r") > 0) & (F.col("N_c") > 0), F.col("N_r") * F.try_divide(F.col("N_c"), F.col("N_r") + F.col("N_c")))
     out = out.withColumns({
-        "ks_p_value": ks_p_value(F.col("ks_stat"), en),
-        "wasserstein_normed": F.when(F.col("ref_std") > 0, F.col("wasserstein") / F.col("ref_std"))
+        "ks_p_value": F.when(en.isNotNull(), ks_p_value(F.col("ks_stat"), en)),
+        "wasserstein_normed": F.when(F.col("ref_std") > 0, F.try_divide("wasserstein", "ref_std"))
                                .otherwise(F.col("wasserstein")),
-        "js_distance": F.sqrt(F.greatest(F.col("js_divergence"), F.lit(0.0))),
+        "js_distance": F.when(en.isNotNull(), F.sqrt(F.greatest(F.col("js_divergence"), F.lit(0.0)))),
     })
     out = out.withColumn("stattest", F.when(F.col("col_name").isin(*categorical), F.lit("jensenshannon"))
                          .otherwise(F.lit(stattest)))

@@ -79,6 +79,32 @@ def global_running_sum(df: DataFrame, order_by: list, values: dict,
         for t, nm in zip(tmp, names)])
 
 
+def running_last(df: DataFrame, order_by: list, value: str, out: str, partition_by: list) -> DataFrame:
+    """Add ``out``: the last non-null ``value`` at or before the row in the order
+    of the columns ``order_by`` within its group – an as-of lookup, if ``df``
+    stacks the rows asked for (``value`` null) and those that answer.
+
+    The order is cut into slices as in ``global_running_sum``; a slice takes
+    over the last value of the slices before it, one row per slice and group
+    that lies in several slices."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    work = df.withColumn("__row_no", F.monotonically_increasing_id())
+    order = [*order_by, "__row_no"]
+    ranged = stable(work.repartitionByRange(*partition_by, *order).withColumn("__p", F.spark_partition_id()))
+    totals = ranged.groupBy("__p", *partition_by).agg(
+        F.max_by(value, F.when(F.col(value).isNotNull(), F.struct(*order))).alias("__last"))
+    several = totals.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
+    before = Window.partitionBy(*partition_by).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (totals.join(F.broadcast(several), partition_by)
+               .withColumn("__carry", F.last("__last", ignorenulls=True).over(before))
+               .select("__p", *partition_by, "__carry"))
+    w = (Window.partitionBy("__p", *partition_by).orderBy(*order)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    local = ranged.repartitionById(n, "__p").withColumn(out, F.last(value, ignorenulls=True).over(w))
+    joined = local.join(F.broadcast(carried), ["__p", *partition_by], "left")  # at most 2 rows per slice
+    return joined.select(*df.columns, F.coalesce(out, "__carry").alias(out))
+
+
 def average_percent_rank(df: DataFrame, value: str, out: str = "percentile",
                          partitions: int | None = None) -> DataFrame:
     """Pandas ``rank(pct=True)`` – average rank of ties divided by n.
