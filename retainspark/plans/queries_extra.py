@@ -39,6 +39,30 @@ def kde_tenure_by_churn(spark, sf_dir):
     return P.kde(f, "tenure", "Churn_binary", grid_points=200)
 
 
+def _own_grid_sql(col: str) -> str:
+    return S.with_(*S.FEATURE_CHAIN, f"""
+d AS (SELECT Churn_binary, CAST({col} AS DOUBLE) AS v, count(*) AS kk FROM feat GROUP BY 1, 2),
+st AS (SELECT Churn_binary, count({col}) AS n, stddev_samp(CAST({col} AS DOUBLE)) AS sd,
+              min(CAST({col} AS DOUBLE)) AS lo, max(CAST({col} AS DOUBLE)) AS hi FROM feat GROUP BY 1),
+pts AS (SELECT d.Churn_binary, CAST(i AS INTEGER) AS g, lo - (hi - lo) / 2 + i * ((hi - lo) * 2 / 999.0e0) AS t,
+               d.v, d.kk, st.n, st.sd * pow(st.n, -0.2e0) AS bw
+        FROM d JOIN st USING (Churn_binary), range(0, 1000) r(i))""") + f"""
+SELECT Churn_binary, g, t, sum(kk * exp(-0.5e0 * pow((t - v) / bw, 2)) / (n * bw * {SQRT_2PI!r}e0)) AS density
+FROM pts GROUP BY 1, 2, 3"""
+
+
+@query("kde_tenure_own_grid", _own_grid_sql("tenure"), doubles=("t", "density"))
+def kde_tenure_own_grid(spark, sf_dir):
+    """Density of tenure, each churn label on its own grid of 1000 points."""
+    return P.kde(features_table(spark, sf_dir, with_high_value=False), "tenure", "Churn_binary", 1000, own_grid=True)
+
+
+@query("kde_charges_own_grid", _own_grid_sql("MonthlyCharges"), doubles=("t", "density"))
+def kde_charges_own_grid(spark, sf_dir):
+    """Density of monthly charges, each churn label on its own grid of 1000 points."""
+    return P.kde(features_table(spark, sf_dir, with_high_value=False), "MonthlyCharges", "Churn_binary", 1000, own_grid=True)
+
+
 @query("km_nearest_horizons", S.with_(*S.FEATURE_CHAIN, """
 kc AS (SELECT Contract_encoded, CAST(tenure AS DOUBLE) AS t, count(*) AS removed,
               sum(Churn_binary) AS events FROM feat GROUP BY 1, 2),
