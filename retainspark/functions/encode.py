@@ -83,9 +83,10 @@ PROFILES = {
 }
 
 
-def encode_customers(raw: DataFrame, profile: str = "etl") -> DataFrame:
+def encode_customers(raw: DataFrame, profile: str = "etl", keep=()) -> DataFrame:
     """P1–P9 + P19 over the raw customer schema; returns the feature-table
-    naming (CamelCase) with raw categoricals kept in snake_case."""
+    naming (CamelCase) with raw categoricals kept in snake_case, and the
+    columns ``keep`` unchanged."""
     p = PROFILES[profile]
     c = F.col
     out = {"customerID": c("customer_id")}
@@ -117,4 +118,4 @@ def encode_customers(raw: DataFrame, profile: str = "etl") -> DataFrame:
     out["internet_service"] = c("internet_service")
     out["contract"] = c("contract")
     out["payment_method"] = c("payment_method")
-    return raw.select(*[v.alias(k) for k, v in out.items()])
+    return raw.select(*[v.alias(k) for k, v in out.items()], *keep)

@@ -100,6 +100,21 @@ def insert_ignore_customers(spark, sf_dir):
     return IO.insert_ignore(i, path, "customer_id", "loaded_at")
 
 
+@query("insert_missing_keys", S.with_(S.CUSTOMERS_RAW, """
+pos AS (SELECT *, row_number() OVER (ORDER BY customer_id) - 1 AS p FROM customers_raw)""") + """
+SELECT CASE WHEN CAST(substring(customer_id, 2) AS BIGINT) % 3 = 0 THEN printf('CUST_%05d', p) ELSE customer_id END AS customer_id,
+       contract, tenure, customer_id AS source_row FROM pos""")
+def insert_missing_keys(spark, sf_dir):
+    """A load in which every third key is missing; such rows get a key made of
+    their position in the load's order, and the same load again inserts nothing."""
+    raw = customers_raw(spark, sf_dir).select("customer_id", "contract", "tenure", F.col("customer_id").alias("source_row"))
+    third = F.expr("CAST(substring(source_row, 2) AS BIGINT)") % 3 == 0
+    load = raw.withColumn("customer_id", F.when(~third, F.col("customer_id")))
+    path = IO.work_dir(spark, "keyless")
+    IO.insert_ignore(load, path, "customer_id", "source_row")
+    return IO.insert_ignore(load, path, "customer_id", "source_row")
+
+
 @query("action_log_append", f"""
 SELECT recommended_action, CAST(2 * count(*) AS BIGINT) AS logged
 FROM ({ORACLES['retention_targeting']}) targeted GROUP BY recommended_action""")
@@ -234,3 +249,24 @@ def streaming_scores(spark, sf_dir):
     run_incremental_scoring(spark, src, tgt, ck)
     return IO.read_current(spark, tgt).select("user_id", "churn_probability", "churn_predicted",
                                               "uplift_score", "segment", "clv_proxy")
+
+
+@query("streaming_events", S.with_(*S.SCORE_CHAIN, """
+t AS (SELECT max(o_orderdate) AS t0 FROM orders)""") + """
+SELECT user_id, churn_probability, segment,
+       t0 + (CAST(substring(user_id, 2) AS BIGINT) % 5) * INTERVAL 1 HOUR AS scored_at FROM bs, t""",
+       doubles=("churn_probability",))
+def streaming_events(spark, sf_dir):
+    """§2.9 with event time: three file drops, the second with earlier events of all
+    customers, the third with the first's events delivered again.  The table
+    must hold each customer's newest event once."""
+    base = IO.work_dir(spark, "events")
+    src, tgt, ck = (IO.join_path(base, x) for x in ("incoming", "scores", "checkpoint"))
+    at = F.lit(_batch_start(spark, sf_dir)).cast("timestamp")
+    hours = F.expr("make_interval(0, 0, 0, 0, CAST(CAST(substring(customer_id, 2) AS BIGINT) % 5 AS INT))")
+    raw = customers_raw(spark, sf_dir).withColumn("event_time", at + hours)
+    early = raw.withColumns({"event_time": F.col("event_time") - F.expr("INTERVAL 6 HOURS"), "contract": F.lit("Two year")})
+    for drop in (raw, early, raw):
+        drop.coalesce(1).write.mode("append").parquet(src)
+    run_incremental_scoring(spark, src, tgt, ck, event_time="event_time", files_per_batch=1)
+    return IO.read_current(spark, tgt).select("user_id", "churn_probability", "segment", "scored_at")

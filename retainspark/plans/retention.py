@@ -45,9 +45,8 @@ def batch_scores(features: DataFrame, threshold=DEFAULT_THRESHOLD,
         seg.alias("segment"),
         rem.cast("double").alias("expected_tenure_remaining"),
         round_half_even("clv_proxy", 2).alias("clv_proxy"),
+        *([] if scored_at is None else [scored_at.alias("scored_at")]),
     )
-    if scored_at is not None:
-        out = out.withColumn("scored_at", scored_at)
     return out
 
 

@@ -1,12 +1,11 @@
 """Sources and sinks.
 
-Keyed writes are expressed as one shuffle on the key: the existing table and
-the incoming batch are unioned with a side tag and reduced per key with
-``max_by`` / ``min_by`` (partial aggregation, so a key repeated in a third of
-the batch is combined map-side).  A new table version is written to a new
-directory and never over the files it reads, so a failed or re-tried job
-leaves the current version intact.  All working folders live under the
-shared checkpoint directory.
+Keyed tables are Parquet partitioned by a hash of the key.  A write reads only the
+buckets that the batch touches, unions them with the batch under a side tag,
+reduces per key with ``max_by`` / ``min_by`` (partial aggregation, so a key repeated
+in a third of the batch is combined map-side) and replaces these buckets by
+Spark's dynamic partition overwrite: what is read and written follows the batch.
+All working folders live under the shared checkpoint directory.
 """
 
 from __future__ import annotations
@@ -18,9 +17,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, stable
 
-VERSION_PREFIX = "_v"
+#: Partition columns of a keyed table: the number of its buckets and a row's.
+BUCKETS, BUCKET = "__buckets", "__bucket"
 
 
 def join_path(*parts: str) -> str:
@@ -75,41 +75,49 @@ def coalesce_source(primary, fallback):
     return None
 
 
-# ------------------------------------------------------------------ versions
-# A keyed table is a folder of version folders plus a small ``_manifest``
-# parquet table with one row per committed version.  Readers only see
-# committed versions, so a folder left by a failed write is invisible and a
-# retry may overwrite it.  Everything goes through Spark's readers and
-# writers, so it works on any filesystem the cluster uses.
+# ------------------------------------------------------------------ keyed tables
 
-MANIFEST = "_manifest"
 
-
-def _versions(spark: SparkSession, path: str) -> list:
+def _stored(spark: SparkSession, path: str):
+    """The keyed table with its partition columns, ``None`` when absent."""
     try:
-        rows = spark.read.parquet(join_path(path, MANIFEST)).select("version").collect()  # one per version
+        return spark.read.parquet(path)
     except AnalysisException:
-        return []
-    return sorted(r["version"] for r in rows)
+        return None
 
 
 def read_current(spark: SparkSession, path: str, schema: T.StructType | None = None):
-    """Latest committed version of a keyed table (``None`` when absent)."""
-    v = _versions(spark, path)
-    if not v:
+    """A keyed table; when absent ``None``, or no rows if ``schema`` is given."""
+    table = _stored(spark, path)
+    if table is None:
         return None if schema is None else spark.createDataFrame([], schema)
-    return spark.read.parquet(join_path(path, f"{VERSION_PREFIX}{v[-1]}"))
+    return table.drop(BUCKETS, BUCKET)
+
 
+def _replace_buckets(incoming: DataFrame, path: str, key: str, buckets: int, merge) -> DataFrame:
+    """Replace each bucket that has rows in ``incoming`` by ``merge`` of its stored
+    rows (or ``None``) and the incoming ones.
 
-def _write_version(df: DataFrame, path: str) -> DataFrame:
-    """Write the next version (never the one being read) and commit it."""
-    spark = df.sparkSession
-    v = _versions(spark, path)
-    nxt = (v[-1] + 1) if v else 0
-    target = join_path(path, f"{VERSION_PREFIX}{nxt}")
-    df.write.mode("overwrite").parquet(target)  # an uncommitted leftover may be replaced
-    spark.createDataFrame([(nxt,)], "version int").write.mode("append").parquet(join_path(path, MANIFEST))
-    return spark.read.parquet(target)
+    A table keeps the number of buckets of its first write.  The merged rows
+    are checkpointed before the first file is replaced, and Spark moves finished files
+    into place at the end of the job, so a failed task or job leaves the table as
+    it was and may be repeated; only a driver lost while it moves them leaves some
+    buckets new and others old, which the repeated write sets right."""
+    spark = incoming.sparkSession
+    table = _stored(spark, path)
+    first = table.select(BUCKETS).head() if table is not None else None
+    n = first[0] if first else buckets
+    bucket = F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(n)).cast("int")
+    new = stable(incoming.withColumn(BUCKET, bucket))
+    touched = [r[0] for r in new.select(BUCKET).distinct().collect()]  # at most n numbers
+    if touched:
+        old = table.where(F.col(BUCKET).isin(touched)).drop(BUCKETS, BUCKET) if first else None
+        out = stable(merge(old, new.drop(BUCKET)))
+        (out.withColumns({BUCKETS: F.lit(n), BUCKET: bucket}).hint("rebalance", F.col(BUCKET))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKETS, BUCKET).parquet(path))
+    elif table is None:
+        return merge(None, new.drop(BUCKET))
+    return read_current(spark, path)
 
 
 # ------------------------------------------------------------------ S6 / S7
@@ -122,49 +130,54 @@ def _tie(df: DataFrame, columns) -> Column:
 
 
 def upsert(incoming: DataFrame, path: str, key: str, order_col: str,
-           created_col: str = "created_at", now=None) -> DataFrame:
+           created_col: str = "created_at", now=None, buckets: int = 16, newest: bool = False) -> DataFrame:
     """Insert new keys; for existing keys replace every column except
     ``created_col`` (which keeps its first value); within the batch the row
     with the greatest ``order_col`` wins, of equal ones the one with the greatest
-    hash of its cells.  Writes a new version and returns it."""
-    spark = incoming.sparkSession
+    hash of its cells.  With ``newest`` a stored row with a greater ``order_col``
+    stays, so batches may come late.  Returns the table.
+
+    ``buckets`` counts for a table's first write; choose it so that a bucket is some
+    hundred MB.  Equal batches leave equal tables."""
     now = now if now is not None else F.current_timestamp()
     payload = [c for c in incoming.columns if c not in (key, created_col)]
     cols = [*payload, created_col]
-    tie = _tie(incoming, payload).alias("__tie")
-    inc = incoming.select(key, *payload, now.alias(created_col), F.lit(1).alias("__side"),
-                          F.col(order_col).alias("__ord"), tie)
-    cur = read_current(spark, path)
-    if cur is not None:
-        inc = cur.select(key, *cols, F.lit(0).alias("__side"), F.col(order_col).alias("__ord"), tie).unionByName(inc)
-    merged = inc.groupBy(key).agg(
-        F.max_by(F.struct(*payload), F.struct("__side", "__ord", "__tie")).alias("__row"),
-        F.min_by(F.col(created_col), F.struct("__side", "__ord", "__tie")).alias(created_col))
-    out = merged.select(key, *[F.col("__row")[c].alias(c) for c in payload], created_col)
-    return _write_version(out, path)
+    # no order beyond these: of equal rows it does not matter which one is taken
+    rank = ("__ord", "__side", "__tie") if newest else ("__side", "__ord", "__tie")
+
+    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        side = lambda df, n: df.select(key, *cols, F.lit(n).alias("__side"), F.col(order_col).alias("__ord"),
+                                       _tie(df, payload).alias("__tie"))
+        rows = side(new, 1) if old is None else side(old, 0).unionByName(side(new, 1))
+        merged = rows.groupBy(key).agg(F.max_by(F.struct(*payload), F.struct(*rank)).alias("__row"),
+                                       F.min_by(F.col(created_col), F.struct("__side", "__ord", "__tie")).alias(created_col))
+        return merged.select(key, *[F.col("__row")[c].alias(c) for c in payload], created_col)
+
+    return _replace_buckets(incoming.select(key, *payload, now.alias(created_col)), path, key, buckets, merge)
 
 
 def insert_ignore(incoming: DataFrame, path: str, key: str, order_col: str,
-                  id_format: str = "CUST_%05d") -> DataFrame:
+                  id_format: str = "CUST_%05d", buckets: int = 16) -> DataFrame:
     """Keys already present are left alone, the first incoming row of a
     new key is inserted; a missing key becomes ``id_format`` of the row's
     position in the order of ``order_col`` and a hash of its cells.  Positions are
-    only computed if a key is missing.  Writes a new version and returns it."""
+    only computed if a key is missing.  Returns the table; ``buckets`` as in
+    ``upsert``."""
     from ..operators.ranking import global_running_sum
-    spark = incoming.sparkSession
     cols = [c for c in incoming.columns if c != key]
     inc = incoming.withColumn("__tie", _tie(incoming, cols))
     if not inc.where(F.col(key).isNull()).isEmpty():
         inc = global_running_sum(inc, [F.asc(order_col), F.asc("__tie"), F.asc(key)], {"__pos": F.lit(1)}, exclusive=True)
         inc = inc.withColumn(key, F.coalesce(F.col(key), F.format_string(id_format, F.col("__pos"))))
-    u = inc.select(key, *cols, F.lit(1).alias("__side"), F.col(order_col).alias("__ord"), "__tie")
-    cur = read_current(spark, path)
-    if cur is not None:
-        u = cur.select(key, *cols, F.lit(0).alias("__side"), F.col(order_col).alias("__ord"),
-                       _tie(cur, cols).alias("__tie")).unionByName(u)
-    merged = u.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct("__side", "__ord", "__tie")).alias("__row"))
-    out = merged.select(key, *[F.col("__row")[c].alias(c) for c in cols])
-    return _write_version(out, path)
+
+    def merge(old: DataFrame | None, new: DataFrame) -> DataFrame:
+        side = lambda df, n: df.select(key, *cols, F.lit(n).alias("__side"), F.col(order_col).alias("__ord"),
+                                       _tie(df, cols).alias("__tie"))
+        rows = side(new, 1) if old is None else side(old, 0).unionByName(side(new, 1))
+        merged = rows.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct("__side", "__ord", "__tie")).alias("__row"))
+        return merged.select(key, *[F.col("__row")[c].alias(c) for c in cols])
+
+    return _replace_buckets(inc.select(key, *cols), path, key, buckets, merge)
 
 
 # ------------------------------------------------------------------ S8 / S9 / S10

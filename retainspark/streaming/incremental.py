@@ -7,6 +7,12 @@ The upsert is idempotent for a given batch (same key → same row), so a
 micro-batch re-run after a failure leaves the same table: together with
 the stream checkpoint this gives exactly-once results.
 
+With an event time, a row's order is the time of its event and not that of its batch:
+the watermark drops rows later than the delay allowed,
+``dropDuplicatesWithinWatermark`` drops events delivered again (state for as long
+as the delay, on the cluster), and the upsert keeps a key's newest event, so rows
+may come late and in any order of batches.
+
 Table-wide quantities (the high-value percentile) cannot be computed on a
 stream; they are taken from the last batch snapshot and passed in.
 """
@@ -37,27 +43,40 @@ RAW_SCHEMA = T.StructType([
 ])
 
 
-def score_stream(raw: DataFrame, threshold=0.5, high_value_threshold=None) -> DataFrame:
-    """Stateless scoring plan over a (streaming or batch) raw-customer frame."""
-    feats = derive_features(encode_customers(raw, "etl"), "etl", with_high_value=False)
+def score_stream(raw: DataFrame, threshold=0.5, high_value_threshold=None, event_time: str | None = None) -> DataFrame:
+    """Stateless scoring plan over a (streaming or batch) raw-customer frame;
+    ``scored_at`` is the row's ``event_time``, or the batch's time without one."""
+    feats = derive_features(encode_customers(raw, "etl", keep=[event_time] if event_time else []), "etl", with_high_value=False)
     if high_value_threshold is not None:
         feats = feats.withColumn("is_high_value",
                                  (F.col("clv_proxy") > F.lit(float(high_value_threshold))).cast("int"))
-    return batch_scores(feats, threshold=threshold, scored_at=F.current_timestamp())
+    return batch_scores(feats, threshold=threshold, scored_at=F.col(event_time) if event_time else F.current_timestamp())
 
 
 def run_incremental_scoring(spark: SparkSession, source_dir: str, target_path: str,
                             checkpoint_location: str, threshold=0.5, available_now: bool = True,
-                            processing_time: str | None = None):
+                            processing_time: str | None = None, event_time: str | None = None,
+                            delay: str = "1 day", files_per_batch: int | None = None):
     """Start the stream: parquet files arriving in ``source_dir`` → scores →
     ``foreachBatch`` upsert into ``target_path``.  With ``available_now`` it
-    processes what is there and stops (returns after termination)."""
-    raw = spark.readStream.schema(RAW_SCHEMA).parquet(source_dir)
-    scores = score_stream(raw, threshold)
+    processes what is there and stops (returns after termination).
+
+    ``event_time`` names a timestamp column of the files.  An event is a customer and
+    a time: one delivered again is dropped, one more than ``delay`` older than the
+    newest of the batches before is too late and dropped (a NULL time counts as too
+    late), of the others the newest of a customer stays in the table; of different
+    rows of one event the first to come counts."""
+    schema = T.StructType([*RAW_SCHEMA.fields, *([T.StructField(event_time, T.TimestampType())] if event_time else [])])
+    reader = spark.readStream.schema(schema)
+    raw = (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(source_dir)
+    if event_time:
+        raw = (raw.where(F.col(event_time).isNotNull()).withWatermark(event_time, delay)
+               .dropDuplicatesWithinWatermark(["customer_id", event_time]))
+    scores = score_stream(raw, threshold, event_time=event_time)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
         if not batch.isEmpty():
-            upsert(batch, target_path, "user_id", "scored_at")
+            upsert(batch, target_path, "user_id", "scored_at", newest=event_time is not None)
 
     w = (scores.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint_location)
          .outputMode("update"))
