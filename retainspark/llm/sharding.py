@@ -6,21 +6,24 @@ by counting, not by sorting: exact byte sums between candidate boundaries
 holds each target, until every splitter meets the tolerance.  Only a slim table
 (key, size) takes part in that; afterwards the rows are exchanged once.
 
-Each shard is made of ``ranges`` splitter ranges, so that the sort and the slots
-of one shard spread over as many tasks; their exact row counts are known from
-the same histogram and give each range its first slot.
+Each shard is made of splitter ranges, as many as the counted bytes ask for, so
+that the sort and the slots of one shard spread over as many tasks and a task's
+rows do not grow with the table; the ranges' exact row counts give each its first slot.
 """
 
 from __future__ import annotations
 
 import dataclasses
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from retainspark.llm.common import MIN_LONG, id_key, materialise, require
 
-#: Probes of a splitter in one round.
-PROBES = 64
+#: Probes of a splitter in one round, and the most of all splitters together.
+PROBES, ALL_PROBES = 64, 1 << 18
+#: Splitters are kept on the driver; up to so many.
+MAX_SPLITTERS = 1 << 14
 
 
 #: Rows are ordered by these: the key, a hash of the text, a row number.
@@ -40,35 +43,65 @@ class Splitter:
     prefix: tuple = ()
     done: bool = False
 
-    @property
-    def step(self) -> int:
-        return -(-(self.high - self.low) // PROBES)
+    def step(self, probes: int) -> int:
+        return -(-(self.high - self.low) // probes)
 
     @property
     def place(self) -> tuple:
         return self.prefix, self.low, self.high
 
+    @property
+    def start(self) -> tuple:
+        """The first place in ``ORDER`` beyond the boundary."""
+        return (*self.prefix, self.low, MIN_LONG, MIN_LONG)[:len(ORDER)]
+
+
+def _longs(values) -> Column:
+    return F.lit(np.array(list(values), dtype=np.int64))
+
+
+def _count_from(starts: list[tuple]) -> Column:
+    """How many of ``starts``, places in ``ORDER`` in ascending order, lie at or before
+    a row: bisection, so the expression has the same size for any number of them."""
+    if not starts:
+        return F.lit(0)
+    n, tables = len(starts), [_longs(c) for c in zip(*starts, strict=True)]
 
-def _probe(slim: DataFrame, open_: list[Splitter]) -> dict:
+    def step(pos: Column, width: Column) -> Column:
+        at = F.least(pos + width, F.lit(n))
+        reached = F.lit(True)
+        for column, table in reversed(list(zip(ORDER, tables, strict=True))):
+            value = F.element_at(table, at)
+            reached = (value < F.col(column)) | ((value == F.col(column)) & reached)
+        return F.when((pos + width <= n) & reached, pos + width).otherwise(pos)
+
+    widths = F.array(*[F.lit(1 << b) for b in reversed(range(n.bit_length()))])
+    return F.aggregate(widths, F.lit(0), step)
+
+
+def _probe(slim: DataFrame, open_: list[Splitter], probes: int) -> dict:
     """Exact bytes of every probe bin of every open interval, in one pass with
-    map-side combine."""
+    map-side combine.  Two open intervals are the same or have no row in common."""
     wide = lambda x: x.cast("decimal(38,0)")  # noqa: E731  a difference of two longs need not be a long
-    places = list(dict.fromkeys(s.place for s in open_))
-    bins = []
-    for n, (prefix, low, high) in enumerate(places):
-        column = F.col(ORDER[len(prefix)])
-        inside = (column >= low) & (column <= high - 1)
-        for c, v in zip(ORDER, prefix, strict=False):
-            inside &= F.col(c) == v
-        # whole division: a quotient with decimals is rounded, and may come out a bin too high
-        at = F.call_function("div", wide(column) - wide(F.lit(low)), wide(F.lit(-(-(high - low) // PROBES)))).cast("int")
-        bins.append(F.when(inside, F.struct(F.lit(n).alias("place"), at.alias("bin"), column.alias("at"))))
-    rows = (slim.select(F.explode(F.array_compact(F.array(*bins))).alias("b"), "size")
-            .groupBy("b.place", "b.bin")
-            .agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"), F.max("b.at").alias("last")).collect())
+    first = {s.place: s for s in sorted(open_, key=lambda s: s.start)}
+    places = list(first)
+    of = lambda values: F.element_at(_longs(values), F.greatest("place", F.lit(1)))  # noqa: E731  of a row's interval
+    level = of(len(p) for p, _, _ in places)
+    inside = F.lit(True)
+    for i, c in enumerate(ORDER[:-1]):  # the columns before the interval's own must be its prefix
+        inside &= (level <= i) | (F.col(c) == of(s.start[i] for s in first.values()))
+    low, last = of(low for _, low, _ in places), of(high - 1 for _, _, high in places)
+    value = F.element_at(F.array(*ORDER), level.cast("int") + 1)
+    # whole division: a quotient with decimals is rounded, and may come out a bin too high
+    at = F.call_function("div", wide(value) - wide(low), wide(of(s.step(probes) for s in first.values()))).cast("int")
+    # exploded, so that the bisection runs once a row and not for each use of its result
+    place = F.explode(F.array(_count_from([s.start for s in first.values()]))).alias("place")
+    rows = (slim.select("*", place).where((F.col("place") > 0) & inside & (value >= low) & (value <= last)).select("place", at.alias("bin"), value.alias("at"), "size")
+            .groupBy("place", "bin").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows"), F.max("at").alias("last"))
+            .collect())
     found = {p: [] for p in places}
     for r in sorted(rows, key=lambda r: r["bin"]):
-        found[places[r["place"]]].append(r)
+        found[places[r["place"] - 1]].append(r)
     return found
 
 
@@ -78,13 +111,17 @@ def find_splitters(slim: DataFrame, count: int, total: int, tolerance: int = 0)
     target stays before the splitter; with a positive ``tolerance`` any boundary
     at most so many bytes short of its target will do.
 
-    What comes to the driver is at most ``PROBES`` sums per splitter and round."""
+    What comes to the driver is at most ``PROBES`` sums per splitter and round, and
+    ``ALL_PROBES`` in all."""
+    if count > MAX_SPLITTERS:
+        raise ValueError(f"at most {MAX_SPLITTERS} parts")
     ends = slim.agg(*[f(c) for c in ORDER for f in (F.min, F.max)]).first()
     splitters = [Splitter(-(-total * i // count), ends[0], ends[1] + 1, 0) for i in range(1, count)]
     while open_ := [s for s in splitters if not s.done]:
-        sums = _probe(slim, open_)
+        probes = min(PROBES, ALL_PROBES // len(open_))
+        sums = _probe(slim, open_, probes)
         for s in open_:
-            (_, low, high), step = s.place, s.step
+            (_, low, high), step = s.place, s.step(probes)
             for b in sums[s.place]:
                 if s.below + b["bytes"] >= s.target:
                     s.low, s.high = low + b["bin"] * step, min(high, low + (b["bin"] + 1) * step)
@@ -101,22 +138,8 @@ def find_splitters(slim: DataFrame, count: int, total: int, tolerance: int = 0)
     return splitters
 
 
-def _range_of(splitters: list[Splitter], base: int = 0) -> Column:
-    """Number of splitters at or before a row: a balanced tree of comparisons,
-    as deep as the logarithm of the (fixed) number of splitters."""
-    if not splitters:
-        return F.lit(base)
-    half = len(splitters) // 2
-    *equal, last = (*splitters[half].prefix, splitters[half].low)
-    beyond = F.col(ORDER[len(equal)]) > last - 1 if last > MIN_LONG else F.lit(True)
-    for c, v in reversed(list(zip(ORDER, equal, strict=False))):
-        beyond = (F.col(c) > v) | ((F.col(c) == v) & beyond)
-    return F.when(beyond, _range_of(splitters[half + 1:], base + half + 1)).otherwise(
-        _range_of(splitters[:half], base))
-
-
 def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", text_col: str = "text",
-                   ranges: int = 4, tolerance: int = 0) -> DataFrame:
+                   range_bytes: int = 16 << 20, tolerance: int = 0) -> DataFrame:
     """``docs`` with the added columns ``size`` (UTF-8 bytes of the text plus 1;
     null counts as empty), ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless
     from 0 in each shard, in id order).  Input columns of these names are
@@ -127,7 +150,11 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
     first; rows of one id follow a hash of their texts, equal rows a row number,
     so that even one id or one row repeated very often is cut between shards.
     More shards than rows leave shards empty; an empty table gives an empty
-    result."""
+    result.
+
+    A shard is cut into ranges of about ``range_bytes``, each sorted by one task,
+    or somewhat larger ones where that took more than ``MAX_SPLITTERS`` in all
+    (from 256 GB with the default)."""
     require(docs, [id_col, text_col])
     text = F.col(f"`{text_col}`")
     rest = [c for c in docs.columns if c not in ("size", "shard", "slot")]
@@ -138,12 +165,14 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", te
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size")), "sharding")
     slim = rows.select(*ORDER, "size")
     total = slim.agg(F.sum("size")).first()[0]
+    ranges = max(1, min(MAX_SPLITTERS // shards, -(-(total or 0) // (shards * range_bytes))))
     splitters = find_splitters(slim, shards * ranges, total, tolerance) if total else []
-    counts = slim.groupBy(_range_of(splitters).alias("r")).count().collect()  # a row per range
+    number = _count_from([s.start for s in splitters])
+    counts = slim.groupBy(number.alias("r")).count().collect()  # a row per range
     n = {r["r"]: r["count"] for r in counts}
     before = [sum(n.get(r, 0) for r in range(g - g % ranges, g)) for g in range(shards * ranges)]
     order = W.partitionBy("__range").orderBy(*ORDER)
-    slot = F.array(*[F.lit(b).cast("long") for b in before])[F.col("__range")] + F.row_number().over(order) - 1
-    return rows.withColumn("__range", _range_of(splitters)).select(
+    slot = F.element_at(_longs(before), F.col("__range") + 1) + F.row_number().over(order) - 1
+    return rows.withColumn("__range", number).repartitionById(shards * ranges, "__range").select(
         *[F.col(f"c{i}").alias(c) for i, c in enumerate(rest)], "size",
         F.floor(F.col("__range") / ranges).cast("int").alias("shard"), slot.cast("long").alias("slot"))

@@ -58,3 +58,22 @@ def test_tolerance_is_met_with_fewer_rounds(documents, monkeypatch):
 def test_empty_table_and_fewer_rows_than_shards(documents):
     assert check(documents([])) == []
     assert len({r.shard for r in check(documents([(1, "a"), (2, "b")]))}) == 2
+
+
+@pytest.mark.parametrize("range_bytes", [200, 5000])
+def test_shards_do_not_depend_on_the_ranges(documents, range_bytes):
+    rng = random.Random(7)
+    rows = [(rng.randrange(-2**63, 2**63), "y" * rng.randrange(300)) for _ in range(400)]
+    rows += [(2**63 - 1, "last")] * 40 + [(-2**63, None)] * 40 + [(3, "z" * 60)] * 300
+    docs = documents(rows)
+    got = check(docs, 3, range_bytes=range_bytes)
+    assert [r.shard for r in got] == expected(got, 3)
+    parts = sharding.shard_by_bytes(docs, 3, range_bytes=range_bytes).rdd.glom().map(lambda p: sum(r["size"] for r in p)).collect()
+    assert max(parts) <= range_bytes + 301  # a range's rows and none else are in its task
+
+
+def test_few_probes_find_the_same_splitters(documents, monkeypatch):
+    docs = documents([(i % 50, "x" * (i % 97)) for i in range(500)])
+    want = [(r.doc_id, r.text, r.shard, r.slot) for r in check(docs, 8, range_bytes=500)]
+    monkeypatch.setattr(sharding, "ALL_PROBES", 200)
+    assert [(r.doc_id, r.text, r.shard, r.slot) for r in check(docs, 8, range_bytes=500)] == want
