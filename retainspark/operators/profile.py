@@ -291,11 +291,21 @@ def class_ratio(df: DataFrame, label: str) -> DataFrame:
 
 def score_audit(scores: DataFrame, segments=("Persuadable", "Sleeping_Dog", "Lost_Cause", "Sure_Thing")
                 ) -> DataFrame:
-    """Score file audit: rows, segment counts, mean probability, clv sum."""
+    """Score file audit: rows, segment counts, mean probability, clv sum, and
+    the latest ``scored_at`` if the scores have that column."""
+    last = [F.max("scored_at").alias("last_scored_at")] if "scored_at" in scores.columns else []
     return scores.agg(F.count(F.lit(1)).alias("rows"),
                       *[F.count_if(F.col("segment") == s).alias(f"n_{s.lower()}") for s in segments],
                       F.avg("churn_probability").alias("avg_churn_probability"),
-                      F.sum("clv_proxy").alias("total_clv"))
+                      F.sum("clv_proxy").alias("total_clv"), *last)
+
+
+def plan_audit(plan: DataFrame, targeted: DataFrame) -> DataFrame:
+    """Users in the action plan, users targeted within the budget, and what these
+    cost and are expected to save."""
+    cost = targeted.agg(F.count(F.lit(1)).alias("targeted_users"), F.coalesce(F.sum("action_cost"), F.lit(0)).cast("bigint").alias("total_cost"),
+                        F.coalesce(F.sum("expected_clv_saved"), F.lit(0.0)).alias("total_clv_saved"))
+    return cost.withColumn("plan_users", plan.select(F.count(F.lit(1))).scalar())
 
 
 def kde(df: DataFrame, col: str, by: str, grid_points: int = 200, own_grid: bool = False) -> DataFrame:

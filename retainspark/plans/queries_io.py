@@ -17,6 +17,7 @@ from .retention import batch_scores, features_table, targeting
 from ..functions.features import round_half_even
 from ..operators import drift as DR
 from ..operators import metrics as M
+from ..operators import profile as P
 from ..operators import registry as RG
 from ..operators import survival as SV
 from ..session import stable
@@ -115,6 +116,15 @@ def insert_missing_keys(spark, sf_dir):
     return IO.insert_ignore(load, path, "customer_id", "source_row")
 
 
+@query("plan_audit", f"""
+SELECT (SELECT count(*) FROM ({ORACLES['action_plan']}) p) AS plan_users, count(*) AS targeted_users,
+       CAST(coalesce(sum(action_cost), 0) AS BIGINT) AS total_cost, coalesce(sum(expected_clv_saved), 0.0e0) AS total_clv_saved
+FROM ({ORACLES['retention_targeting']}) targeted""", doubles=("total_clv_saved",))
+def plan_audit(spark, sf_dir):
+    """Rows and totals of the action plan and of the targeted list."""
+    return P.plan_audit(*targeting(spark, sf_dir))
+
+
 @query("action_log_append", f"""
 SELECT recommended_action, CAST(2 * count(*) AS BIGINT) AS logged
 FROM ({ORACLES['retention_targeting']}) targeted GROUP BY recommended_action""")

@@ -7,15 +7,18 @@ from pyspark.sql import functions as F
 from . import sql_checks as S
 from .queries import query
 from .queries_analytics import AB_SQL
-from .requests import predict, segment, uplift_request_frame, validate_requests
-from .retention import features_table
+from .queries_survival import SURV_COVARIATES
+from .requests import explain, predict, predict_fitted, segment, uplift_request_frame, validate_requests
+from .retention import features_table, fitted_batch_scores, stored_threshold
 from ..functions.features import FEATURE_COLS, short_form_features
 from ..functions.scoring import CONTROL_SCORER
 from ..operators import attribution as AT
 from ..operators import metrics as M
 from ..operators import models as ML
+from ..operators import survival as SV
 from ..operators import uplift as U
 from ..session import stable
+from ..sources import io as IO
 from ..sources.bridge import ab_outcomes
 
 HASH_SQL = "((CAST(substring(customerID, 2) AS BIGINT) * 2654435761 + 42) % 4294967296)"
@@ -127,12 +130,21 @@ def cross_validated_auc(spark, sf_dir):
     return ML.cross_validate(_features(spark, sf_dir), FEATURE_COLS, "Churn_binary")
 
 
+def _uplift_models(spark, sf_dir):
+    """The A/B table with its split and the T-learner of its training part, fitted once
+    per (session, tables)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "uplift")
+    ab = ML.plain_split(ab_outcomes(spark, sf_dir), "user_id")
+    if key not in _MODELS:
+        _MODELS[key] = ML.t_learner(ab.where(F.col("is_test") == 0), UPLIFT_FEATURES, "treated", "churned")
+    return ab, _MODELS[key]
+
+
 @query("uplift_t_learner")
 def uplift_t_learner(spark, sf_dir):
     """M8/M9 + E12: T-learner on the A/B table, AUUC on the hold-out and the
     seeded random-order baseline."""
-    ab = ML.plain_split(ab_outcomes(spark, sf_dir), "user_id")
-    m0, m1 = ML.t_learner(ab.where(F.col("is_test") == 0), UPLIFT_FEATURES, "treated", "churned")
+    ab, (m0, m1) = _uplift_models(spark, sf_dir)
     test = stable(ML.uplift_scores(m0, m1, ab.where(F.col("is_test") == 1)).withColumn(
         "retained", 1 - F.col("churned")))
     model_auuc = U.auuc(U.uplift_curve(test, "uplift_score", "treated", "retained", "user_id"))
@@ -140,6 +152,42 @@ def uplift_t_learner(spark, sf_dir):
     return model_auuc.select("auuc", base.select("auuc").scalar().alias("auuc_random"), "n")
 
 
+def _tuned_threshold(spark, sf_dir) -> float:
+    """The churn model's F1-tuned threshold, stored as training does and read back."""
+    _, test = _train_eval(spark, sf_dir)
+    path = IO.join_path(IO.work_dir(spark, "model_config"), "config")
+    IO.write_summary(M.best_f1_threshold(test, "churn_probability", "Churn_binary").select(F.col("threshold").alias("churn_threshold")), path)
+    return stored_threshold(spark, path)
+
+
+@query("fitted_batch_scores")
+def fitted_scores(spark, sf_dir):
+    """R8 with the fitted models: boosted churn model at its stored threshold,
+    T-learner and Cox model over every customer."""
+    model, _ = _train_eval(spark, sf_dir)
+    feats = _features(spark, sf_dir)
+    fit = SV.cox_fit(feats, "tenure", "Churn_binary", SURV_COVARIATES, penalizer=0.1)
+    return fitted_batch_scores(feats, model, _tuned_threshold(spark, sf_dir), *_uplift_models(spark, sf_dir)[1], fit)
+
+
+@query("request_predict_fitted")
+def request_predict_fitted(spark, sf_dir):
+    """R9 /predict with the fitted churn and Cox models: probability, label at the
+    stored threshold and the survival block of every customer's request."""
+    model, _ = _train_eval(spark, sf_dir)
+    feats = _features(spark, sf_dir)
+    fit = SV.cox_fit(feats, "tenure", "Churn_binary", SURV_COVARIATES, penalizer=0.1)
+    return predict_fitted(feats.withColumnRenamed("customerID", "request_id"), model, _tuned_threshold(spark, sf_dir), fit)
+
+
+@query("request_explain")
+def request_explain(spark, sf_dir):
+    """R9 /explain: base value and the five drivers and protectors of every customer's
+    request by the fitted churn model."""
+    model, _ = _train_eval(spark, sf_dir)
+    return explain(_features(spark, sf_dir).withColumnRenamed("customerID", "request_id"), model)
+
+
 # ------------------------------------------------------------------ E13–E16
 _ATTR_SQL = S.with_(*S.FEATURE_CHAIN, """
 att AS (

@@ -14,7 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.features import FEATURE_COLS, UPLIFT_RENAME, round_half_even
 from ..functions.rules import segment_absolute, threshold_flag
 from ..functions.scoring import CONTROL_SCORER, TREATED_SCORER, LinearScorer
+from ..operators import attribution as AT
+from ..operators import survival as SV
 from ..operators.decision import segment_actions
+from ..operators.models import score, uplift_scores
+from ..operators.ranking import top_k_per_row
 
 REQUIRED = FEATURE_COLS
 
@@ -40,6 +44,39 @@ def predict(req: DataFrame, threshold=0.5, scorer: LinearScorer = CONTROL_SCORER
                       round_half_even(t, 4).alias("threshold_used"))
 
 
+#: The survival block's horizons.
+HORIZONS = (7, 30, 90)
+
+
+def predict_fitted(req: DataFrame, model, threshold, fit: dict, id_col: str = "request_id") -> DataFrame:
+    """/predict by the fitted churn model and the fitted Cox model ``fit``: as
+    ``predict``, with the share still active after 7, 30 and 90 (4 decimals).  A
+    request with a missing survival covariate has no survival block (NULLs)."""
+    scored = SV.survival_at(score(model, req), fit, HORIZONS)
+    p, t = F.col("churn_probability"), F.lit(float(threshold))
+    return scored.select(id_col, round_half_even(p, 4).alias("churn_probability"), threshold_flag(p, t).alias("churn_predicted"),
+                         round_half_even(t, 4).alias("threshold_used"),
+                         *[round_half_even(f"p_active_{h}", 4).alias(f"p_active_{h}d") for h in HORIZONS])
+
+
+def explain(req: DataFrame, model, features=FEATURE_COLS, id_col: str = "request_id", k: int = 5) -> DataFrame:
+    """/explain for every request: the model's base value (log-odds) and the ``k``
+    greatest and ``k`` smallest contributions as JSON objects in that order, 4 decimals."""
+    attr = AT.tree_attributions(req, model, features, id_col)
+    named = attr.select(id_col, "base_value", *[F.col(f"shap_{f}").alias(f) for f in features])
+    top = top_k_per_row(named, features, k)
+    payload = lambda c: F.to_json(F.map_from_entries(F.transform(
+        c, lambda x: F.struct(x["feature"], F.rint(x["value"] * 10000) / 10000))))
+    return top.select(id_col, "base_value", payload("top").alias("top_churn_drivers"), payload("bottom").alias("top_churn_protectors"))
+
+
+def fitted_uplift(features: DataFrame, m0, m1) -> DataFrame:
+    """``features`` with the fitted T-learner's ``p_churn_control``,
+    ``p_churn_treated`` and ``uplift_score``, read by the uplift request's names."""
+    added = {v: F.col(k) for k, v in UPLIFT_RENAME.items() if k != v}
+    return uplift_scores(m0, m1, features.withColumns(added)).drop(*added)
+
+
 def segment(req: DataFrame, control: LinearScorer = CONTROL_SCORER,
             treated: LinearScorer = TREATED_SCORER, id_col: str = "request_id") -> DataFrame:
     """/segment: uplift = P(no action) − P(voucher); the segment rule uses

@@ -14,7 +14,10 @@ from ..functions.features import derive_features, round_half_even
 from ..functions.rules import segment_absolute, threshold_flag
 from ..functions.scoring import retention_scores
 from ..operators.decision import budget_plan
+from ..operators.models import score
+from ..operators.survival import expected_remaining
 from ..sources.bridge import customers_raw
+from ..sources.io import read_summary
 
 DEFAULT_THRESHOLD = 0.5
 
@@ -50,6 +53,28 @@ def batch_scores(features: DataFrame, threshold=DEFAULT_THRESHOLD,
     return out
 
 
+def stored_threshold(spark: SparkSession, path: str, default: float = DEFAULT_THRESHOLD) -> float:
+    """The decision threshold that the last training stored in the summary at ``path``,
+    ``default`` where there is none."""
+    found = read_summary(spark, path, "churn_threshold double")
+    row = found.first() if found is not None else None
+    return default if row is None or row["churn_threshold"] is None else float(row["churn_threshold"])
+
+
+def fitted_batch_scores(features: DataFrame, model, threshold: float, m0, m1, fit: dict | None = None,
+                        scored_at: Column | None = None) -> DataFrame:
+    """R8 by fitted models: churn by ``model``, uplift by the T-learner's arms
+    ``m0`` (control) and ``m1`` (treated), remaining tenure by the Cox model ``fit``
+    (−1 without one)."""
+    from .requests import fitted_uplift
+    scored = score(model, fitted_uplift(features, m0, m1))
+    remaining = None
+    if fit is not None:
+        scored = expected_remaining(scored, fit)
+        remaining = F.col("expected_tenure_remaining")
+    return batch_scores(features, threshold, remaining, scored_at, scored)
+
+
 def targeting(spark: SparkSession, sf_dir: str, budget: float = 5000.0,
               risk_quantile: float | None = 0.70):
     """Flagship: raw customers → features → scores → segments → actions →
