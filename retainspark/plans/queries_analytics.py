@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from . import sql_checks as S
 from .queries import query
-from .retention import batch_scores, features_table
+from .retention import batch_scores, features_table, targeting
 from ..functions.encode import encode_customers
 from ..functions.rules import risk_light, segment_absolute
 from ..functions.scoring import retention_scores
@@ -240,6 +240,34 @@ def score_histogram(spark, sf_dir):
                        "churn_probability", 50)
 
 
+@query("roi_histogram", S.with_(*S.SCORE_CHAIN, S.ACTIONS, """
+r AS (SELECT roi, SUM(action_cost) OVER (ORDER BY roi DESC, user_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cost
+      FROM roi WHERE segment = 'Persuadable' AND churn_probability >= (SELECT quantile_cont(churn_probability, 0.70) FROM bs)),
+w AS (SELECT roi FROM r WHERE cost <= 5000),
+b AS (SELECT min(roi) AS lo, max(roi) AS hi FROM w),
+h AS (SELECT CASE WHEN lo = hi THEN 0 ELSE CAST(least(29, floor((roi - lo) * (30.0e0 / nullif(hi - lo, 0)))) AS INTEGER) END AS bin,
+             lo, hi FROM w, b)""") + """
+SELECT bin, lo + bin * ((hi - lo) / 30.0e0) AS lower, lo + (bin + 1) * ((hi - lo) / 30.0e0) AS upper,
+       count(*) AS n FROM h GROUP BY bin, lo, hi""", doubles=("lower", "upper"))
+def roi_histogram(spark, sf_dir):
+    """30 equal-width bins of the return of the users targeted within the budget."""
+    return P.histogram(targeting(spark, sf_dir)[1], "roi", 30)
+
+
+@query("score_density_by_class", S.with_(*S.FEATURE_CHAIN, S.SCORES, """
+b AS (SELECT Churn_binary, min(score4) AS lo, max(score4) AS hi, count(*) AS t FROM scu GROUP BY 1),
+h AS (SELECT Churn_binary, CAST(least(49, floor((score4 - lo) * (50.0e0 / (hi - lo)))) AS INTEGER) AS bin, lo, hi, t
+      FROM scu JOIN b USING (Churn_binary))""") + """
+SELECT Churn_binary, bin, lo + bin * ((hi - lo) / 50.0e0) AS lower, lo + (bin + 1) * ((hi - lo) / 50.0e0) AS upper,
+       count(*) AS n, count(*) / (t * ((hi - lo) / 50.0e0)) AS density
+FROM h GROUP BY Churn_binary, bin, lo, hi, t""", doubles=("lower", "upper", "density"))
+def score_density_by_class(spark, sf_dir):
+    """Density of the churn score in 50 bins, each label over its own range."""
+    ev = _eval_frame(spark, sf_dir)
+    one = lambda y: P.histogram(ev.where(F.col("Churn_binary") == y), "score4", 50, density=True).withColumn("Churn_binary", F.lit(y))
+    return one(0).unionByName(one(1))
+
+
 @query("score_audit", BS_SQL + """
 SELECT count(*) AS rows, CAST(count_if(segment = 'Persuadable') AS BIGINT) AS n_persuadable,
        CAST(count_if(segment = 'Sleeping_Dog') AS BIGINT) AS n_sleeping_dog,
