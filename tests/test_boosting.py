@@ -110,6 +110,38 @@ def test_auc_is_near_the_librarys_boosting(spark, rows):
     assert a > b - 0.01
 
 
+def jobs_of(spark, group, run):
+    """The result of ``run`` and the tasks of each of its jobs."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    seen = spark.sparkContext.statusTracker()
+    stages = [[seen.getStageInfo(i) for i in seen.getJobInfo(j).stageIds] for j in seen.getJobIdsForGroup(group)]
+    return out, [sum(s.numTasks for s in job if s and s.numCompletedTasks) for job in stages]
+
+
+def test_a_job_has_no_more_tasks_than_cores(spark):
+    # before, 8,192 rows were a task of their own and its sums went through further stages
+    df = spark.range(200_000).select("id", *[(F.rand(i) * 20).alias(c) for i, c in enumerate(COLS)], (F.rand(9) < 0.3).cast("int").alias("y"))
+    model, tasks = jobs_of(spark, "rounds", lambda: B.fit(df, COLS, "y", [F.lit(True)], "id", rounds=3)[0])
+    rounds = tasks[-10:]  # the jobs of the last round
+    assert len(model.trees) == 3 and max(rounds) <= spark.sparkContext.defaultParallelism
+    assert sum(t.rows[0] for t in model.trees) == pytest.approx(3 * 0.8 * 200_000, rel=0.01)
+
+
+def test_partitions_follow_cores_and_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [B._partitions(spark, n) for n in (0, 1, B.LEAST_ROWS + 1, cores * B.MOST_ROWS)] == [1, 1, min(2, cores), cores]
+    assert B._partitions(spark, 3 * cores * B.MOST_ROWS) == 3 * cores
+
+
+def test_sums_of_more_partitions_than_the_driver_takes_at_once(spark):
+    parts = spark.sparkContext.parallelize(range(B.FAN_IN + 5), B.FAN_IN + 5).map(lambda i: np.array([1.0, i]).tobytes())
+    assert B._summed(parts).tolist() == [B.FAN_IN + 5, sum(range(B.FAN_IN + 5))]
+
+
 def test_save_and_load(spark, rows, tmp_path):
     model = B.fit(rows, COLS, "y", [F.lit(True)], "id", rounds=2)[0]
     model.save(spark, str(tmp_path / "m"))
@@ -173,6 +205,16 @@ def test_tree_attributions_equal_shapley_values():
             assert base == pytest.approx(sum(b for _, b in parts))
 
 
+def test_attributions_cost_a_pattern_not_a_row():
+    # 2,000 rows of 2^k patterns: equal to few rows at a time, which are not looked up
+    rng = np.random.default_rng(5)
+    trees = [(1.0, deep_tree(rng, 5, 5)) for _ in range(3)]
+    x = rng.normal(size=(2000, 5))
+    phi, base = AT.tree_shap_batch(x, trees, 5, 1.0)
+    few = np.concatenate([AT.tree_shap_batch(x[i:i + 2], trees, 5, 1.0)[0] for i in range(0, 2000, 2)])
+    assert phi.shape == (2000, 5) and np.array_equal(phi, few)
+
+
 def test_tree_attributions_of_a_depth_12_ensemble_add_up(spark):
     rng = np.random.default_rng(2)
     n = 14
