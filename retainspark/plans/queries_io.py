@@ -269,7 +269,8 @@ SELECT user_id, churn_probability, segment,
 def streaming_events(spark, sf_dir):
     """§2.9 with event time: three file drops, the second with earlier events of all
     customers, the third with the first's events delivered again.  The table
-    must hold each customer's newest event once."""
+    must hold each customer's newest event once.  A drop is as many files as Spark writes
+    it in, never one task's; the stream takes it up as one batch, from its checkpoint."""
     base = IO.work_dir(spark, "events")
     src, tgt, ck = (IO.join_path(base, x) for x in ("incoming", "scores", "checkpoint"))
     at = F.lit(_batch_start(spark, sf_dir)).cast("timestamp")
@@ -277,6 +278,6 @@ def streaming_events(spark, sf_dir):
     raw = customers_raw(spark, sf_dir).withColumn("event_time", at + hours)
     early = raw.withColumns({"event_time": F.col("event_time") - F.expr("INTERVAL 6 HOURS"), "contract": F.lit("Two year")})
     for drop in (raw, early, raw):
-        drop.coalesce(1).write.mode("append").parquet(src)
-    run_incremental_scoring(spark, src, tgt, ck, event_time="event_time", files_per_batch=1)
+        drop.write.mode("append").parquet(src)
+        run_incremental_scoring(spark, src, tgt, ck, event_time="event_time")
     return IO.read_current(spark, tgt).select("user_id", "churn_probability", "segment", "scored_at")

@@ -66,3 +66,20 @@ def test_late_and_repeated_events_equal_the_batch(spark, tmp_path, sf_dir):
     cols = ["user_id", "churn_probability", "segment", "clv_proxy", "scored_at"]
     assert sorted(map(tuple, got.select(cols).collect())) == sorted(map(tuple, want.select(cols).collect()))
     assert got.count() == 40
+
+
+def test_event_drops_are_written_by_all_tasks(spark, sf_dir, tmp_path, monkeypatch):
+    # before, one task merged and wrote each drop
+    from retainspark.plans import queries_io as Q
+    monkeypatch.setattr(Q.IO, "work_dir", lambda *_: str(tmp_path))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        got = Q.streaming_events(spark, sf_dir)
+        assert got.count() == got.select("user_id").distinct().count() == spark.read.parquet(f"{sf_dir}/customer.parquet").count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(list((tmp_path / "incoming").glob("*.parquet"))) > 3
