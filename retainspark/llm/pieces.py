@@ -41,7 +41,7 @@ from retainspark.llm.common import binary_values, by_bytes, require, text_bytes
 RANK_SHIFT = 10
 UNKNOWN = 10.0
 #: Bytes of texts that are walked together (a few hundred bytes of memory each).
-SLICE = 1 << 19
+SLICE = 1 << 17
 SPACE = "▁"
 WORD = re.compile(" *[^ ]+| +")
 

@@ -155,3 +155,19 @@ def test_decoding_together_equals_one_by_one(vocab):
     found = [np.array(s["ids"], dtype="<u4") for d in samples(["Hello world", "", "ça va 漢\n", " ", "two  blanks"], 3, vocab) for s in d]
     assert pieces.decode_all(found, vocab) == [pieces.decode(i, vocab) for i in found]
     assert pieces.decode_all([], vocab) == [] and pieces.decode_all([found[0][:0]], vocab) == [b""]
+
+
+def test_a_slice_of_texts_takes_little_memory(vocab):
+    # a worker's share of an executor that earlier stages have filled; 45 MB at slices of 512 KB
+    import tracemalloc
+    rng = np.random.default_rng(0)
+    words = ["".join(map(chr, rng.integers(97, 123, rng.integers(3, 9)))) for _ in range(4000)]
+    texts, size = [], 0
+    while size < pieces.SLICE:
+        texts.append(" ".join(words[i] for i in rng.integers(0, 4000, 300)))
+        size += len(texts[-1])
+    tracemalloc.start()
+    samples(texts, 2, vocab)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
