@@ -131,6 +131,19 @@ def test_a_job_has_no_more_tasks_than_cores(spark):
     assert sum(t.rows[0] for t in model.trees) == pytest.approx(3 * 0.8 * 200_000, rel=0.01)
 
 
+def test_blocks_are_written_anew_once_in_some_rounds(spark, rows, monkeypatch):
+    # before, every round sent all blocks through a further Python process and back
+    written, advance = [], B._advance
+    monkeypatch.setattr(B, "_advance", lambda *a: written.append(len(a[-1])) or advance(*a))
+    held = F.col("id") % 4 == 0
+    run = lambda: B.fit(rows, COLS, "y", [~held], "id", valid=[held], patience=50, rounds=12)[0]
+    few = run()
+    assert written == [B.ADVANCE] * 2
+    monkeypatch.setattr(B, "ADVANCE", 1)
+    x = np.random.default_rng(1).normal(size=(200, 3))
+    assert len(written) == 2 and np.array_equal(few.margins(x), run().margins(x))
+
+
 def test_partitions_follow_cores_and_rows(spark):
     cores = spark.sparkContext.defaultParallelism
     assert [B._partitions(spark, n) for n in (0, 1, B.LEAST_ROWS + 1, cores * B.MOST_ROWS)] == [1, 1, min(2, cores), cores]

@@ -82,3 +82,12 @@ def test_explanations_add_up_and_are_ordered(spark, fitted):
     for rid, r in five.iterrows():
         low, all_ = list(json.loads(r.top_churn_protectors).values()), sorted(json.loads(every.loc[rid].top_churn_drivers).values())
         assert low == all_[:5] and list(json.loads(r.top_churn_drivers).values()) == all_[::-1][:5]
+
+
+def test_features_of_the_model_queries_are_derived_once(spark, sf_dir):
+    # before, split, weights, folds and scores each read and joined the tables anew
+    from retainspark.plans import queries_models as QM
+    feats = QM._features(spark, sf_dir)
+    assert feats is QM._features(spark, sf_dir) and feats.count() == features_table(spark, sf_dir).count()
+    plan = feats._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "parquet" not in plan
